@@ -28,7 +28,8 @@ def bbox_union(components: DataFrame, min_share: float = 0.0015) -> DataFrame:
 
 
 def bbox_largest(components: DataFrame, min_share: float = 0.002) -> DataFrame:
-    """Per image the box of its largest component, the lowest label on a tie; NULL when all are tiny."""
-    big = _share() >= min_share
-    best = F.max_by(_box(), F.when(big, F.struct(F.col("area"), -F.col("label"))))
+    """Per image the box of its largest component, the lowest label (then the box) on a tie; NULL when
+    all are tiny."""
+    order = F.struct("area", *[-F.col(c) for c in ("label", "x", "y", "cw", "ch")])
+    best = F.max_by(_box(), F.when(_share() >= min_share, order))
     return components.groupBy("image_id").agg(best.alias("bbox"))

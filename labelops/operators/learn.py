@@ -10,6 +10,7 @@ from pyspark.ml.functions import array_to_vector, predict_batch_udf, vector_to_a
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from labelops.lineage import join_on
 from labelops.operators.labels import class_weights
@@ -58,12 +59,21 @@ def _weighted(train: DataFrame, label: str, clip, features: str) -> DataFrame:
     return join_on(rows, weights, ["label"])
 
 
+def _fit(rows: DataFrame, family: str, max_iter: int) -> LogisticRegressionModel:
+    """The optimiser reads the vectors once per step, so they are kept for the time of the fit."""
+    rows = rows.persist()
+    try:
+        return LogisticRegression(
+            featuresCol="_v", labelCol="label", weightCol="weight", maxIter=max_iter, regParam=1e-3, family=family
+        ).fit(rows)
+    finally:
+        rows.unpersist()
+
+
 def fit_gate(df: DataFrame, cfg: Sweep = Sweep(), label: str = "truth", features: str = "features", max_iter: int = 50) -> Gate:
     """Fit on ``split = train`` with balanced weights, choose the threshold on val, report on test."""
     rows = _weighted(df.where("split = 'train'"), label, None, features)
-    model = LogisticRegression(
-        featuresCol="_v", labelCol="label", weightCol="weight", maxIter=max_iter, regParam=1e-3, family="binomial"
-    ).fit(rows)
+    model = _fit(rows, "binomial", max_iter)
     gate = Gate(model, 0.5, None, None)
     scored = gate.score(df.where("split in ('val', 'test')"), features)
     gate.sweep = threshold_sweep(scored.where("split = 'val'"), cfg, label)
@@ -85,9 +95,7 @@ def fit_classes(
             F.col(label).cast("double").alias("label"), array_to_vector(F.col(features)).alias("_v"),
             F.lit(1.0).alias("weight"),
         )
-    model = LogisticRegression(
-        featuresCol="_v", labelCol="label", weightCol="weight", maxIter=max_iter, regParam=1e-3, family="multinomial"
-    ).fit(rows)
+    model = _fit(rows, "multinomial", max_iter)
     out = ClassModel(model, None, None, None, None, None)
     test = out.score(df.where("split = 'test'"), features)
     out.matrix = confusion(test.select(F.col(label).alias("true_idx"), prediction(F.col("probs")).alias("pred_idx")), k)
@@ -113,8 +121,8 @@ def score(
     Each function builds its model once per worker and returns a predictor over NumPy batches. The
     rows are split by a filter, since a UDF inside a CASE branch would run on every row."""
     shapes = [[dim]] if dim else None
-    gate_udf = predict_batch_udf(gate_fn, return_type="double", batch_size=batch_size, input_tensor_shapes=shapes)
-    class_udf = predict_batch_udf(class_fn, return_type="array<double>", batch_size=batch_size, input_tensor_shapes=shapes)
+    gate_udf = predict_batch_udf(gate_fn, return_type=T.DoubleType(), batch_size=batch_size, input_tensor_shapes=shapes)
+    class_udf = predict_batch_udf(class_fn, return_type=T.ArrayType(T.DoubleType()), batch_size=batch_size, input_tensor_shapes=shapes)
     gated = df.withColumn("score", gate_udf(F.col(features)))
     wanted = F.coalesce(F.col("score") >= threshold if needs_class is None else needs_class, F.lit(False))
     passed = gated.where(wanted).withColumn("probs", class_udf(F.col(features)))

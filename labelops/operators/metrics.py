@@ -15,15 +15,18 @@ from labelops.operators.labels import checked_label
 
 
 def confusion(df: DataFrame, k: int, truth: str = "true_idx", pred: str = "pred_idx") -> DataFrame:
-    """Dense matrix as rows (true_idx, pred_idx, n); unseen cells are 0, labels outside [0, k) an error."""
-    cell = checked_label(F.col(truth), k).cast("long") * k + checked_label(F.col(pred), k)
-    counts = df.groupBy(cell.alias("id")).agg(F.count(F.lit(1)).alias("n"))
-    cells = df.sparkSession.range(k * k)
-    return cells.join(counts, "id", "left").select(
-        F.floor(F.col("id") / k).cast("int").alias("true_idx"),
-        (F.col("id") % k).cast("int").alias("pred_idx"),
-        F.coalesce("n", F.lit(0)).cast("long").alias("n"),
+    """Dense matrix as rows (true_idx, pred_idx, n); unseen cells are 0, labels outside [0, k) an error.
+
+    Zero cells are added by a union, and labels are checked after counting, on k * k rows."""
+    counts = df.groupBy(F.col(truth).alias("t"), F.col(pred).alias("p")).agg(F.count(F.lit(1)).alias("n"))
+    cell = F.col("id")
+    grid = df.sparkSession.range(k * k).select(
+        F.floor(cell / k).cast("int").alias("true_idx"), (cell % k).cast("int").alias("pred_idx"), F.lit(0).cast("long").alias("n")
+    )
+    seen = counts.select(
+        checked_label(F.col("t"), k).alias("true_idx"), checked_label(F.col("p"), k).alias("pred_idx"), "n"
     )
+    return grid.unionByName(seen).groupBy("true_idx", "pred_idx").agg(F.sum("n").alias("n"))
 
 
 def with_names(df: DataFrame, names: Sequence[str], col: str, out: str) -> DataFrame:
@@ -92,15 +95,11 @@ def top_confusions(cm: DataFrame, k: int = 3, tie: str = "asc") -> DataFrame:
 
 def confusion_pairs(cm: DataFrame, names: Sequence[str], k: int = 10) -> DataFrame:
     """Unordered pairs by n(i->j) + n(j->i); ties by larger direction, then names, all descending."""
-    forward = F.col("true_idx") < F.col("pred_idx")
+    t, p, n = F.col("true_idx"), F.col("pred_idx"), F.col("n")
     pairs = (
-        cm.where(F.col("true_idx") != F.col("pred_idx"))
-        .groupBy(F.least("true_idx", "pred_idx").alias("i"), F.greatest("true_idx", "pred_idx").alias("j"))
-        .agg(
-            F.sum("n").alias("n"),
-            F.sum(F.when(forward, F.col("n")).otherwise(0)).alias("n_forward"),
-            F.sum(F.when(forward, F.lit(0)).otherwise(F.col("n"))).alias("n_backward"),
-        )
+        cm.groupBy(F.least(t, p).alias("i"), F.greatest(t, p).alias("j"))
+        .agg(F.sum(F.when(t < p, n).otherwise(0)).alias("n_forward"), F.sum(F.when(t > p, n).otherwise(0)).alias("n_backward"))
+        .withColumn("n", F.col("n_forward") + F.col("n_backward"))
         .where(F.col("n") > 0)
     )
     named = with_names(with_names(pairs, names, "i", "first"), names, "j", "second")

@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 
 from labelops.constants import SPLITS
 from labelops.functions import quality, scores, tokens
+from labelops.lineage import cut
 from labelops.operators import (
     audit,
     boxes,
@@ -447,7 +448,7 @@ def binary_weights(spark, sf):
 @query
 def top_k(spark, sf):
     best = scores.top_k(F.col("probs"), s.NAMES, 3)
-    return rounded(s.scored(spark, sf).select("vec_id", F.posexplode(best).alias("place", "b")).select("vec_id", "place", "b.*"))
+    return rounded(s.scored(spark, sf).select("vec_id", F.posexplode_outer(best).alias("place", "b")).select("vec_id", "place", "b.*"))
 
 
 @query
@@ -629,7 +630,7 @@ def accepted_report(spark, sf):
 @query
 def supported_eval(spark, sf):
     rows = s.uploads(spark, sf).withColumn("predicted_label", s.name_of(metrics.prediction(F.col("probs"))))
-    return rounded(audit.supported_eval(rows, s.NAMES))
+    return rounded(audit.supported_eval(cut(rows), s.NAMES))
 
 
 @query
@@ -730,12 +731,12 @@ def latest_run(spark, sf):
 
 def _features(spark, sf):
     rows = s.table(spark, sf, "embeddings").select("vec_id", "label", F.col("embedding").alias("features"), F.col("label").cast("string").alias("class"))
-    return split.stratified_split(rows, key=("vec_id",)).withColumn("truth", (F.col("label") != 9).cast("int"))
+    return cut(split.stratified_split(rows, key=("vec_id",)).withColumn("truth", (F.col("label") != 9).cast("int")))
 
 
 @query
 def centroid_scores(spark, sf):
-    rows = s.scored(spark, sf).select("vec_id", F.posexplode("probs").alias("class_idx", "p"))
+    rows = s.scored(spark, sf).select("vec_id", F.posexplode_outer("probs").alias("class_idx", "p"))
     return rounded(rows)
 
 

@@ -1,13 +1,16 @@
 """The given tables seen as image collections and prediction tables.
 
 The test tables hold no images, so documents stand in for labelled files, embeddings with a
-nearest-mean model for predictions, and document labels for the binary gate."""
+nearest-mean model for predictions, and document labels for the binary gate. Routed rows are
+checkpointed, as an audit's prediction table is: a filter on a late column would otherwise be pushed
+below the scoring and score every row again."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from labelops.lineage import cut
 from labelops.operators.learn import centroid_scores, centroids
 from labelops.operators.metrics import prediction
 from labelops.operators.split import stratified_split
@@ -81,11 +84,11 @@ def uploads(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def flow_rows(spark: SparkSession, sf: str) -> DataFrame:
-    return routed_uploads(uploads(spark, sf), NAMES, 0.3, 0.6)
+    return cut(routed_uploads(uploads(spark, sf), NAMES, 0.3, 0.6))
 
 
 def production_rows(spark: SparkSession, sf: str) -> DataFrame:
-    return routed_production(uploads(spark, sf), NAMES)
+    return cut(routed_production(uploads(spark, sf), NAMES))
 
 
 def history(spark: SparkSession, sf: str) -> DataFrame:
