@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
 from labelops.constants import CLASS_METADATA, KNOWN_CLASSES, LABEL_ALIASES, MERGE_RULES, OTHER
+from labelops.lineage import broadcast_if_small, cut
 
 
 def _squash(col: Column) -> Column:
@@ -44,15 +45,17 @@ def _strip_marks(names: pd.Series) -> pd.Series:
 
 
 def ascii_token(df: DataFrame, col: str, out: str = "ascii_token") -> DataFrame:
-    """Accent-folded token. Only distinct non-ASCII names reach Python; the rest stays native."""
+    """Accent-folded token. Only distinct non-ASCII names reach Python; the rest stays native.
+
+    The folded names are written once and broadcast when they are few, as folder names are."""
     plain = ~F.col(col).rlike("[^\\x00-\\x7F]")
-    folded = (
+    folded = cut(
         df.where(~plain)
         .select(F.col(col).alias("_name"))
         .distinct()
         .withColumn("_folded", _squash(_strip_marks(F.lower(F.trim("_name")))))
     )
-    joined = df.join(folded, df[col] == folded["_name"], "left")
+    joined = df.join(broadcast_if_small(folded), F.col(col) == F.col("_name"), "left")
     return joined.withColumn(out, F.when(plain, safe_token(F.col(col))).otherwise(F.col("_folded"))).drop(
         "_name", "_folded"
     )

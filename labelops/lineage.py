@@ -24,6 +24,14 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+BROADCAST_ROWS = 500_000
+
+
+def broadcast_if_small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
+    """Hint a broadcast of a checkpointed frame of short rows after counting it; else leave it alone."""
+    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+
+
 def literal_rows(spark: SparkSession, columns: Sequence[str], rows: Sequence[Sequence]) -> DataFrame:
     """A bounded list of constants as a frame, without a Python scan."""
     structs = [F.struct(*[F.lit(v).alias(c) for c, v in zip(columns, row)]) for row in rows]
@@ -32,6 +40,6 @@ def literal_rows(spark: SparkSession, columns: Sequence[str], rows: Sequence[Seq
 
 def join_on(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
     """Equi-join that also matches NULL keys and keeps the left key columns."""
-    renamed = right.select(*[F.col(c).alias(f"_r_{c}") if c in keys else F.col(c) for c in right.columns])
+    renamed = right.withColumnsRenamed({k: f"_r_{k}" for k in keys})
     cond: Column = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_r_{k}")) for k in keys])
     return left.join(renamed, cond, how).drop(*[f"_r_{k}" for k in keys])

@@ -5,13 +5,16 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from labelops.lineage import join_on
+from labelops.lineage import broadcast_if_small, cut, join_on
 from labelops.operators.validate import class_index
 
 
 def label_index(df: DataFrame, col: str = "class") -> DataFrame:
-    """Add ``label``: position of the class in the case-insensitive class list."""
-    return join_on(df, class_index(df, col).withColumnRenamed("class", col), [col])
+    """Add ``label``: position of the class in the case-insensitive class list.
+
+    The class list is found first, so that the rows meet it by a broadcast and keep their places."""
+    index = broadcast_if_small(cut(class_index(df, col).withColumnRenamed("class", col)))
+    return join_on(df, index, [col])
 
 
 def one_hot(label: Column, k: int) -> Column:

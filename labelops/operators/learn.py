@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from labelops.lineage import join_on
+from labelops.lineage import broadcast_if_small, cut, join_on
 from labelops.operators.labels import class_weights
 from labelops.operators.metrics import class_metrics, confusion, prediction, summary_metrics, top_confusions, weak_classes
 from labelops.operators.threshold import Sweep, binary_metrics, pick_threshold, threshold_sweep
@@ -53,10 +53,10 @@ class ClassModel:
 
 
 def _weighted(train: DataFrame, label: str, clip, features: str) -> DataFrame:
-    """Training rows as vectors; the few class weights come in by a join on the label."""
+    """Training rows as vectors; the few class weights come in by a broadcast on the label."""
     rows = train.select(F.col(label).cast("double").alias("label"), array_to_vector(F.col(features)).alias("_v"))
-    weights = class_weights(rows, "label", clip).select(F.col("class").alias("label"), "weight")
-    return join_on(rows, weights, ["label"])
+    weights = cut(class_weights(rows, "label", clip).select(F.col("class").alias("label"), "weight"))
+    return join_on(rows, broadcast_if_small(weights), ["label"])
 
 
 def _fit(rows: DataFrame, family: str, max_iter: int) -> LogisticRegressionModel:

@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from labelops.lineage import cut, join_on
+from labelops.lineage import cut
 
 
 def slice_starts(sliced: DataFrame, keys: Sequence[str], slice_col: str) -> DataFrame:
@@ -25,10 +25,18 @@ def slice_starts(sliced: DataFrame, keys: Sequence[str], slice_col: str) -> Data
     )
 
 
+def slice_key(keys: Sequence[str], slice_col: str) -> Column:
+    """One text for (keys, slice) that is never NULL: window and join then share one partitioning."""
+    return F.to_json(F.struct(*keys, slice_col))
+
+
 def _number(sliced: DataFrame, starts: DataFrame, keys, slice_col: str, order, out: str) -> DataFrame:
-    inside = F.row_number().over(Window.partitionBy(*keys, slice_col).orderBy(*order))
-    placed = join_on(sliced.withColumn("_in", inside), starts.drop("_n"), [*keys, slice_col])
-    return placed.withColumn(out, F.col("_in") + F.col("_before")).drop("_in", "_before", slice_col)
+    part = slice_key(keys, slice_col)
+    inside = F.row_number().over(Window.partitionBy("_part").orderBy(*order))
+    placed = sliced.withColumn("_part", part).withColumn("_in", inside).join(
+        starts.select(part.alias("_part"), "_before"), "_part"
+    )
+    return placed.withColumn(out, F.col("_in") + F.col("_before")).drop("_in", "_before", "_part", slice_col)
 
 
 def seeded_digest(seed: Column | str | int, *parts: Column) -> Column:

@@ -99,6 +99,24 @@ def report_totals(report: DataFrame) -> DataFrame:
     )
 
 
+def report_payload(report: DataFrame) -> DataFrame:
+    """One row for the JSON report: totals and a map of all classes in name order."""
+    fields = F.struct(*[c for c in report.columns if c != "class"]).alias("value")
+    classes = report.agg(
+        F.map_from_entries(F.array_sort(F.collect_list(F.struct(F.col("class").alias("key"), fields)), by_key)).alias("classes")
+    )
+    totals = report_totals(report)
+    return (
+        classes.unionByName(totals.select(F.struct(*totals.columns).alias("totals")), allowMissingColumns=True)
+        .agg(F.first("classes", ignorenulls=True).alias("classes"), F.first("totals", ignorenulls=True).alias("totals"))
+        .withColumn("schema_version", F.lit(1))
+    )
+
+
+def by_key(a: Column, b: Column) -> Column:
+    return F.when(a["key"] < b["key"], -1).when(a["key"] > b["key"], 1).otherwise(0)
+
+
 def unique_names(
     kept: DataFrame, known: Sequence[str] = KNOWN_CLASSES, order: Sequence[str] = ("raw_class", "file_name")
 ) -> DataFrame:

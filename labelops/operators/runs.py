@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from labelops.lineage import join_on
+from labelops.lineage import broadcast_if_small, cut, join_on
 
 METRICS = ("test_accuracy", "macro_precision", "macro_recall", "macro_f1", "weighted_f1")
 
@@ -57,9 +57,9 @@ def stage_boundaries(history: DataFrame) -> DataFrame:
 def epoch_index(history: DataFrame) -> DataFrame:
     """Add ``epoch``: 1-based number over all stages of a run. ``i`` is the place inside the stage, so
     only the stage lengths need to be summed; the epochs themselves are never sorted."""
-    starts = stage_boundaries(history).select("run", "stage_pos", "before")
+    starts = cut(stage_boundaries(history).select("run", "stage_pos", "before"))
     return (
-        join_on(history, starts, ["run", "stage_pos"])
+        join_on(history, broadcast_if_small(starts), ["run", "stage_pos"])
         .withColumn("epoch", F.col("before") + F.col("i") + 1)
         .drop("before")
     )

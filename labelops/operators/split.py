@@ -8,8 +8,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from labelops.constants import SPLITS
-from labelops.lineage import join_on
-from labelops.operators.ranking import rank_by_digest, seeded_digest, slice_starts
+from labelops.lineage import broadcast_if_small, cut
+from labelops.operators.ranking import rank_by_digest, seeded_digest, slice_key, slice_starts
 
 RATIOS = (0.70, 0.15, 0.15)
 
@@ -62,27 +62,34 @@ def stratified_split(
 
     The order key is a hash, so its leading digits cut a class into even slices whose sizes come from
     one small aggregate. A slice that lies wholly inside a split needs no sorting; only the (at most
-    two) slices per class that a split boundary runs through are numbered row by row. The frame is
-    read three times, so give it a cheap or checkpointed plan."""
+    two) slices per class that a split boundary runs through are shuffled and numbered row by row.
+    The input is read three times (sizes, whole slices, crossed slices), so give it a cheap or
+    checkpointed plan. There are at most 16**digits slices per class."""
     digest = seeded_digest(seed, F.col(group), *[F.col(k) for k in key])
     sliced = df.withColumn("_digest", digest).withColumn("_slice", F.substring("_digest", 1, digits))
-    starts = slice_starts(sliced.select(group, "_slice"), [group], "_slice")
-    total = F.sum("_n").over(Window.partitionBy(group))
-    sizes = starts.withColumn("_size", allocate(total, ratios))
+    starts = cut(slice_starts(sliced.select(group, "_slice"), [group], "_slice"))
+    sizes = starts.groupBy(F.col(group).alias("_g")).agg(F.sum("_n").alias("_total"))
+    sizes = sizes.select("_g", allocate(F.col("_total"), ratios).alias("_size"))
 
     def split_at(place: Column) -> Column:
         train, val = F.col("_size.train"), F.col("_size.val")
         return F.when(place < train, "train").when(place < train + val, "val").otherwise("test")
 
     first, last = split_at(F.col("_before")), split_at(F.col("_before") + F.col("_n") - 1)
-    placed = join_on(
-        sliced, sizes.select(group, "_slice", "_before", "_size", F.when(first == last, first).alias("split")),
-        [group, "_slice"],
+    plan = cut(
+        starts.join(sizes, F.col(group).eqNullSafe(F.col("_g"))).select(
+            slice_key([group], "_slice").alias("_part"), "_before", "_size", F.when(first == last, first).alias("split")
+        )
     )
-    whole = placed.where(F.col("split").isNotNull())
-    inside = F.row_number().over(Window.partitionBy(group, "_slice").orderBy("_digest", *key)) - 1
-    crossed = placed.where(F.col("split").isNull()).withColumn("split", split_at(F.col("_before") + inside))
-    return whole.unionByName(crossed).drop("_digest", "_slice", "_before", "_size")
+    placed = sliced.withColumn("_part", slice_key([group], "_slice"))
+    whole = placed.join(broadcast_if_small(plan.where(F.col("split").isNotNull()).drop("_before", "_size")), "_part")
+    inside = F.row_number().over(Window.partitionBy("_part").orderBy("_digest", *key)) - 1
+    crossed = (
+        placed.join(broadcast_if_small(plan.where(F.col("split").isNull()).drop("split")), "_part")
+        .withColumn("split", split_at(F.col("_before") + inside))
+        .drop("_before", "_size")
+    )
+    return whole.unionByName(crossed).drop("_digest", "_slice", "_part")
 
 
 def split_counts(df: DataFrame, group: str = "class") -> DataFrame:

@@ -17,7 +17,7 @@ from labelops.constants import (
     UPLOAD_ALIASES,
 )
 from labelops.functions.tokens import ascii_token, is_other, lookup, merge_class, resolve_known
-from labelops.lineage import join_on, literal_rows
+from labelops.lineage import broadcast_if_small, cut, join_on, literal_rows
 
 
 def raw_mapping(
@@ -114,5 +114,5 @@ def resolve_unique_prefix(requested: DataFrame, classes: Sequence[str], col: str
 
 def is_weak(df: DataFrame, weak: DataFrame, col: str = "class") -> DataFrame:
     """Add ``is_weak``: the class is one of the resolved weak classes."""
-    flagged = weak.select(F.col("class_name").alias(col), F.lit(True).alias("_weak")).distinct()
-    return join_on(df, flagged, [col], "left").withColumn("is_weak", F.coalesce("_weak", F.lit(False))).drop("_weak")
+    flagged = cut(weak.select(F.col("class_name").alias(col), F.lit(True).alias("_weak")).distinct())
+    return join_on(df, broadcast_if_small(flagged), [col], "left").withColumn("is_weak", F.coalesce("_weak", F.lit(False))).drop("_weak")

@@ -105,7 +105,7 @@ def split_dataset(
     """Remove exact copies, split every class, check for leaks, optionally publish."""
     kept = cut(dedup_exact(items))
     duplicates = duplicate_counts(items, kept, minimum=len(SPLITS))
-    rows = split.stratified_split(kept, ratios, seed)
+    rows = cut(split.stratified_split(kept, ratios, seed))
     leaks = validate.leak_report(rows).where("shared_keys > 0")
     _require_none(leaks, "split leak")
     if root is not None:
@@ -383,9 +383,5 @@ def rebuild(stage: str, items: DataFrame, paths: RebuildPaths, crops: DataFrame
             empty.alias("skipped_images"), F.create_map().cast("map<string,bigint>").alias("skip_reasons"),
         )
     report = cut(reports.dataset_report(stats, crops))
-    totals = reports.report_totals(report)
-    sinks.write_report(
-        report.agg(reports.sorted_map("class", "crop_success").alias("crop_success"),
-                   reports.sorted_map("class", "valid_images").alias("valid_images")), paths.report,
-    )
-    return totals
+    sinks.write_report(reports.report_payload(report), paths.report)
+    return reports.report_totals(report)

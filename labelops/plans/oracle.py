@@ -329,8 +329,8 @@ CROP = """CASE WHEN gx1 IS NULL THEN 'no_bbox' WHEN bw <= 0 OR bh <= 0 THEN 'emp
   WHEN NOT (texture >= 25 OR contrast >= 12 OR edges >= 0.006) THEN 'weak_foreground_signal' ELSE 'crop_applied' END"""
 add("crop_decision", f"""WITH {LINES}, {_grown('boxes', 'grown', '', 0.16)}, d AS (SELECT *, {CROP} AS reason FROM grown)
 SELECT l_linenumber, reason, reason = 'crop_applied' AS applied, count(*) AS n, sum(gx1)::BIGINT AS x1, sum(gy1)::BIGINT AS y1, sum(gx2)::BIGINT AS x2, sum(gy2)::BIGINT AS y2,
-  round(max(coalesce(CASE WHEN gx1 IS NULL THEN 0.0 ELSE share END, 0.0)), 6) AS area_ratio,
-  round(max(CASE WHEN reason IN ('crop_applied', 'weak_foreground_signal') THEN texture ELSE 0.0 END), 6) AS texture FROM d GROUP BY ALL""")
+  max(CASE WHEN gx1 IS NULL THEN 0.0 ELSE share END) AS area_ratio,
+  max(CASE WHEN reason IN ('crop_applied', 'weak_foreground_signal') THEN texture ELSE 0.0 END) AS texture FROM d GROUP BY ALL""")
 GATE_RULE = """CASE WHEN {p}gx1 IS NULL THEN 'no_bbox' WHEN {p}bw <= 0 OR {p}bh <= 0 THEN 'empty_bbox' WHEN {p}share < 0.02 THEN 'bbox_too_small'
   WHEN {p}share > 0.92 THEN 'bbox_too_large' WHEN least({p}bw / 400.0, {p}bh / 320.0) < 0.12 THEN 'bbox_side_too_small' ELSE 'ok' END"""
 add("choose_crop", f"""WITH {LINES}, keyed AS (SELECT *, row_number() OVER () AS id, 0 AS sx1, 0 AS sy1, area AS sx2, area // 3 AS sy2 FROM boxes),
@@ -338,7 +338,7 @@ add("choose_crop", f"""WITH {LINES}, keyed AS (SELECT *, row_number() OVER () AS
 j AS (SELECT {GATE_RULE.format(p='c.')} AS cw, {GATE_RULE.format(p='s.')} AS sw, c.gx2 AS cx2, s.gx2 AS sx2, c.share AS ca, s.share AS sa FROM c JOIN s USING (id)),
 o AS (SELECT CASE WHEN cw = 'ok' THEN 'contour' WHEN sw = 'ok' THEN 'saliency' ELSE 'none' END AS method, CASE WHEN cw = 'ok' THEN cx2 WHEN sw = 'ok' THEN sx2 END AS x2,
   CASE WHEN cw = 'ok' THEN ca WHEN sw = 'ok' THEN sa ELSE 1.0 END AS area, CASE WHEN cw = 'ok' OR sw = 'ok' THEN 'ok' ELSE 'auto_failed:contour:' || cw || ';saliency:' || sw END AS reason FROM j)
-SELECT method, method <> 'none' AS applied, reason, count(*) AS n, sum(x2)::BIGINT AS x2, round(min(area), 6) AS area_ratio FROM o GROUP BY ALL""")
+SELECT method, method <> 'none' AS applied, reason, count(*) AS n, sum(x2)::BIGINT AS x2, min(area) AS area_ratio FROM o GROUP BY ALL""")
 add("bbox_union", f"""WITH {LINES} SELECT l_orderkey AS image_id, min(x) FILTER (big) AS x1, min(y) FILTER (big) AS y1, max(x + cw) FILTER (big) AS x2, max(y + ch) FILTER (big) AS y2
 FROM (SELECT *, area / 128000.0::DOUBLE >= 0.0015 AS big FROM lines) GROUP BY l_orderkey""")
 add("bbox_largest", f"""WITH {LINES}, r AS (SELECT *, row_number() OVER (PARTITION BY l_orderkey ORDER BY area DESC, l_linenumber, x, y, cw, ch) AS k FROM lines WHERE area / 128000.0::DOUBLE >= 0.002)

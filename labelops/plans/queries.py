@@ -114,8 +114,8 @@ def output_folders(spark, sf):
 
 @query
 def ascii_fold(spark, sf):
-    folded = taxonomy.ascii_token(s.words(spark, sf), "word")
-    return folded.groupBy("lang", "ascii_token").agg(F.count(F.lit(1)).alias("n"))
+    counts = s.words(spark, sf).groupBy("lang", "word").agg(F.count(F.lit(1)).alias("n"))
+    return taxonomy.ascii_token(counts, "word").groupBy("lang", "ascii_token").agg(F.sum("n").alias("n"))
 
 
 @query
@@ -357,12 +357,10 @@ def _lines(spark, sf):
 def crop_decision(spark, sf):
     grown = quality.expand_bbox(F.col("bbox"), F.col("width"), F.col("height"), 0.16)
     out = quality.crop_decision(_lines(spark, sf).withColumn("grown", grown), "grown")
-    return rounded(
-        out.groupBy("l_linenumber", "crop.reason", "crop.applied").agg(
-            F.count(F.lit(1)).alias("n"), F.sum("crop.bbox.x1").alias("x1"), F.sum("crop.bbox.y1").alias("y1"),
-            F.sum("crop.bbox.x2").alias("x2"), F.sum("crop.bbox.y2").alias("y2"),
-            F.max("crop.area_ratio").alias("area_ratio"), F.max("crop.texture").alias("texture"),
-        )
+    return out.groupBy("l_linenumber", "crop.reason", "crop.applied").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("crop.bbox.x1").alias("x1"), F.sum("crop.bbox.y1").alias("y1"),
+        F.sum("crop.bbox.x2").alias("x2"), F.sum("crop.bbox.y2").alias("y2"),
+        F.max("crop.area_ratio").alias("area_ratio"), F.max("crop.texture").alias("texture"),
     )
 
 
@@ -371,10 +369,8 @@ def choose_crop(spark, sf):
     zero = F.lit(0)
     other = F.struct(zero.alias("x1"), zero.alias("y1"), F.col("area").alias("x2"), F.floor(F.col("area") / 3).cast("int").alias("y2"))
     rows = _lines(spark, sf).withColumn("saliency", other).withColumnRenamed("bbox", "contour")
-    return rounded(
-        quality.choose_crop(rows).groupBy("crop.method", "crop.applied", "crop.reason").agg(
-            F.count(F.lit(1)).alias("n"), F.sum("crop.bbox.x2").alias("x2"), F.min("crop.area_ratio").alias("area_ratio")
-        )
+    return quality.choose_crop(rows).groupBy("crop.method", "crop.applied", "crop.reason").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("crop.bbox.x2").alias("x2"), F.min("crop.area_ratio").alias("area_ratio")
     )
 
 

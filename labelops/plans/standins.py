@@ -113,17 +113,22 @@ def words(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def simhashes(spark: SparkSession, sf: str) -> DataFrame:
-    """64-bit simhash of all lower-cased words per document; bit i from the words' md5."""
+    """64-bit simhash of all lower-cased words per document; bit i from the words' md5.
+
+    The ones per bit are counted in 32-bit lanes, two bits to a sum; a bit is set when more than half
+    of the words have it."""
     docs = table(spark, sf, "documents").select("doc_id", "lang", "text")
-    half = [F.conv(F.substring(F.md5("w"), 1 + 8 * i, 8), 16, 10).cast("long") for i in range(2)]
-    tokens = docs.select("doc_id", "lang", F.explode_outer(F.split(F.lower("text"), "\\s+")).alias("w")).select(
-        "doc_id", "lang", *[F.when(F.col("w") != "", h).alias(f"h{i}") for i, h in enumerate(half)]
+    halves = [F.conv(F.substring(F.md5("w"), 1 + 8 * i, 8), 16, 10).cast("long") for i in range(2)]
+    words64 = docs.select("doc_id", "lang", F.explode_outer(F.split(F.lower("text"), "\\s+")).alias("w")).select(
+        "doc_id", "lang", F.when(F.col("w") != "", F.shiftleft(halves[0], 32).bitwiseOR(halves[1])).alias("h")
     )
+    lanes = [F.sum(F.shiftrightunsigned("h", b).bitwiseAND(F.lit((1 << 32) + 1))).alias(f"s{b}") for b in range(32)]
+    ones = words64.groupBy("doc_id", "lang").agg(F.count("h").alias("n"), *lanes)
 
-    def vote(bit: int) -> Column:
-        word, place = F.col(f"h{bit // 32}"), 31 - bit % 32
-        return F.sum(F.shiftright(word, place).bitwiseAND(F.lit(1)) * 2 - 1)
+    def bit(b: int) -> Column:
+        lane = F.col(f"s{b % 32}")
+        count = F.shiftrightunsigned(lane, 32) if b >= 32 else lane.bitwiseAND(F.lit((1 << 32) - 1))
+        value = (1 << b) - (1 << 64 if b == 63 else 0)
+        return F.when(2 * count > F.col("n"), F.lit(value)).otherwise(F.lit(0)).cast("long")
 
-    votes = tokens.groupBy("doc_id", "lang").agg(*[vote(b).alias(f"b{b}") for b in range(64)])
-    bits = [F.when(F.col(f"b{b}") > 0, F.lit(1 << (63 - b) if b else -(1 << 63))).otherwise(F.lit(0)).cast("long") for b in range(64)]
-    return votes.select("doc_id", "lang", sum(bits[1:], bits[0]).alias("simhash"))
+    return ones.select("doc_id", "lang", sum([bit(b) for b in range(1, 64)], bit(0)).alias("simhash"))
