@@ -82,7 +82,9 @@ def route_two_stage(p: Column, label: Column, confidence: Column, gate: float =
 
 def route_eval(p: Column, confidence: Column, gate: float, floor: float, error: Column | None = None) -> Column:
     route = F.when(p < gate, "stage_a_other").when(confidence < floor, "low_confidence").otherwise("stage_b_supported")
-    missing = p.isNull() if error is None else (error.isNotNull() | p.isNull())
+    missing = p.isNull() | ((p >= gate) & confidence.isNull())
+    if error is not None:
+        missing = missing | error.isNotNull()
     return F.when(missing, "error").otherwise(route)
 
 

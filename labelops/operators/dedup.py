@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from labelops.lineage import cut, join_on, literal_rows
-from labelops.operators.ranking import first_rows
+from labelops.operators.ranking import first_rows, rank_by_order
 
 LISTING = ("class", "file_name")
 
@@ -175,8 +175,8 @@ def drop_near_dups(
     if t == 0:
         return first
     first = cut(first)
-    hashes = first.select(
-        F.col(group).alias("group"), F.col(key).alias("h"), F.struct(*listing_order(*order)).alias("pos")
-    )
+    # The listing place becomes one number, since every hash is copied once per key table.
+    listed = rank_by_order(first.select(group, key, *order), [], listing_order(*order), "pos")
+    hashes = listed.select(F.col(group).alias("group"), F.col(key).alias("h"), "pos")
     removed = greedy_removed(near_pairs(hashes, t, bucket_limit))
     return first.join(removed, (first[group] == removed["group"]) & (first[key] == removed["h"]), "left_anti")

@@ -8,7 +8,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from labelops.constants import (
@@ -60,11 +60,15 @@ def clean_dataset(
     items: DataFrame, cfg: Quality = Quality(), extensions: Sequence[str] = CLEAN_EXTENSIONS, tolerance: int = 0,
     row_key: Sequence[str] = ("path",),
 ) -> Cleaned:
-    """Raw rows (raw_class, file_name, path, width, height, sharpness, phash) to cleaned rows and stats."""
+    """Raw rows (raw_class, file_name, path, width, height, sharpness, phash) to cleaned rows and stats.
+
+    Kept rows carry their new, unique ``file_name`` and the old one as ``source_file_name``."""
     check_plan(taxonomy_plan(raw_mapping(items)))
     merged = items.withColumn("class", merge_class(F.col("raw_class")))
     rows = cut(clean(merged, cfg, extensions, tolerance, row_key=row_key))
-    kept = reports.unique_names(rows.where(F.col("reason").isNull()))
+    kept = reports.unique_names(rows.where(F.col("reason").isNull()).drop("reason")).withColumnsRenamed(
+        {"file_name": "source_file_name", "output_name": "file_name"}
+    )
     return Cleaned(rows, kept, reports.raw_class_stats(rows), reports.output_class_stats(rows))
 
 
@@ -227,10 +231,15 @@ def label_views(rows: DataFrame, mode: str = "multiclass") -> DataFrame:
 # --- audits ------------------------------------------------------------------------------------
 
 
+def _error(df: DataFrame) -> Column | None:
+    """Rows may bring an ``error`` text (unreadable or, in strict mode, of low quality)."""
+    return F.col("error") if "error" in df.columns else None
+
+
 def routed_uploads(scored: DataFrame, names: Sequence[str], gate: float = 0.5, floor: float = 0.6, k: int = 3) -> DataFrame:
     """Scored uploads (group, true_label, normalized_label, score, probs) with route and outcome."""
     confidence = F.array_max("probs")
-    rows = scored.withColumn("route", route_eval(F.col("score"), confidence, gate, floor))
+    rows = scored.withColumn("route", route_eval(F.col("score"), confidence, gate, floor, _error(scored)))
     ran = F.col("route").isin("low_confidence", "stage_b_supported")
     rows = rows.withColumn("top_k", F.when(ran, top_k(F.col("probs"), names, k)))
     best = F.get("top_k", F.lit(0))
@@ -266,7 +275,7 @@ def routed_production(scored: DataFrame, names: Sequence[str], cfg: Bands = Band
     )
     for c in ("top1_label", "top1_confidence", "top2_label", "top2_confidence", "margin"):
         rows = rows.withColumn(f"stage_b_{c}", F.col("_m")[c])
-    route = final_route(group, p, F.col("stage_b_top1_confidence"), F.col("stage_b_margin"), cfg)
+    route = final_route(group, p, F.col("stage_b_top1_confidence"), F.col("stage_b_margin"), cfg, _error(scored))
     rows = rows.drop("_m").withColumn("final_route", route)
     outcome = production_outcome(group, F.col("final_route"), F.col("true_label"), F.col("stage_b_top1_label"))
     return rows.withColumn("_o", outcome).select("*", "_o.*").drop("_o")

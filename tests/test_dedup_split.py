@@ -146,3 +146,15 @@ def test_unique_names(spark):
     out = reports.unique_names(df)
     assert sorted(rows(out, "output_name")) == [("apple__image.jpg",), ("apple__img_1.jpg",), ("apple__img_1__0002.jpg",), ("apple__img_1__0003.jpg",), ("apple__img_1__0004.jpg",)]
     assert reports.name_clashes(out).isEmpty()
+
+
+def test_clean_with_tolerance_and_reasons(spark):
+    from labelops.operators import cleaning
+
+    data = clustered(5, 80)
+    df = spark.createDataFrame([(c, c, f"{n}.jpg", f"{c}/{n}", 200, 200, 150.0, h) for c, n, h in data] + [("a", "a", "x.txt", "a/x", 1, 1, 0.0, 1), ("a", "a", "y.gif", "a/y", None, None, None, None)],
+                               "class string, raw_class string, file_name string, path string, width int, height int, sharpness double, phash bigint")
+    out = {r["path"]: r["reason"] for r in cleaning.clean(df, tolerance=2).collect()}
+    assert out.pop("a/x") == "unsupported_extension" and out.pop("a/y") == "corrupted_image"
+    kept = greedy([(c, n, h) for c, n, h in data], 2)
+    assert {p for p, reason in out.items() if reason is None} == {f"{c}/{n}" for c, n in kept} and set(out.values()) == {None, "duplicate_image"}

@@ -34,8 +34,8 @@ def test_clean_dataset(items):
     assert stats["apple"]["skip_reasons"] == {"unsupported_extension": 1, "corrupted_image": 1, "image_too_small": 1, "blurry_image": 1, "duplicate_image": 1}
     assert (stats["gourd"]["raw_images"], stats["gourd"]["valid_images"]) == (80, 70)
     assert stats["gourd"]["source_raw_classes"] == ["bitter gourd", "ridged gourd"]
-    assert out.kept.count() == 7 * 35 and out.kept.select("class", "output_name").distinct().count() == 7 * 35
-    assert all(name.startswith("apple__img_") for (name,) in rows(out.kept.where("class = 'apple'"), "output_name"))
+    assert out.kept.count() == 7 * 35 and out.kept.select("class", "file_name").distinct().count() == 7 * 35
+    assert all(name.startswith("apple__img_") for (name,) in rows(out.kept.where("class = 'apple'"), "file_name"))
 
 
 def test_unplanned_merge_is_an_error(items):
@@ -45,7 +45,7 @@ def test_unplanned_merge_is_an_error(items):
 
 
 def split_source(items):
-    return flows.clean_dataset(items).kept.select("class", F.col("output_name").alias("file_name"), "content_hash", "path", "length", "mtime")
+    return flows.clean_dataset(items).kept.select("class", "file_name", "content_hash", "path", "length", "mtime")
 
 
 def test_split_subset_supported_and_checks(spark, items, tmp_path):
