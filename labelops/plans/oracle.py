@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from labelops.plans.standins import ADJECTIVES, NAMES, PART_CLASSES, PART_RULES
+from labelops.plans.standins import ADJECTIVES, PART_CLASSES, PART_RULES
 
 ORACLE: dict[str, str] = {}
 

@@ -9,7 +9,6 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from labelops.constants import SPLITS
 from labelops.functions import quality, scores, tokens
 from labelops.lineage import cut
 from labelops.operators import (
@@ -20,7 +19,6 @@ from labelops.operators import (
     labels,
     learn,
     metrics,
-    ranking,
     reports,
     runs,
     split,
@@ -29,7 +27,6 @@ from labelops.operators import (
     validate,
     variants,
 )
-from labelops.plans import flows
 from labelops.plans import standins as s
 from labelops.sources import sinks
 
