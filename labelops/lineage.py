@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import tempfile
+import uuid
 from collections.abc import Sequence
 from functools import reduce
 
@@ -10,20 +10,28 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """The folder for intermediate data: spark.checkpoint.dir, or one beside the warehouse where that is unset."""
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    return (folder or spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_checkpoints").rstrip("/")
+
+
 def cut(df: DataFrame) -> DataFrame:
     """Write the frame to the cluster's checkpoint folder and continue from there."""
-    spark = df.sparkSession
-    sc = spark.sparkContext
+    sc = df.sparkSession.sparkContext
     if sc.getCheckpointDir() is None:
-        folder = spark.conf.get("spark.checkpoint.dir", None)
-        if folder is None:
-            if not sc.master.startswith("local"):
-                raise RuntimeError("set spark.checkpoint.dir to a folder every executor can read")
-            folder = tempfile.mkdtemp(prefix="labelops-")
-        sc.setCheckpointDir(folder)
+        sc.setCheckpointDir(shared_folder(df.sparkSession))
     return df.checkpoint(eager=True)
 
 
+def stored(df: DataFrame) -> DataFrame:
+    """Like ``cut``, but as a Parquet table: compressed, and later steps read only the columns they use."""
+    spark = df.sparkSession
+    path = f"{shared_folder(spark)}/{uuid.uuid4()}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 BROADCAST_ROWS = 500_000
 
 
