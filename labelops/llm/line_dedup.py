@@ -109,8 +109,10 @@ def line_links(items: DataFrame, id_col: str = "path", text_col: str = "text", e
     )
     pairs = stored(_candidates(lines, edits))
     wanted = pairs.select(F.col("x").alias("h")).union(pairs.select(F.col("y").alias("h"))).distinct()
-    texts = rows.withColumn("h", F.xxhash64("line_id")).join(wanted, "h", "left_semi").groupBy("h", "line_id").agg(F.first("line").alias("line"))
-    texts = stored(texts)
+    # a wanted line is read at its first place alone, however many copies it has
+    wanted = lines.select("line_id", "first", F.xxhash64("line_id").alias("h")).join(wanted, "h", "left_semi").withColumnRenamed("line_id", "_id")
+    there = (rows["line_id"] == wanted["_id"]) & rows["path"].eqNullSafe(wanted["first.path"]) & (rows["line_no"] == wanted["first.line_no"])
+    texts = stored(rows.join(wanted, there).select("h", "line_id", "line").distinct())
     left = texts.select(F.col("h").alias("x"), F.col("line_id").alias("a"), F.col("line").alias("line_a"))
     right = texts.select(F.col("h").alias("y"), F.col("line_id").alias("b"), F.col("line").alias("line_b"))
     links = pairs.join(left, "x").join(right, "y").filter(within_edits(F.col("line_a"), F.col("line_b"), edits)).select("a", "b")

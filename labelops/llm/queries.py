@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from labelops.llm import decontaminate, language, line_dedup, near_groups, packing, text
+from labelops.llm import brown, decontaminate, language, line_dedup, line_frequency, near_groups, ownership, packing, page_text, text, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -22,6 +22,18 @@ def _table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+@query
+def op1_toxicity(spark, sf):
+    docs = _table(spark, sf, "documents")
+    marked = _table(spark, sf, "labels").select("doc_id", "toxic").filter("toxic is not null")
+    labelled = docs.select("doc_id", "text").filter(text.remainder("doc_id", 5) != 0).join(marked, "doc_id")
+    found = toxicity.score(docs, toxicity.learn(labelled, "toxic", "text", "doc_id"), "doc_id")
+    return found.select(
+        "doc_id", (text.remainder("doc_id", 5) == 0).alias("held_out"), "score", F.when(F.col("score") >= 0.5, 1).otherwise(0).alias("predicted"),
+        F.size("segments").alias("n_segments"),
+    )
+
+
 @query
 def op2_line_links(spark, sf):
     return line_dedup.line_links(_table(spark, sf, "documents"), "doc_id")
@@ -52,3 +64,31 @@ def op9_language(spark, sf):
     model = language.learn(docs.filter(~held), "lang", "text", "doc_id")
     found = language.identify(docs, model, "doc_id")
     return found.select("doc_id", held.alias("held_out"), "lang_pred", "score")
+
+
+@query
+def op3_page_text(spark, sf):
+    pages = _table(spark, sf, "pages")
+    found = page_text.main_text(pages.select("page_id", "url", "html").withColumn("page", F.struct("page_id", "url")), page_text.learn(pages), "page")
+    return found.select("page.page_id", "page.url", "text", "n_chars", "n_blocks")
+
+
+@query
+def op4_class_model(spark, sf):
+    docs = _table(spark, sf, "documents")
+    held = text.remainder("doc_id", 10) == 0
+    model, counts = brown.learn(docs.filter(~held))
+    return brown.score(docs, model, counts, "doc_id").withColumn("held_out", held)
+
+
+@query
+def op6_line_frequency(spark, sf):
+    return line_frequency.quality(_table(spark, sf, "documents"), "doc_id")
+
+
+@query
+def op8_secrets(spark, sf):
+    found = ownership.secrets(_table(spark, sf, "documents"), "doc_id", "source", "doc_id")
+    return found.withColumn("base_sha256", F.sha2("base_spans", 256)).select(
+        "doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "spans", "n_live", "live_spans"
+    )
