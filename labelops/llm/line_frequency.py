@@ -24,7 +24,7 @@ def _words(body: Column) -> Column:
 
 def _repeated(windows: Column, sorted_windows: Column) -> Column:
     """Words that lie in a three-word window found twice or more; windows are hashes in text order."""
-    twice = F.array_distinct(F.filter(sorted_windows, lambda x, i: (i > 0) & (x == F.get(sorted_windows, i - 1))))
+    twice = F.array_distinct(F.filter(sorted_windows, lambda x, i: x == F.get(sorted_windows, i - 1)))
 
     def covered(places: Column) -> Column:
         start = F.struct(F.lit(-3).alias("last"), F.lit(0).alias("n"))
@@ -34,12 +34,13 @@ def _repeated(windows: Column, sorted_windows: Column) -> Column:
         marked = F.transform(windows, lambda x, i: F.when(F.array_contains(found, x), i))
         return F.filter(marked, lambda p: p.isNotNull())
 
-    placed = F.sort_array(F.transform(windows, lambda x, i: F.struct(x.alias("x"), i.alias("i"))))
-    pairs = F.filter(
-        F.transform(placed, lambda s, i: F.when((s["x"] == F.get(placed, i - 1)["x"]) | (s["x"] == F.get(placed, i + 1)["x"]), s["i"])), lambda p: p.isNotNull()
-    )
-    # the value of ``twice`` is bound by a one-element array, so that it is worked out once
-    counted = F.transform(F.array(twice), lambda t: F.when(F.size(t) == 0, F.lit(0)).when(F.size(t) <= FEW, covered(looked_up(t))).otherwise(covered(F.sort_array(pairs))))
+    def sorted_places() -> Column:
+        placed = F.sort_array(F.transform(windows, lambda x, i: F.struct(x.alias("x"), i.alias("i"))))
+        paired = F.transform(F.array(placed), lambda p: F.filter(p, lambda s, i: (s["x"] == F.get(p, i - 1)["x"]) | (s["x"] == F.get(p, i + 1)["x"])))
+        return F.sort_array(F.transform(paired[0], lambda s: s["i"]))
+
+    # a value that a lambda uses for each element is bound by a one-element array, so that it is worked out once
+    counted = F.transform(F.array(twice), lambda t: F.when(F.size(t) == 0, F.lit(0)).when(F.size(t) <= FEW, covered(looked_up(t))).otherwise(covered(sorted_places())))
     return counted[0]
 
 

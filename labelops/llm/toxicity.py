@@ -60,9 +60,10 @@ def segments(places: list[int], scores: list[float], drift: float) -> list[tuple
     """All maximal scoring segments (first token, last token, score) of a text whose other tokens score -drift.
 
     Linear in the number of scored tokens: each new segment looks back for one that starts lower than it, and
-    joins with it where that raises the score (the method of all maximal scoring subsequences).
+    joins with it where that raises the score (the method of all maximal scoring subsequences). A link to the
+    nearest segment that starts lower saves looking at those in between again.
     """
-    held: list[tuple[int, int, float, float]] = []  # first, last, sum before, sum after
+    held: list[tuple[int, int, float, float, int]] = []  # first, last, sum before, sum after, link
     total, at = 0.0, 0
     for place, score in zip(places, scores):
         total -= drift * (place - at)
@@ -73,13 +74,13 @@ def segments(places: list[int], scores: list[float], drift: float) -> list[tuple
         while True:
             j = len(held) - 1
             while j >= 0 and held[j][2] >= before:
-                j -= 1
+                j = held[j][4]
             if j < 0 or held[j][3] >= after:
-                held.append((first, place, before, after))
+                held.append((first, place, before, after, j))
                 break
             first, before = held[j][0], held[j][2]
             del held[j:]
-    return [(a, b, after - before) for a, b, before, after in held]
+    return [(a, b, after - before) for a, b, before, after, _ in held]
 
 
 def _scan(model: Model, texts: list[str | None], cache: text.WordHashes) -> Iterator[tuple[int, list[tuple[int, int, float]]]]:
@@ -199,16 +200,15 @@ def _binned(shared):
 
 
 def _logistic(points: list[tuple[float, int, int]]) -> tuple[float, float]:
-    """Slope and shift of a logistic curve through weighted (evidence, label) counts; each label weighs the same."""
+    """Slope and shift of a logistic curve through (evidence, label, count) points."""
     x, y, w = (np.array(v, float) for v in zip(*points))
-    for label in (0, 1):
-        w[y == label] /= max(1.0, w[y == label].sum())
+    w /= w.sum()
     theta = np.array([0.5, -0.5])
     design = np.stack([x, np.ones_like(x)], 1)
     for _ in range(50):
         p = 1 / (1 + np.exp(-np.clip(design @ theta, -30, 30)))
-        grad = design.T @ (w * (y - p)) - 1e-3 * theta
-        hess = (design * (w * p * (1 - p))[:, None]).T @ design + 1e-3 * np.eye(2)
+        grad = design.T @ (w * (y - p)) - 1e-5 * theta
+        hess = (design * (w * p * (1 - p))[:, None]).T @ design + 1e-5 * np.eye(2)
         theta = theta + np.clip(np.linalg.solve(hess, grad), -2, 2)
     return float(theta[0]), float(theta[1])
 
