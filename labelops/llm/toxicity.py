@@ -203,14 +203,20 @@ def _logistic(points: list[tuple[float, int, int]]) -> tuple[float, float]:
     """Slope and shift of a logistic curve through (evidence, label, count) points."""
     x, y, w = (np.array(v, float) for v in zip(*points))
     w /= w.sum()
-    theta = np.array([0.5, -0.5])
-    design = np.stack([x, np.ones_like(x)], 1)
-    for _ in range(50):
-        p = 1 / (1 + np.exp(-np.clip(design @ theta, -30, 30)))
+    design = np.stack([x / 10, np.ones_like(x)], 1)
+    loss = lambda v: float((w * (np.logaddexp(0, design @ v) - y * (design @ v))).sum() + 5e-6 * v @ v)
+    theta = np.zeros(2)
+    for _ in range(200):
+        p = 1 / (1 + np.exp(-np.clip(design @ theta, -500, 500)))
         grad = design.T @ (w * (y - p)) - 1e-5 * theta
         hess = (design * (w * p * (1 - p))[:, None]).T @ design + 1e-5 * np.eye(2)
-        theta = theta + np.clip(np.linalg.solve(hess, grad), -2, 2)
-    return float(theta[0]), float(theta[1])
+        step, now = np.linalg.solve(hess, grad), loss(theta)
+        while loss(theta + step) > now and np.abs(step).max() > 1e-9:
+            step = step / 2
+        theta = theta + step
+        if np.abs(step).max() < 1e-9:
+            break
+    return float(theta[0]) / 10, float(theta[1])
 
 
 # --- scoring ------------------------------------------------------------------------------------
