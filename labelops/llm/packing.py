@@ -10,6 +10,7 @@ waits for another: each works out its place from its number among texts of its l
 from __future__ import annotations
 
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -30,6 +31,14 @@ BLOCK = 64
 ROUNDS = 400
 #: Texts of one length that are numbered in one task.
 NUMBERED = 100_000
+#: Fixed value: marks that often end a word; none begins a contraction.
+MARKS = frozenset(".,;:!?")
+#: Units a worker remembers; results do not depend on it.
+CACHE_UNITS = 1_000_000
+#: How byte-level vocabularies write a byte: printable ones as they are, the others from character 256 on.
+PRINTED = [*range(33, 127), *range(161, 173), *range(174, 256)]
+UNPRINTED = [b for b in range(256) if b not in PRINTED]
+BYTE_CHARS = [chr(b) if b in PRINTED else chr(256 + UNPRINTED.index(b)) for b in range(256)]
 ZEROS = bytes(4 * BLOCK)
 ZERO_CRC = zlib.crc32(ZEROS)
 
@@ -50,27 +59,74 @@ class UnitIds(dict):
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
+        self.model = self.tokenizer.model
+        self.spaced = Spaced(self)
 
     def __missing__(self, unit: str) -> bytes:
-        if len(self) >= text.CACHE_WORDS:
+        if len(self) >= CACHE_UNITS:
             self.clear()
-        ids = np.asarray(self.tokenizer.encode(unit, add_special_tokens=False).ids, "<u4").tobytes()
-        self[unit] = ids
+        self[unit] = ids = self.alone(unit)
         return ids
 
-    def of(self, body: str) -> bytes:
-        first, *rest = body.split(" ")
-        if any(not u or u[0].isspace() for u in rest):
-            units = ["" + first]
-            for u in rest:
-                if u and not u[0].isspace():
-                    units.append(" " + u)
-                else:
-                    units[-1] += " " + u
+    def alone(self, unit: str) -> bytes:
+        # the pattern also ends a piece between a letter or digit and a mark after it, and after a line feed before it
+        if unit[-1:] in MARKS and unit[-2:-1].isalnum():
+            body = unit[:-1]
+            return (self.spaced[body[1:]] if body[:1] == " " else self[body]) + self[unit[-1]]
+        if unit[:1] == "\n" and unit[1:2].isalnum():
+            return self["\n"] + self[unit[1:]]
+        if unit.isalpha() or unit[:1] == " " and unit[1:].isalpha():
+            # letters with at most one space before them are one piece, so the vocabulary's merges apply at once
+            found = [t.id for t in self.model.tokenize("".join(map(BYTE_CHARS.__getitem__, unit.encode())))]
         else:
-            units = [first, *[" " + u for u in rest]]
+            found = self.tokenizer.encode(unit, add_special_tokens=False).ids
+        return array("I", found).tobytes()
+
+    def mixed(self, part: str) -> bytes:
+        """Ids of text with any white space; units start at a space that no other white space follows."""
+        first, *rest = part.split(" ")
+        units = [first]
+        for u in rest:
+            if u and not u[0].isspace():
+                units.append(" " + u)
+            else:
+                units[-1] += " " + u
         return b"".join(map(self.__getitem__, units))
 
+    def of(self, body: str) -> bytes:
+        """Ids of a whole text. Lines of words with single spaces are units at once; other lines are held together,
+        since white space around a line feed forms one run.
+        """
+        out, held = [], None
+        for n, line in enumerate(body.split("\n")):
+            mark = "\n" if n else ""
+            if line and line.isprintable() and line[0] != " " and line[-1] != " " and "  " not in line:
+                if held is not None:
+                    out.append(self.mixed(held))
+                    held = None
+                first, *rest = line.split(" ")
+                out.append(self[mark + first])
+                out.extend(map(self.spaced.__getitem__, rest))
+            else:
+                held = (held or "") + mark + line
+        if held is not None:
+            out.append(self.mixed(held))
+        return b"".join(out)
+
+
+class Spaced(dict):
+    """Ids of words with the space before them, by the word alone."""
+
+    def __init__(self, units: UnitIds):
+        super().__init__()
+        self.units = units
+
+    def __missing__(self, word: str) -> bytes:
+        if len(self) >= CACHE_UNITS:
+            self.clear()
+        self[word] = ids = self.units.alone(" " + word)
+        return ids
+
 
 _WORKER: dict[str, UnitIds] = {}
 
