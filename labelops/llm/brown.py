@@ -15,7 +15,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -23,8 +23,8 @@ from labelops.lineage import stored
 from labelops.llm import text
 
 #: Units that are clustered: frequent words, then forms of the other words.
-WORDS = 6000
-FORMS = 2000
+WORDS = 2000
+FORMS = 500
 CLASSES = 64
 ROUNDS = 4
 ADD = 0.1
@@ -103,6 +103,8 @@ def _bigrams(shared):
         units, size = shared.value
         numbers = UnitNumbers(units, size - 1)
         end = units[END]
+        # one cell per pair of units, so that a whole partition is counted before anything is shuffled
+        cells = np.zeros(size * size, np.int64)
         for batch in text.pieces(batches, "text"):
             pairs = []
             for body in batch.column("text").to_pylist():
@@ -111,8 +113,11 @@ def _bigrams(shared):
                 row[0] = row[-1] = end
                 row[1:-1] = np.fromiter(map(numbers.__getitem__, words), np.int64, len(words))
                 pairs.append(row[:-1] * size + row[1:])
-            pair, n = np.unique(np.concatenate(pairs), return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array(pair), pa.array(n, pa.int64())], names=["pair", "n"])
+            cells += np.bincount(np.concatenate(pairs), minlength=size * size)
+        at = np.flatnonzero(cells)
+        for a in range(0, len(at), 500_000):
+            part = at[a : a + 500_000]
+            yield pa.RecordBatch.from_arrays([pa.array(part), pa.array(cells[part])], names=["pair", "n"])
 
     return run
 
@@ -239,13 +244,29 @@ def _class_sizes(shared):
 
 
 def _chunk_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The distinct words of each chunk met in a batch."""
+    """The distinct words of each chunk; a word may come twice where a task holds many chunks."""
+    seen: dict[int, set[bytes]] = {}
+
+    def parts() -> Iterator[pa.RecordBatch]:
+        for chunk, words in seen.items():
+            yield pa.RecordBatch.from_arrays([pa.array([chunk] * len(words), pa.int32()), pa.array(list(words), pa.binary())], names=["chunk", "word"])
+        seen.clear()
+
     for batch in text.pieces(batches, "text"):
-        seen: dict[int, set[bytes]] = {}
         for chunk, body in zip(batch.column("chunk").to_pylist(), batch.column("text").to_pylist()):
             seen.setdefault(chunk, {END}).update(_words(body))
-        for chunk, words in seen.items():
-            yield pa.RecordBatch.from_arrays([pa.array([chunk] * len(words), pa.int32()), pa.array(list(words), pa.binary())], names=["chunk", "word"])
+        if sum(map(len, seen.values())) > 2 * text.CACHE_WORDS:
+            yield from parts()
+    yield from parts()
+
+
+class Known(dict):
+    """Row of each word with a count; ``other`` for the rest."""
+
+    other = 0
+
+    def __missing__(self, word: bytes) -> int:
+        return self.other
 
 
 def score(items: DataFrame, model: Model, counts: DataFrame, id_col: str = "path", text_col: str = "text", mix: float = MIX) -> DataFrame:
@@ -255,14 +276,15 @@ def score(items: DataFrame, model: Model, counts: DataFrame, id_col: str = "path
     (N + 0.1 (V + 1))); ``score`` is the log10 probability of the text under the mixture of class model and
     plain counts, each of which leaves room for unseen words. NULL and empty texts have the closing token alone.
     Texts are dealt to chunks by the hash of the id, and each chunk is joined with the counts of its own
-    words, so no task sees the whole table.
+    words, so no task sees the whole table. The texts are shuffled once, for both sides of that.
     """
     spark = items.sparkSession
     rows = items.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     volume = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     chunks = max(1, -(-volume // CHUNK_BYTES))
     rows = rows.withColumn("chunk", F.pmod(F.xxhash64("id", F.xxhash64("text")), F.lit(chunks)).cast("int"))
-    wanted = rows.select("chunk", "text").mapInArrow(_chunk_words, "chunk int, word binary").distinct()
+    rows = rows.repartition(chunks if chunks <= 2000 else max(2000, chunks // 16), "chunk")
+    wanted = rows.mapInArrow(_chunk_words, "chunk int, word binary")
     known = wanted.join(counts, "word").select("chunk", "word", "n")
     schema = T.StructType([
         T.StructField("id", items.schema[id_col].dataType), *[T.StructField(n, T.LongType()) for n in ("n_tokens", "n_known", "train_tokens")],
@@ -276,20 +298,25 @@ def score(items: DataFrame, model: Model, counts: DataFrame, id_col: str = "path
 def _scorer(shared, schema: T.StructType, mix: float):
     def run(docs: pa.Table, known: pa.Table) -> pa.Table:
         m: Model = shared.value
-        table = {w: i for i, w in enumerate(known.column("word").to_pylist())}
+        found = known.column("word").to_pylist()
+        table = Known(zip(found, range(len(found))))
         n = np.append(known.column("n").to_numpy(), 0).astype(float)
         numbers = UnitNumbers(m.units, len(m.classes) - 1)
-        unseen = len(table)
+        unseen = table.other = len(found)
         plain = (n + ADD) / (m.tokens + ADD * (m.distinct + 1))
         log_plain = np.log10(plain)
         size = m.uses + ADD * (m.kinds + 1)
+        classes = m.classes[np.fromiter(map(numbers.__getitem__, found), np.int64, len(found))]
+        classes = np.append(classes, 0)
         cols: list[list] = [[] for _ in range(6)]
         end = m.classes[m.units[END]]
         for body in docs.column("text").to_pylist():
             words = _words(body)
             words.append(END)
-            at = np.fromiter((table.get(w, unseen) for w in words), np.int64, len(words))
-            own = m.classes[np.fromiter(map(numbers.__getitem__, words), np.int64, len(words))]
+            at = np.fromiter(map(table.__getitem__, words), np.int64, len(words))
+            own = classes[at]
+            for i in np.flatnonzero(at == unseen):
+                own[i] = m.classes[numbers[words[i]]]
             step = 10 ** m.moves[np.concatenate(([end], own[:-1])), own]
             value = float(np.log10(mix * step * (n[at] + ADD) / size[own] + (1 - mix) * plain[at]).sum())
             for col, v in zip(cols, (len(words), int((n[at] > 0).sum()), m.tokens, float(log_plain[at].sum()), value, 10 ** min(300.0, -value / len(words)))):
