@@ -58,7 +58,7 @@ def blur_reason(sharpness: Column, threshold: float = Quality.min_sharpness) ->
 
 
 def extension_reason(file_name: Column, extensions) -> Column:
-    suffix = F.regexp_extract(F.lower(file_name), "[^.]\\.([^.]+)$", 1)
+    suffix = F.regexp_extract(F.lower(file_name), "^.+\\.([^.]+)$", 1)
     return F.when(~suffix.isin(list(extensions)), "unsupported_extension")
 
 

@@ -48,16 +48,17 @@ def ascii_token(df: DataFrame, col: str, out: str = "ascii_token") -> DataFrame:
     """Accent-folded token. Only distinct non-ASCII names reach Python; the rest stays native.
 
     The folded names are written once and broadcast when they are few, as folder names are."""
-    plain = ~F.col(col).rlike("[^\\x00-\\x7F]")
+    plain = F.coalesce(~F.col(col).rlike("[^\\x00-\\x7F]"), F.lit(True))
     folded = cut(
         df.where(~plain)
         .select(F.col(col).alias("_name"))
         .distinct()
         .withColumn("_folded", _squash(_strip_marks(F.lower(F.trim("_name")))))
     )
-    joined = df.join(broadcast_if_small(folded), F.col(col) == F.col("_name"), "left")
-    return joined.withColumn(out, F.when(plain, safe_token(F.col(col))).otherwise(F.col("_folded"))).drop(
-        "_name", "_folded"
+    # only rows with something to fold take part in the join
+    joined = df.where(~plain).join(broadcast_if_small(folded), F.col(col) == F.col("_name"), "left")
+    return df.where(plain).withColumn(out, safe_token(F.col(col))).unionByName(
+        joined.withColumn(out, F.col("_folded")).drop("_name", "_folded")
     )
 
 

@@ -19,16 +19,21 @@ def listing_order(*cols: str) -> list[Column]:
     return [c for name in cols for c in (F.lower(name), F.col(name))]
 
 
+def _last_by_path(df: DataFrame, order: Sequence[str]) -> list[Column]:
+    """The listing order, then the path where there is one, so that no tie is left to the partitioning."""
+    return listing_order(*order, *(["path"] if "path" in df.columns and "path" not in order else []))
+
+
 def dedup_exact(df: DataFrame, key: str = "content_hash", order: Sequence[str] = LISTING) -> DataFrame:
     """First row of every content, across all classes."""
-    return first_rows(df, [key], listing_order(*order))
+    return first_rows(df, [key], _last_by_path(df, order))
 
 
 def dedup_in_class(
     df: DataFrame, key: str = "phash", group: str = "class", order: Sequence[str] = ("raw_class", "file_name")
 ) -> DataFrame:
     """First row of every perceptual hash inside a merged class."""
-    return first_rows(df, [group, key], listing_order(*order))
+    return first_rows(df, [group, key], _last_by_path(df, order))
 
 
 def mark_copies(df: DataFrame, keys: Sequence[str], order: Sequence[str], row_key: Sequence[str]) -> DataFrame:

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from labelops.lineage import broadcast_if_small, cut, join_on
-from labelops.operators.labels import class_weights
+from labelops.operators.labels import checked_label, class_weights
 from labelops.operators.metrics import class_metrics, confusion, prediction, summary_metrics, top_confusions, weak_classes
 from labelops.operators.threshold import Sweep, binary_metrics, pick_threshold, threshold_sweep
 
@@ -52,10 +52,10 @@ class ClassModel:
         )
 
 
-def _weighted(train: DataFrame, label: str, clip, features: str) -> DataFrame:
+def _weighted(train: DataFrame, label: str, clip, features: str, k: int) -> DataFrame:
     """Training rows as vectors; the few class weights come in by a broadcast on the label."""
     rows = train.select(F.col(label).cast("double").alias("label"), array_to_vector(F.col(features)).alias("_v"))
-    weights = cut(class_weights(rows, "label", clip).select(F.col("class").alias("label"), "weight"))
+    weights = cut(class_weights(rows, "label", clip, k).select(F.col("class").alias("label"), "weight"))
     return join_on(rows, broadcast_if_small(weights), ["label"])
 
 
@@ -72,7 +72,7 @@ def _fit(rows: DataFrame, family: str, max_iter: int) -> LogisticRegressionModel
 
 def fit_gate(df: DataFrame, cfg: Sweep = Sweep(), label: str = "truth", features: str = "features", max_iter: int = 50) -> Gate:
     """Fit on ``split = train`` with balanced weights, choose the threshold on val, report on test."""
-    rows = _weighted(df.where("split = 'train'"), label, None, features)
+    rows = _weighted(df.where("split = 'train'"), label, None, features, 2)
     model = _fit(rows, "binomial", max_iter)
     gate = Gate(model, 0.5, None, None)
     scored = gate.score(df.where("split in ('val', 'test')"), features)
@@ -89,7 +89,7 @@ def fit_classes(
     """Fit a softmax model on ``split = train`` and report on test."""
     train = df.where("split = 'train'")
     if weighted:
-        rows = _weighted(train, label, clip, features)
+        rows = _weighted(train, label, clip, features, k)
     else:
         rows = train.select(
             F.col(label).cast("double").alias("label"), array_to_vector(F.col(features)).alias("_v"),
@@ -119,22 +119,23 @@ def score(
     """Add ``score`` and ``probs`` from user models; the class model runs on rows that pass only.
 
     Each function builds its model once per worker and returns a predictor over NumPy batches. The
-    rows are split by a filter, since a UDF inside a CASE branch would run on every row."""
+    gated rows are written once, so that the gate runs once per row and a row takes one branch whatever a second
+    run would say; they are split by a filter, since a UDF inside a CASE branch would run on every row."""
     shapes = [[dim]] if dim else None
     gate_udf = predict_batch_udf(gate_fn, return_type=T.DoubleType(), batch_size=batch_size, input_tensor_shapes=shapes)
     class_udf = predict_batch_udf(class_fn, return_type=T.ArrayType(T.DoubleType()), batch_size=batch_size, input_tensor_shapes=shapes)
-    gated = df.withColumn("score", gate_udf(F.col(features)))
+    gated = cut(df.withColumn("score", gate_udf(F.col(features))))
     wanted = F.coalesce(F.col("score") >= threshold if needs_class is None else needs_class, F.lit(False))
     passed = gated.where(wanted).withColumn("probs", class_udf(F.col(features)))
     stopped = gated.where(~wanted).withColumn("probs", F.lit(None).cast("array<double>"))
     return passed.unionByName(stopped)
 
 
-def centroids(df: DataFrame, label: str = "label", features: str = "embedding", classes: int = 1000) -> DataFrame:
-    """Class means: (label, center). One partial aggregate; vectors are never collected."""
+def centroids(df: DataFrame, k: int, label: str = "label", features: str = "embedding") -> DataFrame:
+    """Class means: (label, center). One partial aggregate; vectors are never collected. A label outside [0, k) is an error."""
     mean = Summarizer.mean(array_to_vector(F.col(features).cast("array<double>")))
-    out = df.groupBy(F.col(label).alias("label")).agg(mean.alias("_m"))
-    return out.select("label", vector_to_array("_m").alias("center")).where(F.col("label").between(0, classes - 1))
+    out = df.groupBy(checked_label(F.col(label), k).alias("label")).agg(mean.alias("_m"))
+    return out.select("label", vector_to_array("_m").alias("center"))
 
 
 def centroid_scores(

@@ -148,10 +148,10 @@ def assert_unchanged(before: DataFrame, after: DataFrame) -> None:
 
 
 def reconcile(plan: DataFrame, written: DataFrame, keys: Sequence[str] = ("split", "class", "file_name")) -> DataFrame:
-    """Rows of the plan that were not written and written rows that were not planned."""
-    return name_sets(plan, written, list(keys)).where(F.col("side") != "both").withColumn(
-        "side", F.when(F.col("side") == "left_only", "not_written").otherwise("not_planned")
-    )
+    """Keys that were planned more often than written (not_written), or written more often than planned."""
+    tagged = plan.select(*keys, F.lit(1).alias("_n")).unionByName(written.select(*keys, F.lit(-1).alias("_n")))
+    counts = tagged.groupBy(*keys).agg(F.sum("_n").alias("_n")).where(F.col("_n") != 0)
+    return counts.select(*keys, F.when(F.col("_n") > 0, "not_written").otherwise("not_planned").alias("side"))
 
 
 def preview(df: DataFrame, keys: Sequence[str], order: Sequence, n: int = 30) -> DataFrame:

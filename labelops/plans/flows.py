@@ -32,6 +32,7 @@ from labelops.operators.labels import label_index
 from labelops.operators.taxonomy import drop_other, map_upload_label, missing_names, raw_mapping, supported_only
 from labelops.operators.taxonomy import taxonomy_plan
 from labelops.sources import readers, sinks
+from labelops.sources.scans import scan_labelled
 
 
 def _require_none(findings: DataFrame, what: str) -> None:
@@ -375,10 +376,11 @@ def rebuild(stage: str, items: DataFrame, paths: RebuildPaths, crops: DataFrame
     ``preprocess`` writes the cleaning-and-crop report; ``crop`` the same with crop figures only;
     ``split`` writes the main and the ``other``-free split datasets and returns the checks."""
     if stage == "split":
-        before = validate.snapshot(items)
+        # taken before anything is written, and again from a fresh listing afterwards
+        before = cut(validate.snapshot(scan_labelled(items.sparkSession, paths.raw)))
         main = split_dataset(items, seed=seed, root=paths.main, clean_output=clean_output)
         subset, _ = build_subset(main.rows, paths.subset, clean_output)
-        return validate_dataset(main.rows, subset, before=before, after=validate.snapshot(items))
+        return validate_dataset(main.rows, subset, before=before, after=validate.snapshot(scan_labelled(items.sparkSession, paths.raw)))
     if stage not in ("preprocess", "crop"):
         raise ValueError(f"unknown stage: {stage}")
     crops = crop_audit(items if crops is None else crops)[1].where(F.col("class").isNotNull())

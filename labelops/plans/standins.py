@@ -45,13 +45,14 @@ def items(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def split_items(spark: SparkSession, sf: str) -> DataFrame:
-    return stratified_split(items(spark, sf))
+    """The narrow listing is written once, since the split reads it several times."""
+    return stratified_split(cut(items(spark, sf)))
 
 
 def scored(spark: SparkSession, sf: str) -> DataFrame:
     """Embeddings with class scores: (vec_id, true_idx, probs)."""
     vectors = table(spark, sf, "embeddings")
-    means = centroids(vectors)
+    means = centroids(vectors, K)
     return centroid_scores(vectors, means, K).select("vec_id", F.col("label").alias("true_idx"), "probs")
 
 

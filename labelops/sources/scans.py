@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -27,10 +28,13 @@ def decoded_path(col: Column) -> Column:
     return clean_path(F.url_decode(F.regexp_replace(col, "\\+", "%2B")))
 
 
-def _relative(root: str) -> Column:
-    base = root.rstrip("/").split(":", 1)[-1]
-    inside = "/" + base.lstrip("/") + "/" if base.startswith("/") else "/" + base + "/"
-    return F.split_part(F.col("path"), F.lit(inside), F.lit(2))
+def _relative(spark: SparkSession, root: str) -> Column:
+    """The path below the root; a listed file outside the root as the file system spells it is an error."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(root)
+    base = path.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(path).toString()
+    prefix = re.sub("^file:/+", "file:/", base).rstrip("/") + "/"
+    outside = F.raise_error(F.concat(F.lit(f"not below {prefix}: "), F.col("path"))).cast("string")
+    return F.when(F.col("path").startswith(prefix), F.substring("path", len(prefix) + 1, 1 << 30)).otherwise(outside)
 
 
 def _scan(spark: SparkSession, root: str, extensions: Sequence[str] | None, content_hash: bool, max_bytes: int | None):
@@ -38,12 +42,13 @@ def _scan(spark: SparkSession, root: str, extensions: Sequence[str] | None, cont
     if extensions is not None:
         reader = reader.option("pathGlobFilter", _extension_glob(extensions))
     files = reader.load(root)
-    if max_bytes is not None:
-        files = files.where(F.col("length") <= max_bytes)
     cols = [clean_path(F.col("path")).alias("path"), F.col("modificationTime").alias("mtime"), "length"]
+    large = F.col("length") > max_bytes if max_bytes is not None else F.lit(False)
     if content_hash:
-        cols.append(F.sha2("content", 256).alias("content_hash"))
-    return files.select(*cols).withColumn("_rel", _relative(root))
+        cols.append(F.when(~large, F.sha2("content", 256)).alias("content_hash"))
+    if max_bytes is not None:
+        cols.append(F.when(large, "file_too_large").alias("reason"))
+    return files.select(*cols).withColumn("_rel", _relative(spark, root))
 
 
 def scan_labelled(
@@ -56,7 +61,8 @@ def scan_labelled(
 ) -> DataFrame:
     """``<root>/<class>/<file>`` as (class, file_name, path, length, mtime[, content_hash]).
 
-    With ``keep_unsupported`` files with another extension stay, so that they can be counted."""
+    With ``keep_unsupported`` files with another extension stay, so that they can be counted. With ``max_bytes``
+    a column ``reason`` says ``file_too_large`` for larger files, and their content hash is NULL."""
     files = _scan(spark, root, None if keep_unsupported else extensions, content_hash, max_bytes)
     return (
         files.where(F.col("_rel").rlike("^[^/]+/[^/]+$"))

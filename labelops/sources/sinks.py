@@ -38,10 +38,18 @@ def write_splits(df: DataFrame, root: str, clean_output: bool = False, keys=("sp
         raise ValueError(f"written rows differ from the plan: {example}")
     fs, target = _fs(spark, root)
     _, source = _fs(spark, staging)
-    if fs.exists(target):
-        fs.delete(target, True)
+    _, aside = _fs(spark, root.rstrip("/") + "__replaced")
+    replaced = fs.exists(target)
+    if replaced:
+        fs.delete(aside, True)
+        if not fs.rename(target, aside):
+            raise OSError(f"could not set the old output aside: {root}")
     if not fs.rename(source, target):
+        if replaced:
+            fs.rename(aside, target)
         raise OSError(f"could not publish {staging} as {root}")
+    if replaced:
+        fs.delete(aside, True)
 
 
 def read_splits(spark: SparkSession, root: str, schema: T.StructType | None = None) -> DataFrame:

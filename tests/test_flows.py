@@ -95,18 +95,30 @@ def test_clean_splits_and_views(items):
     assert views["no_other"].select("label").distinct().count() == 6 and views["multiclass"].agg(F.max("label")).first()[0] == 6
 
 
-def test_crop_audit_and_rebuild(spark, items, tmp_path):
+def test_crop_audit_and_rebuild(spark, items, tmp_path, monkeypatch):
     crops = items.withColumn("class", F.lower("raw_class")).withColumn("bbox", F.expr("named_struct('x1', 60, 'y1', 60, 'x2', 260, 'y2', 260)")).withColumns(
         {"texture": F.lit(30.0), "contrast": F.lit(0.0), "edge_density": F.lit(0.0)})
     decisions, summary = flows.crop_audit(crops)
     total = summary.where("class is null").first()
     assert (total["total"], total["failed"], total["cropped"]) == (280, 7, 7 * 37)
     assert decisions.where("reason = 'image_too_small' and applied").isEmpty()
-    paths = flows.RebuildPaths("/raw", str(tmp_path / "m"), str(tmp_path / "s"), str(tmp_path / "r"))
+    for name in ("apple/a.jpg", "kiwi/b.png"):
+        (tmp_path / "raw" / name).parent.mkdir(parents=True)
+        (tmp_path / "raw" / name).write_bytes(b"x")
+    paths = flows.RebuildPaths(str(tmp_path / "raw"), str(tmp_path / "m"), str(tmp_path / "s"), str(tmp_path / "r"))
     totals = flows.rebuild("preprocess", items, paths, crops.withColumn("class", F.replace("class", F.lit("_c"), F.lit("")))).first()
     assert totals["raw_images"] == 280 and totals["valid_images"] == 245
     assert flows.rebuild("crop", items, paths, crops).first()["raw_images"] == 0
     assert flows.rebuild("split", split_source(items), paths).count() == 2
+    build = flows.build_subset
+
+    def meddle(*args):
+        (tmp_path / "raw" / "apple" / "new.jpg").write_bytes(b"y")
+        return build(*args)
+
+    monkeypatch.setattr(flows, "build_subset", meddle)
+    with pytest.raises(ValueError, match="source changed"):
+        flows.rebuild("split", split_source(items), paths, clean_output=True)
     with pytest.raises(ValueError, match="inside the source"):
         flows.RebuildPaths("/raw", "/raw/x", "/s", "/r")
 
@@ -161,6 +173,6 @@ def test_fits(spark):
     assert gate.test.first()["accuracy"] > 0.85 and 0.3 <= gate.threshold <= 0.81
     model = learn.fit_classes(df, 3, max_iter=20)
     assert model.summary.first()["accuracy"] > 0.85 and model.matrix.count() == 9
-    scores = learn.centroid_scores(df, learn.centroids(df, features="features"), 3, "features")
+    scores = learn.centroid_scores(df, learn.centroids(df, 3, features="features"), 3, "features")
     hit = scores.select((metrics.prediction(F.col("probs")) == F.col("label")).cast("int").alias("h")).agg(F.avg("h")).first()[0]
     assert hit > 0.9 and scores.where(F.abs(F.aggregate("probs", F.lit(0.0), lambda a, b: a + b) - 1) > 1e-9).isEmpty()
