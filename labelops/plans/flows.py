@@ -341,14 +341,19 @@ def analyze_confusion(
     }
 
 
+def compare_run_tables(history: DataFrame, report: DataFrame, kv: DataFrame) -> dict[str, DataFrame]:
+    """Summary table and best run from epochs and the metrics (run, metric, value) of both kinds of metric file."""
+    rows = runs.metric_rows(runs.run_summary(history), runs.normalize_metrics(report, kv))
+    return {"rows": rows, "best": runs.best_run(rows), "epochs": runs.epoch_index(history), "stages": runs.best_stage(history)}
+
+
 def compare_training_runs(spark: SparkSession, folder: str, history_name: str = "history.json") -> dict[str, DataFrame]:
     """Summary table and best run of all run folders ``<folder>/<run>/``."""
-    history = readers.read_history(spark, f"{folder}/*/{history_name}")
-    kv = readers.read_kv_metrics(spark, f"{folder}/*/test_results.txt")
-    report = readers.read_report_metrics(spark, f"{folder}/*/classification_report.txt")
-    normal = runs.normalize_metrics(report, kv)
-    rows = runs.metric_rows(runs.run_summary(history), normal)
-    return {"rows": rows, "best": runs.best_run(rows), "epochs": runs.epoch_index(history), "stages": runs.best_stage(history)}
+    return compare_run_tables(
+        readers.read_history(spark, f"{folder}/*/{history_name}"),
+        readers.read_report_metrics(spark, f"{folder}/*/classification_report.txt"),
+        readers.read_kv_metrics(spark, f"{folder}/*/test_results.txt"),
+    )
 
 
 # --- rebuild -----------------------------------------------------------------------------------

@@ -54,48 +54,63 @@ def _folder(file: Column) -> Column:
     return F.regexp_replace(file, "/[^/]*$", "")
 
 
-def read_class_names(spark: SparkSession, path: str) -> DataFrame:
-    """(pos, class_name) from a JSON list, a JSON object with ``class_names`` or text lines."""
-    body = F.trim("value")
-    lines = F.filter(F.transform(F.split("value", "\\R"), lambda x: F.trim(x)), lambda x: x != "")
+def parse_class_names(value: Column, forbidden: Sequence[str] = ()) -> Column:
+    """Checked names from the text of a class list: JSON list, JSON object with ``class_names``, or lines."""
+    body = F.trim(value)
+    lines = F.filter(F.transform(F.split(value, "\\R"), lambda x: F.trim(x)), lambda x: x != "")
     names = (
         F.when(body.startswith("["), F.from_json(body, "array<string>"))
         .when(body.startswith("{"), F.from_json(body, "struct<class_names:array<string>>")["class_names"])
         .otherwise(lines)
     )
-    return _whole(spark, path).select(
-        F.posexplode(_checked_names(F.transform(names, lambda n: F.trim(n)))).alias("pos", "class_name")
-    )
+    return _checked_names(F.transform(names, lambda n: F.trim(n)), forbidden)
+
+
+def read_class_names(spark: SparkSession, path: str) -> DataFrame:
+    """(pos, class_name) from a JSON list, a JSON object with ``class_names`` or text lines."""
+    return _whole(spark, path).select(F.posexplode(parse_class_names(F.col("value"))).alias("pos", "class_name"))
+
+
+def parse_manifest(value: Column, forbidden: Sequence[str] = (OTHER,)) -> Column:
+    """STRUCT of the ``MANIFEST`` fields from a manifest's JSON text; its class list is checked."""
+    manifest = F.from_json(value, MANIFEST)
+    return manifest.withField("class_names", _checked_names(manifest["class_names"], forbidden))
 
 
 def read_manifest(spark: SparkSession, path: str, forbidden: Sequence[str] = (OTHER,)) -> DataFrame:
     """Label manifest with a checked class list."""
-    frame = spark.read.schema(MANIFEST).json(path, multiLine=True)
-    return frame.withColumn("class_names", _checked_names(F.col("class_names"), forbidden))
+    return _whole(spark, path).select(parse_manifest(F.col("value"), forbidden).alias("m")).select("m.*")
 
 
-def read_weak_classes(spark: SparkSession, path: str) -> DataFrame:
-    """(requested) names from a JSON list or an object's ``weak_classes``; lower case, no blanks."""
-    body = F.trim("value")
+def parse_weak_classes(value: Column) -> Column:
+    """Requested names from a JSON list or an object's ``weak_classes``; lower case, no blanks."""
+    body = F.trim(value)
     names = F.when(body.startswith("["), F.from_json(body, "array<string>")).otherwise(
         F.from_json(body, "struct<weak_classes:array<string>>")["weak_classes"]
     )
-    tidy = F.filter(F.transform(names, lambda n: F.lower(F.trim(n))), lambda n: n != "")
-    return _whole(spark, path).select(F.explode(tidy).alias("requested"))
+    return F.filter(F.transform(names, lambda n: F.lower(F.trim(n))), lambda n: n != "")
 
 
-def read_kv_metrics(spark: SparkSession, path: str) -> DataFrame:
-    """(run, metric, value) from ``key: value`` lines; the run is the file's folder, text values drop out."""
+def read_weak_classes(spark: SparkSession, path: str) -> DataFrame:
+    """(requested) names of a weak-class file."""
+    return _whole(spark, path).select(F.explode(parse_weak_classes(F.col("value"))).alias("requested"))
+
+
+def parse_kv_metrics(lines: DataFrame) -> DataFrame:
+    """(run, metric, value) from (run, value) lines ``key: value``; text values drop out."""
     parts = F.split("value", ":", 2)
-    return _lines(spark, path).where(F.col("value").contains(":")).select(
-        _folder(F.col("_file")).alias("run"),
-        F.trim(parts[0]).alias("metric"),
-        F.trim(F.get(parts, F.lit(1))).try_cast("double").alias("value"),
+    return lines.where(F.col("value").contains(":")).select(
+        "run", F.trim(parts[0]).alias("metric"), F.trim(F.get(parts, F.lit(1))).try_cast("double").alias("value")
     ).where(F.col("value").isNotNull())
 
 
-def read_report_metrics(spark: SparkSession, path: str) -> DataFrame:
-    """(run, metric, value) from the accuracy, macro avg and weighted avg lines of text reports."""
+def read_kv_metrics(spark: SparkSession, path: str) -> DataFrame:
+    """(run, metric, value) from ``key: value`` files; the run is the file's folder."""
+    return parse_kv_metrics(_lines(spark, path).withColumn("run", _folder(F.col("_file"))))
+
+
+def parse_report_metrics(lines: DataFrame) -> DataFrame:
+    """(run, metric, value) from the accuracy, macro avg and weighted avg lines among (run, value) lines."""
     line = F.trim("value")
     parts = F.split(line, "\\s+")
 
@@ -111,15 +126,16 @@ def read_report_metrics(spark: SparkSession, path: str) -> DataFrame:
         .when(line.startswith("macro avg") & (F.size(parts) >= 5), triple("macro"))
         .when(line.startswith("weighted avg") & (F.size(parts) >= 5), triple("weighted"))
     )
-    return (
-        _lines(spark, path)
-        .select(_folder(F.col("_file")).alias("run"), F.inline(found))
-        .where(F.col("value").isNotNull())
-    )
+    return lines.select("run", F.inline(found)).where(F.col("value").isNotNull())
 
 
-def read_history(spark: SparkSession, path: str) -> DataFrame:
-    """(run, stage, stage_pos, i, accuracy, val_accuracy, loss, val_loss), one row per epoch.
+def read_report_metrics(spark: SparkSession, path: str) -> DataFrame:
+    """(run, metric, value) from text reports; the run is the file's folder."""
+    return parse_report_metrics(_lines(spark, path).withColumn("run", _folder(F.col("_file"))))
+
+
+def parse_history(texts: DataFrame) -> DataFrame:
+    """(run, stage, stage_pos, i, accuracy, val_accuracy, loss, val_loss), one row per epoch, from (run, value) JSON texts.
 
     Stages come in the fixed order stage1, stage2, hard_mining, then as written; a stage has as many
     epochs as losses and shorter arrays give NULL."""
@@ -135,14 +151,17 @@ def read_history(spark: SparkSession, path: str) -> DataFrame:
         return F.struct(stage.alias("stage"), F.when(raw.startswith("{"), F.from_json(raw, HISTORY)).alias("h"))
 
     objects = F.filter(F.transform(stages, parse), lambda s: s["h"].isNotNull())
-    per_stage = _whole(spark, path).select(
-        _folder(F.col("_file")).alias("run"), F.posexplode(objects).alias("stage_pos", "s")
-    )
+    per_stage = texts.select("run", F.posexplode(objects).alias("stage_pos", "s"))
     per_epoch = per_stage.select("run", "stage_pos", F.col("s.stage").alias("stage"), "s.h", F.posexplode("s.h.loss").alias("i", "loss"))
     others = [F.get(F.col(f"h.{m}"), F.col("i")).alias(m) for m in ("accuracy", "val_accuracy", "val_loss")]
     return per_epoch.select("run", "stage", "stage_pos", "i", *others[:2], "loss", others[2])
 
 
+def read_history(spark: SparkSession, path: str) -> DataFrame:
+    """Epochs of history files (see ``parse_history``); the run is the file's folder."""
+    return parse_history(_whole(spark, path).withColumn("run", _folder(F.col("_file"))))
+
+
 def read_run_configs(spark: SparkSession, path: str) -> DataFrame:
     """(run, model_path, manifest_path, input_shape) from the ``config`` object of histories."""
     schema = "struct<final_model_path:string,label_manifest_path:string,input_shape:array<int>>"

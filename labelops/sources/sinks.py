@@ -59,7 +59,7 @@ def read_splits(spark: SparkSession, root: str, schema: T.StructType | None = No
     return spark.read.schema(T.StructType(text)).parquet(root)
 
 
-def _flat(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+def csv_cells(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Fixed column order; arrays, maps and structs as JSON text."""
     nested = {f.name for f in df.schema.fields if isinstance(f.dataType, (T.ArrayType, T.MapType, T.StructType))}
     return df.select(*[F.to_json(c).alias(c) if c in nested else F.col(c) for c in cols])
@@ -67,11 +67,16 @@ def _flat(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 
 def write_csv(df: DataFrame, path: str, cols: Sequence[str] | None = None, single: bool = False, mode: str = "overwrite") -> None:
     """CSV with a header; NULL becomes an empty cell. ``single`` is for small summaries only."""
-    flat = _flat(df, cols or df.columns)
+    flat = csv_cells(df, cols or df.columns)
     flat = flat.coalesce(1) if single else flat
     flat.write.mode(mode).csv(path, header=True, nullValue="", emptyValue="", escape='"')
 
 
+def json_lines(df: DataFrame) -> DataFrame:
+    """(value): each row as the JSON text a line of ``write_jsonl`` holds; NULL fields are left out."""
+    return df.select(F.to_json(F.struct(*df.columns)).alias("value"))
+
+
 def write_jsonl(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     df.write.mode(mode).json(path)
 
