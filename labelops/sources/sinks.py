@@ -81,11 +81,24 @@ def write_jsonl(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     df.write.mode(mode).json(path)
 
 
+def _in_key_order(col: Column, kind: T.DataType) -> Column:
+    """The value with the fields of its structs in name order, at every depth."""
+    if isinstance(kind, T.StructType):
+        fields = [_in_key_order(col[f.name], f.dataType).alias(f.name) for f in sorted(kind.fields, key=lambda f: f.name)]
+        return F.when(col.isNotNull(), F.struct(*fields))
+    if isinstance(kind, T.ArrayType):
+        return F.transform(col, lambda x: _in_key_order(x, kind.elementType))
+    if isinstance(kind, T.MapType):
+        return F.transform_values(col, lambda _, v: _in_key_order(v, kind.valueType))
+    return col
+
+
 def report_json(df: DataFrame, created_at: bool = False) -> DataFrame:
-    """A one-row frame as one JSON text with its keys in order."""
+    """A one-row frame as one JSON text with the keys of all its objects in order."""
     if created_at:
         df = df.withColumn("created_at", F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss"))
-    return df.select(F.to_json(F.struct(*sorted(df.columns)), {"ignoreNullFields": "false"}).alias("value"))
+    fields = [_in_key_order(F.col(f.name), f.dataType).alias(f.name) for f in sorted(df.schema.fields, key=lambda f: f.name)]
+    return df.select(F.to_json(F.struct(*fields), {"ignoreNullFields": "false"}).alias("value"))
 
 
 def write_report(df: DataFrame, path: str, mode: str = "overwrite") -> None:

@@ -94,3 +94,10 @@ def test_models_run_once_per_row(spark):
     out = learn.score(df, gate, classes, dim=1)
     assert out.where("probs is not null").count() == 5 and out.count() == 10
     assert out._jdf.queryExecution().executedPlan().toString().count("ArrowEvalPython") == 1
+
+
+def test_report_keys_are_in_order_at_every_depth(spark):
+    inner = F.struct(F.lit(1).alias("b"), F.lit(2).alias("a"))
+    df = spark.range(1).select(inner.alias("z"), F.array(inner).alias("y"), F.create_map(F.lit("k"), inner).alias("x"), F.lit(None).cast("struct<b:int,a:int>").alias("n"))
+    want = '{"n":null,"x":{"k":{"a":2,"b":1}},"y":[{"a":2,"b":1}],"z":{"a":2,"b":1}}'
+    assert sinks.report_json(df).first()["value"] == want
