@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from labelops.constants import CLEAN_EXTENSIONS
 from labelops.functions.quality import Quality, blur_reason, extension_reason, quality_reason
-from labelops.operators.dedup import drop_near_dups, first_rows, listing_order
+from labelops.operators.dedup import drop_near_dups, first_rows, path_last
 
 
 def gate_reason(cfg: Quality = Quality(), extensions: Sequence[str] = CLEAN_EXTENSIONS, corrupted: str | None = None):
@@ -42,7 +42,7 @@ def clean(
     needed = list(dict.fromkeys([group, hash_col, *order, *row_key]))
     passed = gated.where(F.col("_gate").isNull()).select(*needed)
     if tolerance == 0:
-        kept = first_rows(passed, [group, hash_col], listing_order(*order))
+        kept = first_rows(passed, [group, hash_col], path_last(passed, order))
     else:
         kept = drop_near_dups(passed, tolerance, hash_col, group, order)
     kept = kept.select(*row_key, F.lit(True).alias("_kept"))

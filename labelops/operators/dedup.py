@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from itertools import combinations
+from math import comb
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -19,21 +20,21 @@ def listing_order(*cols: str) -> list[Column]:
     return [c for name in cols for c in (F.lower(name), F.col(name))]
 
 
-def _last_by_path(df: DataFrame, order: Sequence[str]) -> list[Column]:
+def path_last(df: DataFrame, order: Sequence[str]) -> list[Column]:
     """The listing order, then the path where there is one, so that no tie is left to the partitioning."""
     return listing_order(*order, *(["path"] if "path" in df.columns and "path" not in order else []))
 
 
 def dedup_exact(df: DataFrame, key: str = "content_hash", order: Sequence[str] = LISTING) -> DataFrame:
     """First row of every content, across all classes."""
-    return first_rows(df, [key], _last_by_path(df, order))
+    return first_rows(df, [key], path_last(df, order))
 
 
 def dedup_in_class(
     df: DataFrame, key: str = "phash", group: str = "class", order: Sequence[str] = ("raw_class", "file_name")
 ) -> DataFrame:
     """First row of every perceptual hash inside a merged class."""
-    return first_rows(df, [group, key], _last_by_path(df, order))
+    return first_rows(df, [group, key], path_last(df, order))
 
 
 def mark_copies(df: DataFrame, keys: Sequence[str], order: Sequence[str], row_key: Sequence[str]) -> DataFrame:
@@ -65,7 +66,8 @@ def duplicate_counts(
 
 # --- near duplicates ---------------------------------------------------------------------------
 
-BUCKET_LIMIT = 200
+FLIP_DISTANCE = 6
+SLICE = 2000
 SALTS = 16
 
 
@@ -97,15 +99,25 @@ def _flip_table(tables: DataFrame, radius: int) -> DataFrame:
     return out.select("tbl", F.explode("flips").alias("flip"))
 
 
-def near_pairs(hashes: DataFrame, t: int, bucket_limit: int = BUCKET_LIMIT) -> DataFrame:
+def _flip_count(masks: Sequence[int], radius: int) -> int:
+    """Most rows ``_flip_table`` makes of one row."""
+    free = max(64 - (m & (1 << 64) - 1).bit_count() for m in masks)
+    return sum(comb(free, r) for r in range(radius + 1))
+
+
+def near_pairs(hashes: DataFrame, t: int, bucket_limit: int | None = None) -> DataFrame:
     """Pairs (group, a, b), a listed before b, of distinct hashes with 1..t differing bits.
 
     ``hashes`` has (group, h, pos): each hash once per group with its place in the listing. Rows meet
     on masked parts of the hash. A bucket of up to ``bucket_limit`` rows is joined directly. A larger
     one is not paired up: both sides list the values within half the distance of their hash and meet
     there, and because hashes are distinct a meeting point can only have a fixed number of them.
-    That fixed number grows steeply with t; above 6 bits large buckets are joined directly too."""
+    The limit is by default the size from which that list is shorter than the pairs; both find the
+    same. The list grows steeply with t, so above FLIP_DISTANCE a large bucket is dealt in even slices
+    instead, and every two slices meet under a key of their own: no key holds more than two slices."""
     masks = [_signed(m) for m in _key_masks(t)]
+    if bucket_limit is None:
+        bucket_limit = 2 * (_flip_count(masks, (t + 1) // 2) + _flip_count(masks, t // 2))
     tables = literal_rows(hashes.sparkSession, ["tbl", "mask"], list(enumerate(masks)))
     bucket = ["group", "tbl", "part"]
     keyed = (
@@ -132,16 +144,22 @@ def near_pairs(hashes: DataFrame, t: int, bucket_limit: int = BUCKET_LIMIT) -> D
             .select("group", F.col("h").alias("a"), F.col("h2").alias("b"))
         )
 
-    if t > 6:
-        return meet(shared, shared, bucket).distinct()
     small, large = shared.where(F.col("size") <= bucket_limit), shared.where(F.col("size") > bucket_limit)
 
     def circle(radius: int) -> DataFrame:
         flips = F.broadcast(_flip_table(tables, radius))
         return large.join(flips, "tbl").withColumn("mid", F.col("h").bitwiseXOR(F.col("flip")))
 
+    def sliced(rows: DataFrame) -> DataFrame:
+        slices = F.ceil(F.col("size") / SLICE).cast("int")
+        own = F.pmod(F.xxhash64("h"), slices).cast("int")
+        cells = F.transform(F.sequence(F.lit(0), slices - 1), lambda k: F.least(own, k) * slices + F.greatest(own, k))
+        return rows.withColumn("cell", F.explode(cells))
+
     pairs = meet(small, small, bucket)
-    if not large.isEmpty():
+    if t > FLIP_DISTANCE:
+        pairs = pairs.unionByName(meet(sliced(large), sliced(large), [*bucket, "cell"]))
+    elif not large.isEmpty():
         pairs = pairs.unionByName(meet(circle((t + 1) // 2), circle(t // 2), [*bucket, "mid"]))
     return pairs.distinct()
 
@@ -173,7 +191,7 @@ def drop_near_dups(
     key: str = "phash",
     group: str = "class",
     order: Sequence[str] = ("raw_class", "file_name"),
-    bucket_limit: int = BUCKET_LIMIT,
+    bucket_limit: int | None = None,
 ) -> DataFrame:
     """Keep a row unless an earlier kept row of its class has a hash within t bits."""
     first = dedup_in_class(df, key, group, order)

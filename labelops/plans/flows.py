@@ -63,7 +63,10 @@ def clean_dataset(
 ) -> Cleaned:
     """Raw rows (raw_class, file_name, path, width, height, sharpness, phash) to cleaned rows and stats.
 
-    Kept rows carry their new, unique ``file_name`` and the old one as ``source_file_name``."""
+    The rows are written once, since the taxonomy check, the gates and the duplicate check each read
+    them and pixels are costly to look at. Kept rows carry their new, unique ``file_name`` and the old
+    one as ``source_file_name``."""
+    items = cut(items)
     check_plan(taxonomy_plan(raw_mapping(items)))
     merged = items.withColumn("class", merge_class(F.col("raw_class")))
     rows = cut(clean(merged, cfg, extensions, tolerance, row_key=row_key))
@@ -77,7 +80,7 @@ def crop_audit(items: DataFrame, quality: Quality = Quality(), cfg: CropRules =
     """Crop decision per image and statistics with the grand total.
 
     Needs width, height, sharpness, bbox and the three signals. Unreadable images fail; images below
-    the quality gates stay uncropped with that reason."""
+    the quality gates stay uncropped with that reason. The rows are written once for both results."""
     w, h = F.col("width"), F.col("height")
     gate = F.coalesce(
         F.when(F.coalesce(w, F.lit(-1)) < 0, "corrupted_image"),
@@ -85,7 +88,7 @@ def crop_audit(items: DataFrame, quality: Quality = Quality(), cfg: CropRules =
         blur_reason(F.col("sharpness"), quality.min_sharpness),
     )
     grown = expand_bbox(F.col("bbox"), w, h, cfg.padding)
-    rows = (
+    rows = cut(
         crop_decision(items.withColumn("_grown", grown), "_grown", cfg=cfg)
         .withColumn("_gate", gate)
         .withColumn("reason", F.coalesce("_gate", "crop.reason"))
@@ -388,6 +391,7 @@ def rebuild(stage: str, items: DataFrame, paths: RebuildPaths, crops: DataFrame
         return validate_dataset(main.rows, subset, before=before, after=validate.snapshot(scan_labelled(items.sparkSession, paths.raw)))
     if stage not in ("preprocess", "crop"):
         raise ValueError(f"unknown stage: {stage}")
+    items = cut(items)
     crops = crop_audit(items if crops is None else crops)[1].where(F.col("class").isNotNull())
     if stage == "preprocess":
         stats = clean_dataset(items).class_stats

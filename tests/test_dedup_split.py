@@ -34,7 +34,7 @@ def clustered(seed, n=160):
     return out
 
 
-@pytest.mark.parametrize("t,limit", [(0, 200), (1, 200), (1, 1), (2, 3), (3, 200), (3, 2), (4, 4), (7, 200)])
+@pytest.mark.parametrize("t,limit", [(0, 200), (1, 200), (1, 1), (2, 3), (3, 200), (3, 2), (4, 4), (7, 200), (7, 3)])
 def test_near_duplicates_equal_the_greedy_rule(spark, t, limit):
     data = clustered(t * 10 + limit)
     df = spark.createDataFrame(data, "class string, file_name string, phash bigint").repartition(5)
@@ -50,6 +50,13 @@ def test_near_duplicates_on_random_hashes(spark):
     assert set(rows(dedup.drop_near_dups(df, 3, order=("file_name",)), "class", "file_name")) == greedy(data, 3)
 
 
+def test_large_buckets_are_dealt_above_the_flip_distance(spark, monkeypatch):
+    monkeypatch.setattr(dedup, "SLICE", 5)
+    data = clustered(77)
+    df = spark.createDataFrame(data, "class string, file_name string, phash bigint")
+    assert set(rows(dedup.drop_near_dups(df, 8, order=("file_name",), bucket_limit=2), "class", "file_name")) == greedy(data, 8)
+
+
 def test_exact_dedup_is_global_and_keeps_the_first(spark):
     data = [("B", "1", "x"), ("a", "2", "x"), ("a", "1", "y"), ("B", "2", "y"), ("B", "3", "z")]
     df = spark.createDataFrame(data, "class string, file_name string, content_hash string").withColumn("path", F.concat("class", "file_name"))
