@@ -21,10 +21,13 @@ def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each near-duplicate group: the one with the smallest id."""
+    """One document of each near-duplicate group: the one with the smallest id.
+
+    Documents without an id stay if one of them is in no group with an id; repeated rows of the document that stays all stay.
+    """
     groups = near_groups.near_groups(near_groups.simhash(docs, "doc_id"), "doc_id", "simhash")
-    first = groups.filter(F.col("group").eqNullSafe(F.col("doc_id"))).select("doc_id").distinct()
-    return docs.join(first, "doc_id", "left_semi").select(*docs.columns)
+    first = groups.filter(F.col("group").eqNullSafe(F.col("doc_id"))).select(F.col("doc_id").alias("_first")).distinct()
+    return docs.join(first, docs["doc_id"].eqNullSafe(first["_first"]), "left_semi").select(*docs.columns)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
