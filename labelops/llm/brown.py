@@ -5,6 +5,8 @@ clustered one by one; every other word belongs to the form of its last letters,
 words. An exchange round moves each unit to the class that gains most likelihood given the classes of its neighbours
 (counts of unit and class, gathered over the whole corpus). A word's probability is that of its class after the
 class before it, times its own share of the class.
+
+The project has no running text to model; the operator is general and takes any frame with an id (``path``) and a text column.
 """
 
 from __future__ import annotations

@@ -3,6 +3,8 @@
 A seed hashes the words of a short window under a fixed mask and ignores the others, so a replaced word breaks only
 the seeds that look at it. Seeds of the benchmark and of the texts are joined; around a hit both are compared
 word by word along the same diagonal, and the longest stretch in which enough words agree is kept.
+
+The project has no running text; the operator is general and takes any frame with an id (``path``) and a text column.
 """
 
 from __future__ import annotations

@@ -3,6 +3,8 @@
 For each language every piece has a probability; a word's probability is the sum over its segmentations, found by
 the forward recursion over its characters. The probabilities are learned by expectation maximisation
 (forward and backward sums) on a bounded sample of labelled texts.
+
+The project has no running text; the operator is general and takes any frame with an id (``path``) and a text column.
 """
 
 from __future__ import annotations
@@ -295,6 +297,9 @@ def identify(items: DataFrame, model: dict, id_col: str = "path", text_col: str
 
 
 def keep_identified(items: DataFrame, model: dict, id_col: str = "path", text_col: str = "text") -> DataFrame:
-    """The items, all columns, without those whose language cannot be told (``und``)."""
+    """The items, all columns, without those whose language cannot be told (``und``).
+
+    Rows that share an id, or have none, stay if the language of one of them can be told.
+    """
     told = identify(items, model, id_col, text_col).filter(F.col("lang_pred") != UNKNOWN).select(F.col(id_col).alias("_told")).distinct()
     return items.join(told, items[id_col].eqNullSafe(told["_told"]), "left_semi").select(*items.columns)

@@ -3,6 +3,8 @@
 Every line is cut into ``edits + 1`` segments, so a line within ``edits`` edits keeps one of them whole. A
 line looks up the segments of lines up to ``edits`` shorter, at the few places a kept segment can have moved
 to; what meets is verified with a banded bit-parallel edit distance.
+
+The project has no texts of lines; the operator is general and takes any frame with an id (``path``) and a text column.
 """
 
 from __future__ import annotations
@@ -139,8 +141,10 @@ def drop_repeated_lines(items: DataFrame, id_col: str = "path", text_col: str =
     an id lose the lines that either of them has to lose.
     """
     gone = line_links(items, id_col, text_col, edits, min_chars).filter(~F.col("kept")).groupBy(id_col).agg(F.collect_set("line_no").alias("_gone"))
-    gone = gone.withColumnRenamed(id_col, "_id")
-    left = F.filter(F.split(text_col, "\n"), lambda x, i: ~F.array_contains("_gone", i))
-    text = F.when(F.col("_gone").isNull(), F.col(text_col)).otherwise(F.array_join(left, "\n"))
-    joined = items.join(gone, items[id_col].eqNullSafe(gone["_id"]), "left").withColumn("_text", text)
-    return joined.select(*[F.col("_text").alias(c) if c == text_col else F.col(c) for c in items.columns])
+    gone = gone.withColumnRenamed(id_col, "gone_id")
+    # the row travels as one value, so that none of its columns can clash with those added here
+    whole = items.select(F.struct("*").alias("row"), F.col(id_col).alias("row_id"), F.col(text_col).alias("body"))
+    left = F.filter(F.split("body", "\n"), lambda x, i: ~F.array_contains("_gone", i))
+    text = F.when(F.col("_gone").isNull(), F.col("body")).otherwise(F.array_join(left, "\n"))
+    joined = whole.join(gone, F.col("row_id").eqNullSafe(F.col("gone_id")), "left")
+    return joined.select(F.col("row").withField(text_col, text).alias("row")).select("row.*")

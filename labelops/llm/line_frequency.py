@@ -1,4 +1,7 @@
-"""Quality rules and cross-document line frequency, in DataFrame functions only."""
+"""Quality rules and cross-document line frequency, in DataFrame functions only.
+
+The project has no texts of lines or hosts; the operator is general and takes any frame with an id (``path``), a host and a text column.
+"""
 
 from __future__ import annotations
 

@@ -1,4 +1,7 @@
-"""Secrets in texts, told from widely copied examples by how many owners hold them; DataFrame functions only."""
+"""Secrets in texts, told from widely copied examples by how many owners hold them; DataFrame functions only.
+
+The project has no code or texts with owners; the operator is general and takes any frame with an id (``path``), an owner, a repository and a text column.
+"""
 
 from __future__ import annotations
 

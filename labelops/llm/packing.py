@@ -5,6 +5,8 @@ histogram of bounded size says all the plan needs. Lengths are rounded up to cla
 classes that fills a window is listed, the repeat counts are solved against the histogram, rounded down, and the
 texts left over are laid end to end and cut where a window ends. No text passes through the driver and no row
 waits for another: each works out its place from its number among texts of its length.
+
+The project has no token sequences; the operator is general and takes any frame with an id (``path``) and a text column.
 """
 
 from __future__ import annotations

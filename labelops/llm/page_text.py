@@ -3,6 +3,8 @@
 A page is cut into leaf blocks, the stretches of text between block-level tags. Each block has features of its
 ancestors (tags, words of class, id and role) and of its text; a chain of two states, article and rest, is trained on
 pages that label themselves (one ``article`` or ``main`` element) and decoded by Viterbi.
+
+The project has no pages; the operator is general and takes any frame with an id and an html column.
 """
 
 from __future__ import annotations

@@ -4,6 +4,8 @@ A token's score is its log-odds between texts marked toxic and others, under Dir
 that makes an ordinary text's running sum fall. One scan finds all maximal segments; by the extreme-value law of such scores each has an
 expected number of equals in ordinary text of that length, and the evidence of the significant ones is added up
 and turned into a probability.
+
+The project has no running text to score; the operator is general and takes any frame with an id (``path``) and a text column.
 """
 
 from __future__ import annotations

@@ -353,3 +353,40 @@ def test_class_model(spark):
     # after any class the probabilities of all words and of one unheard word per class add up to one
     share = (model.uses + 0.1 * (model.kinds + 1)) / model.uses.clip(0.1 * (model.kinds + 1))
     assert np.allclose((10 ** model.moves).sum(1), 1) and (share >= 1).all()
+
+
+def odd_documents(spark):
+    """NULLs in every column, empty and long texts, repeated rows, and columns named like those added inside."""
+    line = "one line of some length that every copy of it repeats"
+    body = " ".join(f"w{i % 97}" for i in range(60))
+    rows = [(1, body, "s"), (2, body, None), (2, body, None), (3, None, "s"), (4, "", None), (None, body + " own", "s"), (None, None, None),
+            (5, "\n".join([line, line, "x"]), "s"), (6, "long " * 200_000, "s"), (7, "\n", "s"), (8, " \t ", "s"), (9, "ünï 日本 🙂 " * 20, "s")]
+    docs = spark.createDataFrame(rows, "path long, text string, source string")
+    for name in ("row", "gone_id", "row_id", "body", "_gone", "_text", "_id", "id", "hash", "group", "line", "word", "chunk", "spans", "words", "n", "toxic", "lang"):
+        docs = docs.withColumn(name, F.lit(None).cast("string") if name in ("toxic", "lang") else F.lit("clash"))
+    return docs
+
+
+@pytest.mark.parametrize("empty", [False, True])
+def test_odd_documents(spark, empty):
+    """No operator loses or invents rows: one result a row, an empty table gives an empty one."""
+    docs = odd_documents(spark)
+    docs = docs.limit(0) if empty else docs
+    n = 0 if empty else 12
+    assert toxicity.score(docs, toxicity.learn(docs.withColumn("toxic", F.lit(None).cast("int")))).count() == n
+    assert language.identify(docs, language.learn(docs)).filter("lang_pred = 'und'").count() == n
+    assert brown.score(docs, *brown.learn(docs, words=10, forms=3, classes=2)).count() == n
+    assert line_frequency.quality(docs).count() == n
+    assert ownership.secrets(docs).count() == n
+    assert near_groups.near_groups(near_groups.simhash(docs), "path", "simhash").count() == n
+    pieces = packing.pack(docs)
+    assert pieces.filter("start = 0").count() == n
+    bench = spark.createDataFrame([(1, "w1 w2 w3 w4 w5 w6 w7 w8 w9 w10 w11 w12 w13 w14"), (None, None), (2, "")], "item_id int, text string")
+    assert sorted(str(r["path"]) for r in decontaminate.benchmark_overlaps(docs, bench).collect()) == ([] if empty else ["1", "2", "2", "None"])
+    left = line_dedup.drop_repeated_lines(docs)
+    assert left.columns == docs.columns and left.count() == n
+    if not empty:
+        texts = {r["path"]: r["text"] for r in left.filter("path is not null").collect()}
+        assert texts[5] == "one line of some length that every copy of it repeats\nx" and texts[3] is None and texts[6] == "long " * 200_000
+        groups = {r["path"]: r["group"] for r in near_groups.near_groups(near_groups.simhash(docs), "path", "simhash").filter("path is not null").collect()}
+        assert groups[1] == groups[2] == 1 and groups[3] == groups[4] == groups[7] == groups[8] == 3
