@@ -1,10 +1,12 @@
 """Class-based bigram language model: exchange clustering, class transitions, word emissions, smoothed perplexity.
 
-Words are counted exactly over all training texts, as a distributed table of any size. The most frequent words are
-clustered one by one; every other word belongs to the form of its last letters, and forms are clustered along with the
+Words are counted exactly over all training texts, as a distributed table of any size. The most frequent words set up the
+classes; every other word first belongs to the form of its last letters, and forms are clustered along with the
 words. An exchange round moves each unit to the class that gains most likelihood given the classes of its neighbours
-(counts of unit and class, gathered over the whole corpus). A word's probability is that of its class after the
-class before it, times its own share of the class.
+(counts of unit and class, gathered over the whole corpus). Then every other training word leaves its form for the class
+that gains most given its own neighbours; words and classes stay a distributed table, and class transitions are counted
+anew over all texts. Only words that training never saw keep the class of their form. A word's probability is that of its
+class after the class before it, times its own share of the class.
 
 The project has no running text to model; the operator is general and takes any frame with an id (``path``) and a text column.
 """
@@ -17,16 +19,16 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from labelops.lineage import stored
 from labelops.llm import text
 
-#: Units that are clustered: frequent words, then forms of the other words.
-WORDS = 2000
-FORMS = 500
+#: Units that set up the classes: frequent words, then forms of the other words.
+WORDS = 6000
+FORMS = 2000
 CLASSES = 64
 ROUNDS = 4
 ADD = 0.1
@@ -34,6 +36,8 @@ ADD = 0.1
 MIX = 0.8
 #: Text of one chunk that is scored with its own part of the count table.
 CHUNK_BYTES = 12_000_000
+#: Pairs of units a task holds before it passes them on.
+PAIRS = 4_000_000
 #: Fixed value: the closing token; no word has a space.
 END = b" "
 
@@ -105,8 +109,17 @@ def _bigrams(shared):
         units, size = shared.value
         numbers = UnitNumbers(units, size - 1)
         end = units[END]
-        # one cell per pair of units, so that a whole partition is counted before anything is shuffled
-        cells = np.zeros(size * size, np.int64)
+        held: list[tuple[np.ndarray, np.ndarray]] = []
+
+        def merged() -> tuple[np.ndarray, np.ndarray]:
+            pair, at = np.unique(np.concatenate([p for p, _ in held]), return_inverse=True)
+            return pair, np.bincount(at, np.concatenate([n for _, n in held])).astype(np.int64)
+
+        def parts() -> Iterator[pa.RecordBatch]:
+            pair, n = merged()
+            for a in range(0, len(pair), 500_000):
+                yield pa.RecordBatch.from_arrays([pa.array(pair[a : a + 500_000]), pa.array(n[a : a + 500_000])], names=["pair", "n"])
+
         for batch in text.pieces(batches, "text"):
             pairs = []
             for body in batch.column("text").to_pylist():
@@ -115,11 +128,12 @@ def _bigrams(shared):
                 row[0] = row[-1] = end
                 row[1:-1] = np.fromiter(map(numbers.__getitem__, words), np.int64, len(words))
                 pairs.append(row[:-1] * size + row[1:])
-            cells += np.bincount(np.concatenate(pairs), minlength=size * size)
-        at = np.flatnonzero(cells)
-        for a in range(0, len(at), 500_000):
-            part = at[a : a + 500_000]
-            yield pa.RecordBatch.from_arrays([pa.array(part), pa.array(cells[part])], names=["pair", "n"])
+            held.append(np.unique(np.concatenate(pairs), return_counts=True))
+            if sum(len(p) for p, _ in held) > PAIRS:
+                yield from parts()
+                held = []
+        if held:
+            yield from parts()
 
     return run
 
@@ -177,9 +191,10 @@ def exchange(before: np.ndarray, after: np.ndarray, classes: np.ndarray) -> np.n
 
 
 def learn(training: DataFrame, text_col: str = "text", words: int = WORDS, forms: int = FORMS, classes: int = CLASSES) -> tuple[Model, DataFrame]:
-    """Model and the (word, n) table of all training tokens; NULL texts are texts without words.
+    """Model and the (word, n, class) table of all training tokens; NULL texts are texts without words.
 
-    Counts cover every training text. Only the units' class counts (units x classes) come to the driver.
+    Counts cover every training text; the table also has the ``class`` of every training word. Only the units' class
+    counts (units x classes) come to the driver.
     """
     spark = training.sparkSession
     texts = training.select(F.col(text_col).alias("text"))
@@ -218,26 +233,107 @@ def learn(training: DataFrame, text_col: str = "text", words: int = WORDS, forms
     _, after = gathered(mine)
     moves = np.zeros((k, k))
     np.add.at(moves, mine, after)
+    shared = spark.sparkContext.broadcast((units, total, mine, len(top), moves))
+    around = texts.mapInArrow(_neighbours(shared), "word binary, cells array<int>, n array<int>")
+    placed = around.repartition("word").sortWithinPartitions("word").mapInArrow(_placed(shared), "word binary, class int")
+    counts = stored(counts.join(placed, "word", "left").mapInArrow(_filled(shared), "word binary, n long, class int"))
     uses, kinds = np.zeros(k), np.zeros(k)
-    shared = spark.sparkContext.broadcast((units, total, mine))
-    for r in counts.mapInArrow(_class_sizes(shared), "class int, uses long, kinds long").groupBy("class").agg(F.sum("uses").alias("uses"), F.sum("kinds").alias("kinds")).collect():
+    for r in counts.groupBy("class").agg(F.sum("n").alias("uses"), F.count(F.lit(1)).alias("kinds")).collect():
         uses[r["class"]], kinds[r["class"]] = r["uses"], r["kinds"]
+    moves = np.zeros(k * k)
+    # the hash takes in every column it can, so that copies of a text are dealt over chunks
+    key = [F.col(f"`{f.name}`") for f in training.schema.fields if "map<" not in f.dataType.simpleString()]
+    rows = training.select(F.coalesce(F.col(text_col), F.lit("")).alias("text"), F.xxhash64(*key).alias("key"))
+    for r in _by_chunk(rows, counts, F.col("key")).applyInArrow(_transitions(k), "cell int, n long").groupBy("cell").agg(F.sum("n").alias("n")).collect():
+        moves[r["cell"]] = r["n"]
+    moves = moves.reshape(k, k)
     logs = np.log10((moves + ADD) / (moves.sum(1, keepdims=True) + ADD * k))
     return Model(units, mine, logs, uses, kinds, tokens, distinct), counts
 
 
-def _class_sizes(shared):
+def _neighbours(shared):
+    """Of each word that is no unit: how often each class stands before it (cells from 0) and after it (from k)."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        units, total, mine = shared.value
+        units, total, mine, core, moves = shared.value
+        k = len(moves)
         numbers = UnitNumbers(units, total - 1)
+        end = mine[units[END]]
+        for batch in text.pieces(batches, "text"):
+            seen: dict[bytes, int] = {}
+            codes = [np.empty(0, np.int64)]
+            for body in batch.column("text").to_pylist():
+                words = _words(body)
+                unit = np.fromiter(map(numbers.__getitem__, words), np.int64, len(words))
+                row = np.concatenate(([end], mine[unit], [end]))
+                at = np.flatnonzero(unit > core)
+                word = np.fromiter((seen.setdefault(words[i], len(seen)) for i in at.tolist()), np.int64, len(at)) * (2 * k)
+                codes += [word + row[at], word + k + row[at + 2]]
+            cell, n = np.unique(np.concatenate(codes), return_counts=True)
+            word, cell = np.divmod(cell, 2 * k)
+            starts = pa.array(np.searchsorted(word, np.arange(len(seen) + 1)), pa.int32())
+            yield pa.RecordBatch.from_arrays([
+                pa.array(list(seen), pa.binary()), pa.ListArray.from_arrays(starts, pa.array(cell, pa.int32())), pa.ListArray.from_arrays(starts, pa.array(n, pa.int32()))
+            ], names=["word", "cells", "n"])
+
+    return run
+
+
+def _placed(shared):
+    """The class of each word with the most likelihood, from rows sorted by word; class totals stay as they were."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        moves = shared.value[-1]
+        k = len(moves)
+        totals = moves.sum(1)
+        into = np.log((moves + 0.1) / (totals[None, :] + 0.1 * k))
+        out = np.log((moves + 0.1) / (totals[:, None] + 0.1 * k))
+
+        def best(words: list[bytes], counts: np.ndarray) -> pa.RecordBatch:
+            gain = counts[:, :k] @ into + counts[:, k:] @ out.T
+            return pa.RecordBatch.from_arrays([pa.array(words, pa.binary()), pa.array(gain.argmax(1), pa.int32())], names=["word", "class"])
+
+        # rows of one word may go on in the next batch
+        last, held = [], np.zeros((0, 2 * k))
+        for batch in batches:
+            if batch.num_rows == 0:
+                continue
+            words = last + batch.column("word").to_pylist()
+            new = np.array([a != b for a, b in zip(words, [None, *words])])
+            group = np.cumsum(new) - 1
+            cells = batch.column("cells")
+            rows = np.repeat(group[len(last) :], cells.value_lengths().to_numpy(zero_copy_only=False))
+            counts = np.bincount(rows * (2 * k) + cells.flatten().to_numpy(), batch.column("n").flatten().to_numpy(), (group[-1] + 1) * 2 * k).reshape(-1, 2 * k)
+            counts[: len(last)] += held
+            names = [words[i] for i in np.flatnonzero(new)]
+            yield best(names[:-1], counts[:-1])
+            last, held = names[-1:], counts[-1:]
+        yield best(last, held)
+
+    return run
+
+
+def _filled(shared):
+    """Units have the class of their unit."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        units, _, mine, *_ = shared.value
         for batch in batches:
-            n = batch.column("n").to_numpy(zero_copy_only=False)
-            c = mine[np.fromiter(map(numbers.__getitem__, batch.column("word").to_pylist()), np.int64, len(n))]
-            uses, kinds = np.zeros(len(mine), np.int64), np.zeros(len(mine), np.int64)
-            np.add.at(uses, c, n)
-            np.add.at(kinds, c, 1)
-            at = np.flatnonzero(kinds)
-            yield pa.RecordBatch.from_arrays([pa.array(at, pa.int32()), pa.array(uses[at]), pa.array(kinds[at])], names=["class", "uses", "kinds"])
+            found = [int(mine[units[w]]) if c is None else c for w, c in zip(batch.column("word").to_pylist(), batch.column("class").to_pylist())]
+            yield pa.RecordBatch.from_arrays([batch.column("word"), batch.column("n"), pa.array(found, pa.int32())], names=["word", "n", "class"])
+
+    return run
+
+
+def _transitions(k: int):
+    def run(docs: pa.Table, known: pa.Table) -> pa.Table:
+        table = dict(zip(known.column("word").to_pylist(), known.column("class").to_pylist()))
+        cells = np.zeros(k * k, np.int64)
+        for body in docs.column("text").to_pylist():
+            row = np.fromiter(map(table.__getitem__, [END, *_words(body), END]), np.int64)
+            cells += np.bincount(row[:-1] * k + row[1:], minlength=k * k)
+        at = np.flatnonzero(cells)
+        return pa.table({"cell": pa.array(at, pa.int32()), "n": pa.array(cells[at])})
 
     return run
 
@@ -271,6 +367,16 @@ class Known(dict):
         return self.other
 
 
+def _by_chunk(rows: DataFrame, counts: DataFrame, key: Column):
+    """Texts dealt to chunks by a hash, each beside the counts and classes of its own words."""
+    volume = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    chunks = max(1, -(-volume // CHUNK_BYTES))
+    rows = rows.withColumn("chunk", F.pmod(key, F.lit(chunks)).cast("int"))
+    rows = rows.repartition(chunks if chunks <= 2000 else max(2000, chunks // 16), "chunk")
+    known = rows.mapInArrow(_chunk_words, "chunk int, word binary").join(counts, "word").select("chunk", "word", "n", "class")
+    return rows.groupBy("chunk").cogroup(known.groupBy("chunk"))
+
+
 def score(items: DataFrame, model: Model, counts: DataFrame, id_col: str = "path", text_col: str = "text", mix: float = MIX) -> DataFrame:
     """``id_col``, n_tokens, n_known, train_tokens, base_score, score, perplexity of every whole text.
 
@@ -282,18 +388,12 @@ def score(items: DataFrame, model: Model, counts: DataFrame, id_col: str = "path
     """
     spark = items.sparkSession
     rows = items.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    volume = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    chunks = max(1, -(-volume // CHUNK_BYTES))
-    rows = rows.withColumn("chunk", F.pmod(F.xxhash64("id", F.xxhash64("text")), F.lit(chunks)).cast("int"))
-    rows = rows.repartition(chunks if chunks <= 2000 else max(2000, chunks // 16), "chunk")
-    wanted = rows.mapInArrow(_chunk_words, "chunk int, word binary")
-    known = wanted.join(counts, "word").select("chunk", "word", "n")
     schema = T.StructType([
         T.StructField("id", items.schema[id_col].dataType), *[T.StructField(n, T.LongType()) for n in ("n_tokens", "n_known", "train_tokens")],
         *[T.StructField(n, T.DoubleType()) for n in ("base_score", "score", "perplexity")],
     ])
     shared = spark.sparkContext.broadcast(model)
-    scored = rows.groupBy("chunk").cogroup(known.groupBy("chunk")).applyInArrow(_scorer(shared, schema, mix), schema)
+    scored = _by_chunk(rows, counts, F.xxhash64("id", F.xxhash64("text"))).applyInArrow(_scorer(shared, schema, mix), schema)
     return scored.withColumnRenamed("id", id_col)
 
 
@@ -308,8 +408,7 @@ def _scorer(shared, schema: T.StructType, mix: float):
         plain = (n + ADD) / (m.tokens + ADD * (m.distinct + 1))
         log_plain = np.log10(plain)
         size = m.uses + ADD * (m.kinds + 1)
-        classes = m.classes[np.fromiter(map(numbers.__getitem__, found), np.int64, len(found))]
-        classes = np.append(classes, 0)
+        classes = np.append(known.column("class").to_numpy(), 0)
         cols: list[list] = [[] for _ in range(6)]
         end = m.classes[m.units[END]]
         for body in docs.column("text").to_pylist():

@@ -390,3 +390,24 @@ def test_odd_documents(spark, empty):
         assert texts[5] == "one line of some length that every copy of it repeats\nx" and texts[3] is None and texts[6] == "long " * 200_000
         groups = {r["path"]: r["group"] for r in near_groups.near_groups(near_groups.simhash(docs), "path", "simhash").filter("path is not null").collect()}
         assert groups[1] == groups[2] == 1 and groups[3] == groups[4] == groups[7] == groups[8] == 3
+
+
+def test_class_model_places_rare_words_by_their_neighbours(spark):
+    """Words beyond the frequent ones that share an ending but not their neighbours fall into different classes."""
+    rnd = random.Random(13)
+    sides = [["the", "cat", "sat", "on", "mat"], ["der", "hund", "und", "die", "katze"]]
+    rare = [[f"{x}{i}ing" for i in range(6)] for x in "pq"]
+    texts = [(i, " ".join(rnd.choice(rare[i % 2] if j % 7 == 3 else sides[i % 2]) for j in range(30))) for i in range(120)]
+    model, counts = brown.learn(frame(spark, texts), words=10, forms=3, classes=4)
+    found = {bytes(r["word"]).decode(): r for r in counts.collect()}
+    words = [w for _, t in texts for w in t.split()]
+    assert {w: r["n"] for w, r in found.items()} == {**{w: words.count(w) for w in words}, " ": len(texts)}
+    one, two = ({found[w]["class"] for w in side} for side in rare)
+    assert not one & two
+    # transitions and class sizes are those of the words' final classes
+    moves, sizes = np.zeros((4, 4)), np.zeros(4)
+    for _, t in texts:
+        row = [found[w]["class"] for w in [" ", *t.split(), " "]]
+        np.add.at(moves, (row[:-1], row[1:]), 1)
+        np.add.at(sizes, row[1:], 1)
+    assert np.allclose(10**model.moves, (moves + 0.1) / (moves.sum(1, keepdims=True) + 0.4)) and (model.uses == sizes).all()
