@@ -36,7 +36,7 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The pieces of the documents, packed into token windows."""
+    """The pieces of the documents with their token ids, packed into token windows."""
     return packing.pack(docs, "doc_id").withColumnsRenamed({"doc_id_tokens": "doc_tokens", "sequence": "sequence_id"})
 
 

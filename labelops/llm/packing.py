@@ -4,7 +4,8 @@ A text longer than the window first gives whole windows. What is left of it has
 histogram of bounded size says all the plan needs. Lengths are rounded up to classes, every combination of up to three
 classes that fills a window is listed, the repeat counts are solved against the histogram, rounded down, and the
 texts left over are laid end to end and cut where a window ends. No text passes through the driver and no row
-waits for another: each works out its place from its number among texts of its length.
+waits for another: each works out its place from its number among texts of its length. Places are worked out on
+narrow rows; at the end each text's ids meet its pieces once and are cut.
 
 The project has no token sequences; the operator is general and takes any frame with an id (``path``) and a text column.
 """
@@ -41,8 +42,6 @@ CACHE_UNITS = 1_000_000
 PRINTED = [*range(33, 127), *range(161, 173), *range(174, 256)]
 UNPRINTED = [b for b in range(256) if b not in PRINTED]
 BYTE_CHARS = [chr(b) if b in PRINTED else chr(256 + UNPRINTED.index(b)) for b in range(256)]
-ZEROS = bytes(4 * BLOCK)
-ZERO_CRC = zlib.crc32(ZEROS)
 
 
 # --- tokens -------------------------------------------------------------------------------------
@@ -134,29 +133,20 @@ _WORKER: dict[str, UnitIds] = {}
 
 
 def token_lengths(items: DataFrame, id_col: str = "path", text_col: str = "text", tokenizer: str | None = None, window: int = WINDOW) -> DataFrame:
-    """Per item: tokens, checksums of its whole windows, and of what is left: length, checksum, checksums per block, last ids."""
+    """Per item: tokens, ids (little-endian unsigned 32-bit), checksum of what its whole windows leave."""
     path = tokenizer or default_tokenizer()
     long = T.LongType()
-    schema = text.plus(items, id_col, [
-        ("tokens", long), ("windows", T.ArrayType(long)), ("rest", T.IntegerType()), ("rest_crc", long), ("blocks", T.ArrayType(long)), ("tail", T.BinaryType())
-    ])
+    schema = text.plus(items, id_col, [("tokens", long), ("ids", T.BinaryType()), ("rest_crc", long)])
     end = np.asarray([END_ID], "<u4").tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         units = _WORKER.get(path) or _WORKER.setdefault(path, UnitIds(path))
         for batch in text.pieces(batches, "text"):
-            cols: list[list] = [[] for _ in range(6)]
+            cols: list[list] = [[] for _ in range(3)]
             for body in batch.column("text").to_pylist():
                 ids = (units.of(body) if body else b"") + end
                 n = len(ids) // 4
-                at = 4 * (n // window * window)
-                rest, step = ids[at:], 4 * BLOCK
-                whole = len(rest) // step * step
-                values = (
-                    n, [zlib.crc32(ids[a : a + 4 * window]) for a in range(0, at, 4 * window)], len(rest) // 4, zlib.crc32(rest),
-                    [zlib.crc32(rest[a : a + step]) for a in range(0, whole, step)], rest[whole:],
-                )
-                for col, v in zip(cols, values):
+                for col, v in zip(cols, (n, ids, zlib.crc32(ids[4 * (n // window * window) :]))):
                     col.append(v)
             yield text.record(batch.column("id"), schema, cols)
 
@@ -258,35 +248,19 @@ def plan(lengths: dict[int, int], window: int = WINDOW, width: int = WIDTH) -> t
 def _cut(schema: T.StructType, window: int):
     """Pieces of a text in the stream: its blocks at one place, its last tokens at another, cut where a window ends."""
 
-    def joined(crcs: list[int]) -> int:
-        total = crcs[0]
-        for c in crcs[1:]:
-            total = zlib.crc32(ZEROS, total) ^ ZERO_CRC ^ c
-        return total
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out: list[list] = [[] for _ in range(7)]
-            ids = []
-            for i, row in enumerate(batch.select(["start", "tokens", "blocks", "tail", "block_at", "tail_at", "sequence"]).to_pylist()):
-                pieces, at, start = [], row["block_at"] * BLOCK, row["start"]
-                crcs = row["blocks"]
-                while crcs:
-                    fit = min(len(crcs), (window - at % window) // BLOCK)
-                    pieces.append((at, fit * BLOCK, joined(crcs[:fit])))
-                    crcs, at = crcs[fit:], at + fit * BLOCK
-                last, at = row["tail"], row["tail_at"]
-                while last:
-                    fit = min(len(last) // 4, window - at % window)
-                    pieces.append((at, fit, zlib.crc32(last[: 4 * fit])))
-                    last, at = last[4 * fit :], at + fit
-                for at, n, crc in pieces:
-                    ids.append(i)
-                    values = (start, n, crc, row["tokens"], row["sequence"] + at // window, at % window, 0)
-                    for col, v in zip(out, values):
-                        col.append(v)
-                    start += n
-            yield text.record(batch.column("id").take(pa.array(ids, pa.int32())), schema, out)
+            out: list[list] = [[] for _ in schema.fields]
+            for row in batch.to_pylist():
+                start = row["start"]
+                parts = ((row["block_at"] * BLOCK, row["rest"] // BLOCK * BLOCK), (row["tail_at"], row["rest"] % BLOCK))
+                for at, left in parts:
+                    while left:
+                        fit = min(left, window - at % window)
+                        for col, v in zip(out, (row["row"], start, fit, row["sequence"] + at // window, at % window)):
+                            col.append(v)
+                        start, at, left = start + fit, at + fit, left - fit
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in out], names=schema.names)
 
     return run
 
@@ -296,17 +270,20 @@ def _frame(spark: SparkSession, rows: list[tuple], columns: str) -> DataFrame:
 
 
 def pack(items: DataFrame, id_col: str = "path", text_col: str = "text", tokenizer: str | None = None, window: int = WINDOW) -> DataFrame:
-    """One row per piece: ``id_col``, start, length, ids_crc32, <id_col>_tokens, sequence, offset.
+    """One row per piece: ``id_col``, start, length, ids, ids_crc32, <id_col>_tokens, sequence, offset.
 
+    ``ids`` are the piece's token ids as little-endian unsigned 32-bit numbers, ``ids_crc32`` is their checksum.
     Each text is its ids and one closing id; NULL is an empty text. Every id lies in exactly one piece; pieces
     of a sequence follow each other from offset 0 without a gap. Texts with the same or a NULL id are packed one by
     one; an empty frame gives no pieces. Only texts the plan leaves over are cut inside a window.
     ``tokenizer`` is the path of a ``tokenizers`` file, the 50k byte-level one unless given.
     """
     spark = items.sparkSession
-    rows = stored(token_lengths(items, id_col, text_col, tokenizer, window).withColumnRenamed(id_col, "id"))
-    full = F.size("windows").cast("long")
-    found = rows.groupBy("rest").agg(F.count(F.lit(1)).alias("n"), F.sum(full).alias("full")).orderBy("rest").collect()
+    # the number of a row is written with it, so it stays what it is
+    texts = stored(token_lengths(items, id_col, text_col, tokenizer, window).withColumnRenamed(id_col, "id").withColumn("row", F.monotonically_increasing_id()))
+    full = F.floor(F.col("tokens") / window).cast("long")
+    rows = texts.select("row", "id", "tokens", "rest_crc", (F.col("tokens") % window).cast("int").alias("rest"), full.alias("full"))
+    found = rows.groupBy("rest").agg(F.count(F.lit(1)).alias("n"), F.sum("full").alias("full")).orderBy("rest").collect()
     places, stream, planned = plan({r["rest"]: r["n"] for r in found if r["rest"]}, window)
     whole = sum(r["full"] for r in found)
     starts = np.concatenate(([0], np.cumsum([r["full"] for r in found])[:-1])).astype(int).tolist() if found else []
@@ -314,7 +291,7 @@ def pack(items: DataFrame, id_col: str = "path", text_col: str = "text", tokeniz
     parts = max([1, *(-(-r["n"] // NUMBERED) for r in found)])
     salt = F.pmod(F.xxhash64("id", "tokens", "rest_crc"), F.lit(parts)).cast("int")
     group = Window.partitionBy("rest", "salt").orderBy("id", "tokens", "rest_crc")
-    numbered = rows.withColumn("full", full).withColumn("salt", salt)
+    numbered = rows.withColumn("salt", salt)
     before = Window.partitionBy("rest").orderBy("salt").rowsBetween(Window.unboundedPreceding, -1)
     offsets = numbered.groupBy("rest", "salt").agg(F.count(F.lit(1)).alias("n"), F.sum("full").alias("f"))
     offsets = offsets.select("rest", "salt", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("n_before"), F.coalesce(F.sum("f").over(before), F.lit(0)).alias("f_before"))
@@ -323,18 +300,16 @@ def pack(items: DataFrame, id_col: str = "path", text_col: str = "text", tokeniz
     numbered = numbered.join(offsets, ["rest", "salt"]).join(F.broadcast(bases), "rest").withColumns({
         "k": F.col("k") + F.col("n_before"), "sequence": F.col("base") + F.col("f_before") + F.col("f_upto") - F.col("full")
     })
-    numbered = stored(numbered.select("id", "tokens", "windows", "rest", "rest_crc", "blocks", "tail", "k", "sequence"))
-
-    kind = rows.schema["id"].dataType.simpleString()
-    schema = T.StructType([T.StructField("id", rows.schema["id"].dataType)] + [
-        T.StructField(n, T.LongType()) for n in ("start", "length", "ids_crc32", "tokens", "sequence", "offset", "slot")
-    ])
-    wholes = numbered.select("id", "tokens", "sequence", F.posexplode("windows").alias("i", "ids_crc32")).select(
-        F.col("id").cast(kind), (F.col("i") * F.lit(window)).cast("long").alias("start"), F.lit(window).cast("long").alias("length"), "ids_crc32", "tokens",
-        (F.col("sequence") + F.col("i")).alias("sequence"), F.lit(0).cast("long").alias("offset"), F.lit(0).cast("long").alias("slot"),
+    numbered = stored(numbered.select("row", "rest", "full", "k", "sequence"))
+
+    names = ["row", "start", "length", "sequence", "offset"]
+    schema = T.StructType([T.StructField(n, T.LongType()) for n in names])
+    wholes = numbered.filter("full > 0").select("row", "sequence", F.explode(F.sequence(F.lit(0).cast("long"), F.col("full") - 1)).alias("i")).select(
+        "row", (F.col("i") * F.lit(window)).alias("start"), F.lit(window).cast("long").alias("length"),
+        (F.col("sequence") + F.col("i")).alias("sequence"), F.lit(0).cast("long").alias("offset"),
     )
     left = numbered.filter("rest > 0").withColumn("class", F.ceil(F.col("rest") / WIDTH).cast("long"))
-    left = left.withColumn("start", F.size("windows").cast("long") * F.lit(window)).drop("sequence", "windows")
+    left = left.withColumn("start", F.col("full") * F.lit(window)).drop("sequence", "full")
     left = left.join(F.broadcast(_frame(spark, stream, "rest class_first left blocks_before tail_before")), "rest")
     left = left.withColumn("place", F.col("k") + F.col("class_first"))
     table = _frame(spark, places, "class from_n to_n first slot")
@@ -343,14 +318,19 @@ def pack(items: DataFrame, id_col: str = "path", text_col: str = "text", tokeniz
     )
     upto = Window.partitionBy("sequence").orderBy("slot").rowsBetween(Window.unboundedPreceding, -1)
     fits = fits.select(
-        "id", "start", F.col("rest").cast("long").alias("length"), F.col("rest_crc").alias("ids_crc32"), "tokens",
+        "row", "start", F.col("rest").cast("long").alias("length"),
         (F.lit(whole) + F.col("first") + F.col("place") - F.col("from_n")).alias("sequence"), "slot",
     ).withColumn("offset", F.coalesce(F.sum("length").over(upto), F.lit(0)))
     over = left.filter(F.col("place") >= F.col("left")).withColumn("j", F.col("place") - F.col("left"))
     cut = over.select(
-        "id", "start", "tokens", "blocks", "tail", (F.col("blocks_before") + F.col("j") * F.floor(F.col("rest") / BLOCK)).alias("block_at"),
+        "row", "start", "rest", (F.col("blocks_before") + F.col("j") * F.floor(F.col("rest") / BLOCK)).alias("block_at"),
         (F.col("tail_before") + F.col("j") * (F.col("rest") % BLOCK)).alias("tail_at"), F.lit(whole + planned).cast("long").alias("sequence"),
     ).mapInArrow(_cut(schema, window), schema)
-    names = [f.name for f in schema.fields]
-    pieces = wholes.select(names).unionByName(fits.select(names)).unionByName(cut.select(names))
-    return pieces.select(F.col("id").alias(id_col), "start", "length", "ids_crc32", F.col("tokens").alias(f"{id_col}_tokens"), "sequence", "offset")
+    pieces = wholes.unionByName(fits.select(names)).unionByName(cut)
+    pieces = pieces.groupBy("row").agg(F.collect_list(F.struct(*names[1:])).alias("pieces"))
+    ids = lambda p: F.substring(F.col("ids"), (4 * p["start"] + 1).cast("int"), (4 * p["length"]).cast("int"))
+    cut_up = F.transform("pieces", lambda p: F.struct(p["start"].alias("start"), p["length"].alias("length"), ids(p).alias("ids"), p["sequence"].alias("sequence"), p["offset"].alias("offset")))
+    found = texts.select("row", "id", "ids", "tokens").join(pieces, "row").select("id", "tokens", F.inline(cut_up))
+    return found.select(
+        F.col("id").alias(id_col), "start", "length", "ids", F.crc32("ids").alias("ids_crc32"), F.col("tokens").alias(f"{id_col}_tokens"), "sequence", "offset"
+    )

@@ -54,7 +54,7 @@ def op5_benchmark_overlaps(spark, sf):
 @query
 def op7_pack(spark, sf):
     pieces = packing.pack(_table(spark, sf, "documents"), "doc_id")
-    return pieces.withColumnsRenamed({"doc_id_tokens": "doc_tokens", "sequence": "sequence_id"})
+    return pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids").withColumnsRenamed({"doc_id_tokens": "doc_tokens", "sequence": "sequence_id"})
 
 
 @query
@@ -83,7 +83,7 @@ def op4_class_model(spark, sf):
 
 @query
 def op6_line_frequency(spark, sf):
-    return line_frequency.quality(_table(spark, sf, "documents"), "doc_id")
+    return line_frequency.quality(_table(spark, sf, "documents"), "doc_id").drop("text")
 
 
 @query

@@ -411,3 +411,22 @@ def test_class_model_places_rare_words_by_their_neighbours(spark):
         np.add.at(moves, (row[:-1], row[1:]), 1)
         np.add.at(sizes, row[1:], 1)
     assert np.allclose(10**model.moves, (moves + 0.1) / (moves.sum(1, keepdims=True) + 0.4)) and (model.uses == sizes).all()
+
+
+def test_pack_returns_the_token_ids(spark):
+    rnd = random.Random(14)
+    texts = [(i, " ".join(rnd.choice(("alpha", "beta,", "Straße.\nNeu", "x")) for _ in range(rnd.choice((3, 40, 700, 5000))))) for i in range(40)] + [(90, None), (91, "")]
+    pieces = packing.pack(frame(spark, texts)).collect()
+    tokenizer = packing.UnitIds(packing.default_tokenizer()).tokenizer
+    for i, t in texts:
+        own = sorted((p for p in pieces if p["path"] == i), key=lambda p: p["start"])
+        assert np.frombuffer(b"".join(bytes(p["ids"]) for p in own), "<u4").tolist() == tokenizer.encode(t or "", add_special_tokens=False).ids + [1]
+        assert all(len(p["ids"]) == 4 * p["length"] and zlib.crc32(bytes(p["ids"])) == p["ids_crc32"] for p in own)
+
+
+def test_quality_returns_texts_without_frequent_lines(spark):
+    texts = [(i, f"Shared  LINE {i}\n\nown {chr(97 + i)}\n shared line 7") for i in range(6)] + [(50, None), (51, ""), (52, "shared line 1\nend"), (53, "shared line 1")]
+    got = {r["path"]: r for r in line_frequency.quality(frame(spark, texts, {52: "other"}), max_docs=4).collect()}
+    # each document counts once for a line, digits count as zeros, and hosts are told apart
+    assert {i: (got[i]["text"], got[i]["n_removed"]) for i, _ in texts} == {
+        **{i: (f"\nown {chr(97 + i)}", 6) for i in range(6)}, 50: (None, 0), 51: ("", 0), 52: (texts[8][1], 0), 53: ("", 3)}
