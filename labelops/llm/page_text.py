@@ -32,6 +32,8 @@ DECAY = 1e-4
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 INLINE = frozenset("a abbr acronym b bdi bdo big cite code del dfn em font i ins kbd label mark q s samp small span strike strong sub sup time tt u var br wbr img".split())
 SILENT = frozenset("script style noscript template iframe svg math object canvas audio video select textarea button".split())
+#: Elements whose content is no markup, whatever it looks like, with the pattern of their end tag.
+RAW = {name: re.compile(rf"</{name}(?=[\s/>])", re.I) for name in ("script", "style", "textarea", "iframe", "title", "xmp")}
 ARTICLE = frozenset(("article", "main"))
 # Words of tags, classes, ids and roles that page parts outside an article carry, and those an article carries.
 OUTSIDE = frozenset(
@@ -64,7 +66,10 @@ def blocks(page: str | None) -> list[tuple[str, tuple[tuple[str, tuple[str, ...]
             parts.clear()
         linked = 0
 
-    for m in TOKEN.finditer(page or ""):
+    page = page or ""
+    at = 0
+    while m := TOKEN.match(page, at):
+        at, raw = m.end(), ""
         token = m.group()
         slash, name, rest = (m.group(1), m.group(2), m.group(3)) if m.group(2) else (m.group(4), m.group(5), m.group(6))
         if name is None:
@@ -74,6 +79,11 @@ def blocks(page: str | None) -> list[tuple[str, tuple[tuple[str, tuple[str, ...]
                     linked += len(token)
             continue
         name = name.lower()
+        if name in RAW and not slash and not rest.endswith("/"):
+            stop = RAW[name].search(page, at)
+            # without an end tag, a silent element takes the rest of the page and any other goes on as markup
+            until = stop.start() if stop else len(page) if name in SILENT and silent is None else at
+            raw, at = page[at:until], until
         if silent is not None:
             if slash and name == silent:
                 silent = None
@@ -91,14 +101,16 @@ def blocks(page: str | None) -> list[tuple[str, tuple[tuple[str, tuple[str, ...]
             continue
         close()
         if slash:
-            at = next((i for i in range(len(stack) - 1, -1, -1) if stack[i][0] == name), None)
-            if at is not None:
-                del stack[at:]
+            opened = next((i for i in range(len(stack) - 1, -1, -1) if stack[i][0] == name), None)
+            if opened is not None:
+                del stack[opened:]
         elif name not in VOID:
             while stack and stack[-1][0] in ENDS.get(name, ()) or stack and stack[-1][0] == "p":
                 stack.pop()
             words = tuple(w for found in MARK.findall(rest) for w in WORDS.findall("".join(found).lower())) if rest else ()
             stack.append((name, words))
+            if raw:
+                parts.append(raw)
     close()
     return out
 

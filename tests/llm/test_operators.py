@@ -430,3 +430,11 @@ def test_quality_returns_texts_without_frequent_lines(spark):
     # each document counts once for a line, digits count as zeros, and hosts are told apart
     assert {i: (got[i]["text"], got[i]["n_removed"]) for i, _ in texts} == {
         **{i: (f"\nown {chr(97 + i)}", 6) for i in range(6)}, 50: (None, 0), 51: ("", 0), 52: (texts[8][1], 0), 53: ("", 3)}
+
+
+def test_page_text_skips_raw_elements_whole():
+    """A '<' before a letter inside script, style and the like must not swallow their end tag."""
+    for raw in ("<script>for(i=0;i<n;i++){f(i)}</script>", "<SCRIPT>if(a<b&&c>'d){}</Script >", "<style>a<b{}</style>", "<textarea>x<y \"</textarea>",
+                "<iframe><p 'x</iframe>", "<svg><script>i<n</script></svg>", "<script>s='<!--'</script>", "<template><style>a<b</style></template>"):
+        assert [b[0] for b in page_text.blocks(f"<p>Before.</p>{raw}<article><p>Body text.</p></article>")] == ["Before.", "Body text."], raw
+    assert [b[0] for b in page_text.blocks("<title>a <b &amp; c</title><p>Body text.</p><script>open<x")] == ["a <b & c", "Body text."]
