@@ -16,8 +16,8 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, without lines that repeat an earlier line up to a few edits."""
-    return line_dedup.drop_repeated_lines(docs, "doc_id").withColumn("n_chars", F.length("text").cast("long"))
+    """All documents, without lines of any length that repeat an earlier line up to a few edits."""
+    return line_dedup.drop_repeated_lines(docs, "doc_id", min_chars=0).withColumn("n_chars", F.length("text").cast("long"))
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -16,8 +16,10 @@ from labelops.lineage import stored
 from labelops.llm.components import components
 
 EDITS = 2
-#: Shorter lines are left alone: a few edits turn any of them into another.
+#: Lines from this length on may be EDITS apart, those from SHORT_CHARS on one edit; a few edits turn any shorter line into
+#: another, so these hang together with their exact copies alone. Of two lines the shorter one decides.
 MIN_CHARS = 25
+SHORT_CHARS = 12
 #: Fixed value: letters whose counts a line's signature holds, common ones in European languages.
 LETTERS = "etaoinsrhldcumgb"
 
@@ -27,8 +29,23 @@ def _lines(items: DataFrame, id_col: str, text_col: str, min_chars: int) -> Data
     return split.filter(F.length("line") >= min_chars).withColumn("line_id", F.unhex(F.md5("line")))
 
 
+def _tolerance(chars: Column, edits: int) -> Column:
+    """Edits that a line and one at least as long may be apart."""
+    return F.when(chars >= MIN_CHARS, F.lit(edits)).when(chars >= SHORT_CHARS, F.lit(min(1, edits))).otherwise(F.lit(0))
+
+
 def _keys(line: Column, edits: int) -> Column:
-    """Keys a line is looked up by; the first ``edits + 1`` are also those it is found under."""
+    """Keys a line is looked up by; the first, one more than its tolerance, are also those it is found under."""
+    chars = F.length(line)
+    few = min(1, edits)
+    long, short = _segment_keys(line, edits), _segment_keys(line, few)
+    # a line just long enough also looks up short ones by theirs
+    reach = (chars >= MIN_CHARS) & (chars < MIN_CHARS + few)
+    keys = F.when(reach, F.concat(long, short)).when(chars >= MIN_CHARS, long).when(chars >= SHORT_CHARS, short)
+    return keys.otherwise(F.array().cast("array<bigint>"))
+
+
+def _segment_keys(line: Column, edits: int) -> Column:
     chars = F.length(line)
     own, probes = [], []
     for shorter in range(edits + 1):
@@ -86,20 +103,20 @@ def within_edits(a: Column, b: Column, edits: int) -> Column:
 def _candidates(lines: DataFrame, edits: int) -> DataFrame:
     """(x, y) short ids of different lines that share a key, x < y, and whose letter counts allow it."""
     narrow = lines.select(F.xxhash64("line_id").alias("h"), "keys", "sign", "chars")
-    found = narrow.select(F.explode(F.slice("keys", 1, edits + 1)).alias("key"), F.col("h").alias("x"), F.col("sign").alias("sx"), F.col("chars").alias("cx"))
+    found = narrow.select(F.explode(F.slice("keys", F.lit(1), _tolerance(F.col("chars"), edits) + 1)).alias("key"), F.col("h").alias("x"), F.col("sign").alias("sx"), F.col("chars").alias("cx"))
     looked = narrow.select(F.explode("keys").alias("key"), F.col("h").alias("y"), F.col("sign").alias("sy"), F.col("chars").alias("cy")).filter("key is not null")
-    near = F.bit_count(F.col("sx").bitwiseXOR(F.col("sy"))) <= 2 * edits - F.abs(F.col("cx") - F.col("cy"))
+    near = F.bit_count(F.col("sx").bitwiseXOR(F.col("sy"))) <= 2 * _tolerance(F.least("cx", "cy"), edits) - F.abs(F.col("cx") - F.col("cy"))
     once = (F.col("cx") < F.col("cy")) | (F.col("x") < F.col("y"))
     met = found.join(looked, ["key"]).filter((F.col("x") != F.col("y")) & once & near)
     return met.select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y")).distinct()
 
 
 def line_links(items: DataFrame, id_col: str = "path", text_col: str = "text", edits: int = EDITS, min_chars: int = MIN_CHARS) -> DataFrame:
-    """One row per line of at least ``min_chars`` code points, with the class of lines it hangs together with.
+    """One row per line of at least ``min_chars`` code points (0: every line), with the class of lines it hangs together with.
 
     ``id_col``, ``line_no`` (from 0, lines end at ``\\n``), ``first_<id_col>`` and ``first_line_no`` (the place of the
-    first line of its class, by id, then number), ``n_links`` (different lines within ``edits`` edits; exact copies are one
-    line) and ``kept`` (true for the first place of a class). NULL texts have no lines; rows with a NULL id
+    first line of its class, by id, then number), ``n_links`` (different lines within ``edits`` edits, fewer for lines
+    under MIN_CHARS; exact copies are one line) and ``kept`` (true for the first place of a class). NULL texts have no lines; rows with a NULL id
     come first; a repeated row repeats its lines, and all of them carry the flags of their place.
     """
     rows = _lines(items, id_col, text_col, min_chars)
@@ -117,7 +134,9 @@ def line_links(items: DataFrame, id_col: str = "path", text_col: str = "text", e
     texts = stored(rows.join(wanted, there).select("h", "line_id", "line").distinct())
     left = texts.select(F.col("h").alias("x"), F.col("line_id").alias("a"), F.col("line").alias("line_a"))
     right = texts.select(F.col("h").alias("y"), F.col("line_id").alias("b"), F.col("line").alias("line_b"))
-    links = pairs.join(left, "x").join(right, "y").filter(within_edits(F.col("line_a"), F.col("line_b"), edits)).select("a", "b")
+    a, b = F.col("line_a"), F.col("line_b")
+    near = F.when(F.least(F.length(a), F.length(b)) >= MIN_CHARS, within_edits(a, b, edits)).otherwise(within_edits(a, b, min(1, edits)))
+    links = pairs.join(left, "x").join(right, "y").filter(near).select("a", "b")
     links = stored(links.distinct())
     degree = links.select(F.col("a").alias("line_id")).union(links.select("b")).groupBy("line_id").agg(F.count(F.lit(1)).alias("n_links"))
     roots = components(links).withColumnsRenamed({"node": "line_id"})
@@ -137,14 +156,14 @@ def line_links(items: DataFrame, id_col: str = "path", text_col: str = "text", e
 def drop_repeated_lines(items: DataFrame, id_col: str = "path", text_col: str = "text", edits: int = EDITS, min_chars: int = MIN_CHARS) -> DataFrame:
     """The items, all columns and rows, without the lines whose class has an earlier place (see ``line_links``).
 
-    A text all of whose lines go becomes empty; NULL stays NULL. Ids have to tell the rows apart; rows that share
+    Blank lines stay. A text all of whose lines go becomes empty; NULL stays NULL. Ids have to tell the rows apart; rows that share
     an id lose the lines that either of them has to lose.
     """
     gone = line_links(items, id_col, text_col, edits, min_chars).filter(~F.col("kept")).groupBy(id_col).agg(F.collect_set("line_no").alias("_gone"))
     gone = gone.withColumnRenamed(id_col, "gone_id")
     # the row travels as one value, so that none of its columns can clash with those added here
     whole = items.select(F.struct("*").alias("row"), F.col(id_col).alias("row_id"), F.col(text_col).alias("body"))
-    left = F.filter(F.split("body", "\n"), lambda x, i: ~F.array_contains("_gone", i))
+    left = F.filter(F.split("body", "\n"), lambda x, i: ~(F.array_contains("_gone", i) & x.rlike(r"[^\x20\x09-\x0D]")))
     text = F.when(F.col("_gone").isNull(), F.col("body")).otherwise(F.array_join(left, "\n"))
     joined = whole.join(gone, F.col("row_id").eqNullSafe(F.col("gone_id")), "left")
     return joined.select(F.col("row").withField(text_col, text).alias("row")).select("row.*")

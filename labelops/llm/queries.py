@@ -36,7 +36,7 @@ def op1_toxicity(spark, sf):
 
 @query
 def op2_line_links(spark, sf):
-    return line_dedup.line_links(_table(spark, sf, "documents"), "doc_id")
+    return line_dedup.line_links(_table(spark, sf, "documents"), "doc_id", min_chars=0)
 
 
 @query

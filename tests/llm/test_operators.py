@@ -438,3 +438,40 @@ def test_page_text_skips_raw_elements_whole():
                 "<iframe><p 'x</iframe>", "<svg><script>i<n</script></svg>", "<script>s='<!--'</script>", "<template><style>a<b</style></template>"):
         assert [b[0] for b in page_text.blocks(f"<p>Before.</p>{raw}<article><p>Body text.</p></article>")] == ["Before.", "Body text."], raw
     assert [b[0] for b in page_text.blocks("<title>a <b &amp; c</title><p>Body text.</p><script>open<x")] == ["a <b & c", "Body text."]
+
+
+def test_line_links_of_every_line(spark):
+    """Short lines have rows too: from 12 characters on one edit links them, below that only exact copies."""
+    rnd = random.Random(15)
+    base = ["".join(rnd.choice("abcdefgh ") for _ in range(n)) for n in (1, 3, 8, 11, 12, 13, 18, 23, 24, 24, 25, 25, 26, 26, 27, 40)]
+    lines = [*base, "", "", " ", "yes", "yes", "yet"]
+    for x in base:
+        for k in (0, 1, 1, 2, 2, 3):
+            y = list(x)
+            for _ in range(k):
+                at = rnd.randrange(len(y) + 1)
+                y[at : at + rnd.randint(0, 1)] = rnd.choice(["", "z", "a"])
+            lines.append("".join(y))
+    rnd.shuffle(lines)
+    texts = [(i, "\n".join(lines[i * 9 : i * 9 + 9])) for i in range(-(-len(lines) // 9))] + [(100, None), (101, "")]
+    docs = frame(spark, texts)
+    got = {(r["path"], r["line_no"]): r for r in line_dedup.line_links(docs, min_chars=0).collect()}
+    places = [(i, n, x) for i, t in texts if t is not None for n, x in enumerate(t.split("\n"))]
+    assert set(got) == {(i, n) for i, n, _ in places}
+
+    def near(x, y):
+        n = min(len(x), len(y))
+        return distance(x, y) <= (2 if n >= 25 else 1 if n >= 12 else 0)
+
+    group = {p: p for p in got}
+    for (i, n, x), (j, m, y) in itertools.combinations(places, 2):
+        if near(x, y) and group[i, n] != group[j, m]:
+            a, b = sorted((group[i, n], group[j, m]))
+            group = {p: a if g == b else g for p, g in group.items()}
+    for i, n, x in places:
+        r, first = got[i, n], group[i, n]
+        links = len({y for _, _, y in places if y != x and near(x, y)})
+        assert (r["first_path"], r["first_line_no"], r["n_links"], r["kept"]) == (*first, links, first == (i, n)), x
+    kept = {r["path"]: r["text"] for r in line_dedup.drop_repeated_lines(docs, min_chars=0).collect()}
+    for i, t in texts:
+        assert kept[i] == (None if t is None else "\n".join(x for n, x in enumerate(t.split("\n")) if not x.strip() or group[i, n] == (i, n)))
