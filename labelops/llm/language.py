@@ -10,6 +10,7 @@ The project has no running text; the operator is general and takes any frame wit
 from __future__ import annotations
 
 from collections.abc import Iterator
+from math import exp, log
 
 import numpy as np
 import pyarrow as pa
@@ -28,7 +29,7 @@ ROUNDS = 2
 RARE = 1e-7
 #: Pieces of the pooled languages that each language's counts are blended with.
 BLEND = 2000.0
-#: Longer words are summed one by one with rescaling.
+#: Longer words are summed one by one with rescaling, in learning as in scoring.
 LONG = 40
 SIEVE_BITS = 20
 BASE = np.uint64(0x9E3779B97F4A7C15)
@@ -142,6 +143,33 @@ def expected(ends: list, sizes: np.ndarray, chances: np.ndarray, times: np.ndarr
     return uses
 
 
+def expected_long(word: str, index: dict[str, int], longest: int, chances: np.ndarray, times: float, uses: np.ndarray) -> None:
+    """Add the expected uses of each piece in one word of any length, for one language; sums are kept as logs."""
+
+    def add(values: list[float]) -> float:
+        top = max(values)
+        return top + log(sum(exp(v - top) for v in values))
+
+    steps, ahead = [], [0.0]
+    for i in range(1, len(word) + 1):
+        found = [(i - 1, -1, log(RARE))] if word[i - 1] not in index else []
+        for size in range(1, min(i, longest) + 1):
+            piece = index.get(word[i - size : i])
+            if piece is not None:
+                found.append((i - size, piece, log(chances[piece])))
+        steps.append(found)
+        ahead.append(add([ahead[a] + p for a, _, p in found]))
+    back: list[list[float]] = [[] for _ in word] + [[0.0]]
+    for i in range(len(word), 0, -1):
+        # every character can be a step of its own, so something follows each place
+        rest = add(back[i])
+        back[i] = []
+        for a, piece, p in steps[i - 1]:
+            back[a].append(p + rest)
+            if piece >= 0:
+                uses[piece] += times * exp(ahead[a] + p + rest - ahead[-1])
+
+
 def long_word(word: str, index: dict[str, int], longest: int, chances: np.ndarray) -> np.ndarray:
     """Log of the sum over segmentations of one long word, per language, rescaled as it goes."""
     sums = [np.ones(chances.shape[1])]
@@ -259,6 +287,9 @@ def _expect(shared):
                     order, ends, sizes = pieces.spans(some)
                     times = np.array([own[w] for w in some], float)[order]
                     total += expected(ends, sizes, np.ascontiguousarray(chances[:, langs.index(lang)]), times)
+                for w in own:
+                    if len(w) > LONG:
+                        expected_long(w, pieces.index, pieces.longest, chances[:, langs.index(lang)], own[w], total)
         for lang, total in uses.items():
             at = np.flatnonzero(total)
             yield pa.RecordBatch.from_arrays([pa.array([lang] * len(at)), pa.array(at, pa.int32()), pa.array(total[at])], names=["lang", "piece", "uses"])

@@ -475,3 +475,24 @@ def test_line_links_of_every_line(spark):
     kept = {r["path"]: r["text"] for r in line_dedup.drop_repeated_lines(docs, min_chars=0).collect()}
     for i, t in texts:
         assert kept[i] == (None if t is None else "\n".join(x for n, x in enumerate(t.split("\n")) if not x.strip() or group[i, n] == (i, n)))
+
+
+def test_learning_from_long_words(spark):
+    """Expected uses in a long word are those of the dense sums, and languages without spaces are learned."""
+    names = ["a", "b", "ab", "ba", "aba", "▁", "▁a"]
+    pieces = language.Pieces(names)
+    chances = np.random.default_rng(3).random(len(names)) / 10
+    for word in ("▁abaab", "▁éab", "▁" + "abbaé" * 4):
+        _, ends, sizes = pieces.spans([word])
+        uses = np.zeros(len(names))
+        language.expected_long(word, pieces.index, pieces.longest, chances, 2.0, uses)
+        assert np.allclose(uses, 2 * language.expected(ends, sizes, chances, np.ones(1)))
+    endless = np.zeros(len(names))
+    language.expected_long("▁" + "ab" * 3000, pieces.index, pieces.longest, chances, 1.0, endless)
+    assert np.isclose(sum(u * len(n) for u, n in zip(endless, names)), 6001)
+    sample = {"ja": "のにをはがとしたですまる", "zh": "的是不了在人有我他这中大"}
+    rnd = random.Random(16)
+    rows = [(i, "".join(rnd.choice(sample[k]) for _ in range(77)), k) for i, k in enumerate(["ja", "zh"] * 20)]
+    docs = spark.createDataFrame(rows, "path long, text string, lang string")
+    got = {r["path"]: r for r in language.identify(docs, language.learn(docs)).collect()}
+    assert all(got[i]["lang_pred"] == k and got[i]["score"] > 0.9 for i, _, k in rows)
