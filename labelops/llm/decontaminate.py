@@ -21,9 +21,14 @@ from labelops.llm import text
 
 #: Which words of a window a seed looks at. Five each.
 MASKS = ("11111", "1101011", "11001101")
+#: More masks (as salt, mask, least and most words of an item) for short items. From five words on they meet every item
+#: with one replaced word; below that all words have to be equal.
+SHORT_MASKS = (*((10 + n, "1" * n, n, n) for n in range(1, 5)), (20, "111", 5, 7), (21, "1101", 5, 7))
 #: A stretch has at least so many words, or all words of a shorter item.
 MIN_WORDS = 13
 SIMILARITY = 0.8
+#: Shorter items are not searched unless asked for.
+MIN_ITEM_WORDS = 5
 #: Benchmark words whose seeds are compared with the texts at once; a larger benchmark takes more rounds.
 BLOCK_WORDS = 500_000
 SIEVE_BITS = 22
@@ -45,12 +50,18 @@ def _seeds(hashes: np.ndarray, mask: str, salt: int) -> np.ndarray:
 class Seeds:
     """Seeds of a block of benchmark items, in one sorted array behind a sieve of bits."""
 
-    def __init__(self, ids: list, texts: list[str | None]):
+    def __init__(self, ids: list, texts: list[str | None], min_item_words: int = MIN_ITEM_WORDS):
         self.ids = ids
         self.words, self.starts = text.hashed_words(texts, text.WordHashes())
         found, items, places = [], [], []
-        for salt, mask in enumerate(MASKS):
-            for i, (a, b) in enumerate(zip(self.starts[:-1], self.starts[1:])):
+        sizes = np.diff(self.starts)
+        self.masks = [(salt, mask) for salt, mask in enumerate(MASKS)]
+        for salt, mask, least, most in [(salt, mask, 1, np.inf) for salt, mask in self.masks] + list(SHORT_MASKS):
+            fit = np.flatnonzero((sizes >= max(least, min_item_words)) & (sizes <= most)).tolist()
+            if most < np.inf and fit:
+                self.masks.append((salt, mask))
+            for i in fit:
+                a, b = self.starts[i], self.starts[i + 1]
                 s = _seeds(self.words[a:b], mask, salt)
                 found.append(s)
                 items.append(np.full(len(s), i))
@@ -67,7 +78,7 @@ class Seeds:
         """Distinct (text, item, text place - item place) of all seed hits; ``starts`` bounds the texts."""
         out = []
         owner = np.repeat(np.arange(len(starts) - 1), np.diff(starts))
-        for salt, mask in enumerate(MASKS):
+        for salt, mask in self.masks:
             s = _seeds(words, mask, salt)
             at = np.flatnonzero(self.sieve[s >> np.uint64(64 - SIEVE_BITS)])
             at = at[owner[at] == owner[at + len(mask) - 1]]
@@ -105,14 +116,14 @@ class Seeds:
 
 def benchmark_overlaps(
     items: DataFrame, benchmark: DataFrame, id_col: str = "path", text_col: str = "text", item_col: str = "item_id",
-    min_words: int = MIN_WORDS, similarity: float = SIMILARITY,
+    min_words: int = MIN_WORDS, similarity: float = SIMILARITY, min_item_words: int = MIN_ITEM_WORDS,
 ) -> DataFrame:
     """One row per text and benchmark item it holds a passage of: the longest overlap.
 
     ``id_col``, ``item_col``, ``start`` and ``item_start`` (words before the overlap in either), ``words``, ``equal``. Words are split at
     ASCII white space and lower-cased A-Z. An overlap starts and ends with equal words, has at least ``min_words`` words or
     as many as a shorter item, and at least the share ``similarity`` of them equal. NULL and empty texts hold nothing;
-    items under five words are too short for a seed and are not searched. Repeated rows give repeated results.
+    items under ``min_item_words`` words are not searched (1: all are; those under five words are found where all words are equal). Repeated rows give repeated results.
 
     The benchmark is compared in blocks of bounded size, each against all texts.
     """
@@ -125,7 +136,7 @@ def benchmark_overlaps(
     out = None
     for block in range(blocks):
         mine = sized.filter(F.pmod(F.xxhash64("id", "text"), F.lit(blocks)) == block).select("id", "text").collect()
-        shared = spark.sparkContext.broadcast(Seeds([r["id"] for r in mine], [r["text"] for r in mine]))
+        shared = spark.sparkContext.broadcast(Seeds([r["id"] for r in mine], [r["text"] for r in mine], min_item_words))
         found = source.mapInArrow(_search(shared, schema, min_words, similarity), schema)
         out = found if out is None else out.unionByName(found)
     return out

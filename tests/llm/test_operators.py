@@ -496,3 +496,21 @@ def test_learning_from_long_words(spark):
     docs = spark.createDataFrame(rows, "path long, text string, lang string")
     got = {r["path"]: r for r in language.identify(docs, language.learn(docs)).collect()}
     assert all(got[i]["lang_pred"] == k and got[i]["score"] > 0.9 for i, _, k in rows)
+
+
+def test_short_benchmark_items(spark):
+    """Items under eight words are met with one replaced word at any place inside, those under five words where all are equal."""
+    items = [[f"i{n}w{k}" for k in range(n)] for n in range(1, 9)]
+    texts, wanted = [], {}
+    for i, item in enumerate(items):
+        for at in [None, *range(len(item))]:
+            body = [w if k != at else "zzz" for k, w in enumerate(item)]
+            texts.append((len(texts), " ".join(["x", "y", *body, "z"])))
+            n = len(item)
+            if at is None or n >= 5 and 0 < at < n - 1:
+                wanted[len(texts) - 1, i] = (2, 0, n, n - (at is not None))
+    bench = spark.createDataFrame([(i, " ".join(x)) for i, x in enumerate(items)] + [(90, ""), (91, None)], "item_id int, text string")
+    docs = frame(spark, [*texts, (900, None), (901, "")])
+    found = lambda **more: {(r["path"], r["item_id"]): (r["start"], r["item_start"], r["words"], r["equal"]) for r in decontaminate.benchmark_overlaps(docs, bench, **more).collect()}
+    assert found(min_item_words=1) == wanted
+    assert found() == {k: v for k, v in wanted.items() if v[2] >= 5}
