@@ -48,7 +48,7 @@ STAGES = [
     ("packing", pack),
 ]
 
-#: Learned models, tokenizers and edit joins have no SQL form; tests compare each stage with a brute-force version.
+#: Learned models, tokenizers and edit joins have no SQL form; tests/llm compares the operators below the stages with brute force.
 ORACLE_SQL = None
 
 
