@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from labelops.llm import brown, decontaminate, language, line_dedup, line_frequency, near_groups, ownership, packing, page_text, text, toxicity
+from labelops.llm import brown, decontaminate, language, line_dedup, line_frequency, near_groups, ownership, packing, page_text, prefix_trie, sequences, text, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -92,3 +92,23 @@ def op8_secrets(spark, sf):
     return found.withColumn("base_sha256", F.sha2("base_spans", 256)).select(
         "doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "spans", "n_live", "live_spans"
     )
+
+
+@query
+def op12_prefix_trie(spark, sf):
+    turns = _table(spark, sf, "conversations").select(
+        "conv_id", "turn", F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text")
+    ).filter("conv_id is not null")
+    turns = sequences.numbered(turns, "conv_id", [F.col("turn"), F.col("role"), F.col("text")]).drop("turn")
+    cut = text.remainder("conv_id", 6)
+    convs = turns.filter("pos = 0").select("conv_id", cut.alias("head"), (F.col("conv_id") - F.col("conv_id") % 100).alias("base"))
+    starts = turns.filter("pos < 5").select(F.col("conv_id").alias("base"), "pos", "role", "text")
+    heads = convs.join(starts, "base").filter("pos < head").select("conv_id", "pos", "role", "text")
+    rebuilt = turns.filter(F.col("pos") >= cut).select("conv_id", "pos", "role", "text").unionByName(heads)
+    nodes, ends = prefix_trie.history_trie(rebuilt, convs, "conv_id", "pos", "role", "text")
+    shas = sequences.joined_sha256(ends.withColumn("id", F.col("conv_id").cast("string")), prefix_trie.SPOT, ["conv_id"], "id", ",", "ends_sha256")
+    nodes = nodes.join(shas, prefix_trie.SPOT, "left")
+    return nodes.select(
+        "conv_id", "depth", F.col("parent_conv_id"), F.col("n_runs").alias("n_convs"), "n_children", "n_leaves", F.col("saved_chars").alias("saved_tokens"),
+        F.coalesce("ends_sha256", F.sha2(F.lit("").cast("binary"), 256)).alias("ends_sha256"),
+    )
