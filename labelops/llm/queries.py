@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from labelops.llm import brown, decontaminate, language, line_dedup, line_frequency, near_groups, ownership, packing, page_text, prefix_trie, sequences, text, toxicity
+from labelops.llm import brown, decontaminate, language, line_dedup, line_frequency, near_groups, ownership, packing, page_text, prefix_trie, repair, sequences, text, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -112,3 +112,22 @@ def op12_prefix_trie(spark, sf):
         "conv_id", "depth", F.col("parent_conv_id"), F.col("n_runs").alias("n_convs"), "n_children", "n_leaves", F.col("saved_chars").alias("saved_tokens"),
         F.coalesce("ends_sha256", F.sha2(F.lit("").cast("binary"), 256)).alias("ends_sha256"),
     )
+
+
+@query
+def op13_log_repair(spark, sf):
+    turns = _table(spark, sf, "conversations").filter("conv_id is not null")
+    filled = turns.select("conv_id", "turn", *[F.coalesce(c, F.lit(" ")).alias(c) for c in ("role", "text")])
+    name = F.concat(F.col("conv_id").cast("string"), F.lit(":"), F.coalesce(F.col("turn").cast("string"), F.lit(" ")))
+    damage = F.crc32(name.cast("binary")) % 20
+    damaged = filled.filter(damage != 0).select(
+        "conv_id", "turn", F.when(damage == 4, F.lit("user")).otherwise(F.col("role")).alias("role"),
+        F.when(damage == 1, F.lit("")).when(damage == 2, F.regexp_replace("text", "[.!?]", "")).otherwise(F.col("text")).alias("text"),
+        F.explode(F.sequence(F.lit(1), F.when(damage == 3, 2).otherwise(1))).alias("copy"),
+    )
+    repaired, audit = repair.repair_logs(damaged, "conv_id", "turn")
+    lines = repaired.filter("edit <> 'D'").select("conv_id", "place", F.concat("role", F.lit(":"), "text").alias("line"))
+    shas = sequences.joined_sha256(lines, ["conv_id"], ["place"], "line", "\n", "repaired_sha256")
+    found = turns.select("conv_id").distinct().join(audit, "conv_id", "left").join(shas, "conv_id", "left")
+    counts = [F.coalesce(c, F.lit(0).cast("long")).alias(c) for c in ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")]
+    return found.select("conv_id", *counts, F.coalesce("audit", F.lit("")).alias("audit"), F.coalesce("repaired_sha256", F.sha2(F.lit("").cast("binary"), 256)).alias("repaired_sha256"))
