@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from labelops.llm import brown, decontaminate, language, line_dedup, line_frequency, near_groups, ownership, packing, page_text, prefix_trie, repair, sequences, text, toxicity
+from labelops.lineage import shared_folder
+from labelops.llm import archives, brown, decontaminate, language, line_dedup, line_frequency, near_groups, ownership, packing, page_text, prefix_trie, repair, sequences, text, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -131,3 +133,15 @@ def op13_log_repair(spark, sf):
     found = turns.select("conv_id").distinct().join(audit, "conv_id", "left").join(shas, "conv_id", "left")
     counts = [F.coalesce(c, F.lit(0).cast("long")).alias(c) for c in ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")]
     return found.select("conv_id", *counts, F.coalesce("audit", F.lit("")).alias("audit"), F.coalesce("repaired_sha256", F.sha2(F.lit("").cast("binary"), 256)).alias("repaired_sha256"))
+
+
+@query
+def op11_warc(spark, sf):
+    pages = _table(spark, sf, "pages").select("page_id", "url", F.col("html").cast("binary").alias("html"))
+    folder = f"{shared_folder(spark)}/{uuid.uuid4()}"
+    index = archives.archive_files(pages, folder, "page_id", "html", "url", kind="text/html; charset=utf-8")
+    found = archives.read_files(index, folder)
+    return found.select(
+        F.col("path").try_cast("long").alias("page_id"), F.col("bytes").alias("payload_bytes"), F.col("digest").alias("payload_digest"), "record_type",
+        F.col("refers_to").try_cast("long").alias("refers_to"),
+    )
