@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from labelops.constants import SPLITS
-from labelops.lineage import join_on, literal_rows
+from labelops.lineage import cut, join_on, literal_rows
 from labelops.operators.ranking import first_rows
 
 
@@ -124,20 +124,121 @@ def snapshot(
 
     The digest must not collect or sort the listing, so line hashes are added up: four 60-bit lanes of
     each line's SHA-256, summed exactly. Sums merge map-side and do not depend on the row order."""
+    sums = _line_sums(df.select("*", F.col(group).alias("_group")), ["_group"], path, length, stamp)
+    total = sums.agg(
+        F.count(F.lit(1)).alias("class_count"), F.sum("files").alias("file_count"), F.sum("bytes").alias("total_bytes"), *_lane_sums(),
+    )
+    return total.select("class_count", "file_count", "total_bytes", _lane_digest().alias("digest"))
+
+
+LANES = [f"_s{i}" for i in range(4)]
+
+
+def _line_sums(df: DataFrame, keys: Sequence[str], path: str, length: str, stamp: Column | None) -> DataFrame:
+    """(keys, files, bytes, lanes) of the (path, size, time) lines."""
     stamp = F.unix_micros("mtime") if stamp is None else stamp
     line = F.concat_ws("|", F.lit("F"), F.col(path), F.col(length).cast("string"), stamp.cast("string"))
-    hashed = df.select(group, F.col(length).alias("_len"), F.sha2(line, 256).alias("_h"))
+    hashed = df.select(*keys, F.col(length).alias("_len"), F.sha2(line, 256).alias("_h"))
     lanes = [F.conv(F.substring("_h", 1 + 15 * i, 15), 16, 10).cast("decimal(20,0)") for i in range(4)]
-    sums = hashed.groupBy(group).agg(
-        F.count(F.lit(1)).alias("_files"), F.sum("_len").alias("_bytes"),
-        *[F.sum(lane).alias(f"_s{i}") for i, lane in enumerate(lanes)],
+    return hashed.groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("files"), F.sum("_len").alias("bytes"), *[F.sum(lane).alias(s) for s, lane in zip(LANES, lanes)]
     )
-    total = sums.agg(
-        F.count(F.lit(1)).alias("class_count"), F.sum("_files").alias("file_count"), F.sum("_bytes").alias("total_bytes"),
-        *[F.sum(f"_s{i}").cast("decimal(38,0)").alias(f"_s{i}") for i in range(4)],
+
+
+def _lane_sums() -> list[Column]:
+    return [F.sum(s).cast("decimal(38,0)").alias(s) for s in LANES]
+
+
+def _lane_digest() -> Column:
+    return F.sha2(F.concat_ws("|", *[F.col(s).cast("string") for s in LANES]), 256)
+
+
+def path_range(path: str = "path", group: str = "class", digits: int = 2) -> Column:
+    """The range a file belongs to: its class and the leading hex digits of its path's SHA-256, 16**digits even ranges a class."""
+    return F.concat(F.coalesce(F.col(group), F.lit("")), F.lit("/"), F.substring(F.sha2(F.col(path).cast("string").cast("binary"), 256), 1, digits))
+
+
+def snapshot_tree(
+    df: DataFrame, path: str = "path", group: str = "class", length: str = "length", stamp: Column | None = None, digits: int = 2
+) -> DataFrame:
+    """A tree of digests over a listing: (level, range, parent, files, bytes, digest).
+
+    Level 0 is the whole listing (range empty), level 1 a class, level 2 a range of a class (``path_range``). A node's sums are
+    those of its children, so the tree costs one aggregate over the listing and two over its ranges. Two
+    trees of the same ``digits`` are compared by ``changed_ranges``."""
+    keyed = df.withColumns({"_class": F.coalesce(F.col(group), F.lit("")), "_range": path_range(path, group, digits)})
+    leaves = _line_sums(keyed, ["_class", "_range"], path, length, stamp)
+    level = lambda n, name, parent: [F.lit(n).alias("level"), name.alias("range"), parent.alias("parent"), "files", "bytes", _lane_digest().alias("digest")]
+    totals = [F.sum("files").alias("files"), F.sum("bytes").alias("bytes"), *_lane_sums()]
+    classes = leaves.groupBy("_class").agg(*totals)
+    none = F.lit(None).cast("string")
+    return (
+        leaves.select(level(2, F.col("_range"), F.col("_class")))
+        .unionByName(classes.select(level(1, F.col("_class"), F.lit(""))))
+        .unionByName(leaves.agg(*totals).where(F.col("files").isNotNull()).select(level(0, F.lit(""), none)))
+    )
+
+
+def changed_ranges(before: DataFrame, after: DataFrame) -> DataFrame:
+    """Nodes of two snapshot trees that differ: (level, range, files_before, files_after, bytes_before, bytes_after).
+
+    A side that has no such node counts 0 files."""
+    sides = [
+        t.select("level", "range", F.lit(tag).alias("_side"), "files", "bytes", "digest") for tag, t in (("b", before), ("a", after))
+    ]
+    pick = lambda tag, c: F.max(F.when(F.col("_side") == tag, F.col(c)))
+    both = sides[0].unionByName(sides[1]).groupBy("level", "range").agg(
+        *[F.coalesce(pick(t, c), F.lit(0).cast("long")).alias(f"{c}_{name}") for c in ("files", "bytes") for t, name in (("b", "before"), ("a", "after"))],
+        pick("b", "digest").alias("_b"), pick("a", "digest").alias("_a"),
     )
-    digest = F.sha2(F.concat_ws("|", *[F.col(f"_s{i}").cast("string") for i in range(4)]), 256)
-    return total.select("class_count", "file_count", "total_bytes", digest.alias("digest"))
+    return both.where(~F.col("_b").eqNullSafe(F.col("_a"))).drop("_a", "_b")
+
+
+#: Changed ranges up to this number are handed to the scan as a list, which a sorted listing can skip by.
+LISTED_RANGES = 1000
+
+
+def write_listing(df: DataFrame, folder: str, path: str = "path", group: str = "class", digits: int = 2, mode: str = "errorifexists") -> None:
+    """Keep a listing for later comparison, ordered by range, so that a comparison reads only the ranges that changed."""
+    ranged = df.withColumn("_range", path_range(path, group, digits))
+    ranged.repartitionByRange("_range").sortWithinPartitions("_range").write.mode(mode).parquet(folder)
+
+
+def changed_files(
+    before: DataFrame, after: DataFrame, ranges: DataFrame, path: str = "path", group: str = "class", length: str = "length",
+    stamp: Column | None = None, digits: int = 2,
+) -> DataFrame:
+    """(path, class, change) of the files in changed ranges: added, removed or changed (size or time).
+
+    ``ranges`` is the result of ``changed_ranges``. Only the files of its level-2 ranges are compared; a listing kept by
+    ``write_listing`` is read there alone."""
+    stamp = F.unix_micros("mtime") if stamp is None else stamp
+    wanted = cut(ranges.where("level = 2").select("range"))
+    few = [r["range"] for r in wanted.limit(LISTED_RANGES + 1).collect()]
+
+    def side(df: DataFrame, sign: int) -> DataFrame:
+        own = F.col("_range") if "_range" in df.columns else path_range(path, group, digits)
+        rows = df.withColumn("_range", own)
+        rows = rows.where(F.col("_range").isin(few)) if len(few) <= LISTED_RANGES else rows.join(wanted.withColumnRenamed("range", "_range"), "_range", "left_semi")
+        line = F.struct(F.col(length).alias("length"), stamp.alias("stamp"))
+        return rows.select(F.col(path).alias("path"), F.col(group).alias("class"), line.alias("_line"), F.lit(sign).alias("_sign"))
+
+    both = side(before, -1).unionByName(side(after, 1))
+    at = lambda sign: F.sort_array(F.collect_list(F.when(F.col("_sign") == sign, F.col("_line"))))
+    found = both.groupBy("path", "class").agg(at(-1).alias("_old"), at(1).alias("_new")).where(F.col("_old") != F.col("_new"))
+    change = F.when(F.size("_old") == 0, "added").when(F.size("_new") == 0, "removed").otherwise("changed")
+    return found.select("path", "class", change.alias("change"))
+
+
+def require_same_files(before: DataFrame, after: DataFrame, named: int = 20) -> None:
+    """Raise when two listings differ, naming the ranges and up to ``named`` files."""
+    ranges = cut(changed_ranges(snapshot_tree(before), snapshot_tree(after)))
+    if ranges.isEmpty():
+        return
+    files = changed_files(before, after, ranges)
+    listed = [f"{r['change']} {r['path']}" for r in files.orderBy("path").limit(named).collect()]
+    count = ranges.where("level = 2").count()
+    raise ValueError(f"source changed in {count} ranges: {', '.join(listed)}{' and more' if len(listed) == named else ''}")
 
 
 def assert_unchanged(before: DataFrame, after: DataFrame) -> None:

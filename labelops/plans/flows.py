@@ -24,14 +24,14 @@ from labelops.functions.quality import CropRules, Quality, blur_reason, crop_dec
 from labelops.functions.scores import Bands, final_route, flow_outcome, needs_class_model, production_outcome
 from labelops.functions.scores import route_eval, route_stage_a, top2_margin, top_k
 from labelops.functions.tokens import binary_label, clean_label, is_other, merge_class
-from labelops.lineage import cut, join_on
+from labelops.lineage import cut, join_on, stored
 from labelops.operators import audit, metrics, reports, runs, split, validate, variants
 from labelops.operators.cleaning import clean
 from labelops.operators.dedup import dedup_exact, duplicate_counts
 from labelops.operators.labels import label_index
 from labelops.operators.taxonomy import drop_other, map_upload_label, missing_names, raw_mapping, supported_only
 from labelops.operators.taxonomy import taxonomy_plan
-from labelops.sources import readers, sinks
+from labelops.sources import publish, readers, sinks
 from labelops.sources.scans import scan_labelled
 
 
@@ -364,15 +364,19 @@ def compare_training_runs(spark: SparkSession, folder: str, history_name: str =
 
 @dataclass(frozen=True)
 class RebuildPaths:
+    """Folders of a rebuild; ``cleaned`` is ``<main>_cleaned`` unless given. No output may lie inside the source."""
+
     raw: str
     main: str
     subset: str
     report: str
+    cleaned: str | None = None
     outputs: tuple[str, ...] = field(init=False)
 
     def __post_init__(self):
         raw = self.raw.rstrip("/") + "/"
-        object.__setattr__(self, "outputs", (self.main, self.subset, self.report))
+        object.__setattr__(self, "cleaned", self.cleaned or self.main.rstrip("/") + "_cleaned")
+        object.__setattr__(self, "outputs", (self.main, self.subset, self.report, self.cleaned))
         for out in self.outputs:
             if (out.rstrip("/") + "/").startswith(raw):
                 raise ValueError(f"output may not be inside the source: {out}")
@@ -381,20 +385,27 @@ class RebuildPaths:
 def rebuild(stage: str, items: DataFrame, paths: RebuildPaths, crops: DataFrame | None = None, seed: int = 42, clean_output: bool = False) -> DataFrame:
     """One stage of the dataset rebuild on a profiled listing of ``paths.raw``.
 
-    ``preprocess`` writes the cleaning-and-crop report; ``crop`` the same with crop figures only;
-    ``split`` writes the main and the ``other``-free split datasets and returns the checks."""
+    ``preprocess`` publishes the cleaned rows at ``paths.cleaned`` (``publish.read_published``) and writes the cleaning-and-crop report;
+    ``crop`` writes the report with crop figures only; ``split`` writes the main and the ``other``-free split
+    datasets and returns the checks. A source that changed meanwhile is an error that names its files."""
     if stage == "split":
         # taken before anything is written, and again from a fresh listing afterwards
-        before = cut(validate.snapshot(scan_labelled(items.sparkSession, paths.raw)))
+        before = stored(scan_labelled(items.sparkSession, paths.raw))
         main = split_dataset(items, seed=seed, root=paths.main, clean_output=clean_output)
         subset, _ = build_subset(main.rows, paths.subset, clean_output)
-        return validate_dataset(main.rows, subset, before=before, after=validate.snapshot(scan_labelled(items.sparkSession, paths.raw)))
+        validate.require_same_files(before, stored(scan_labelled(items.sparkSession, paths.raw)))
+        return validate_dataset(main.rows, subset)
     if stage not in ("preprocess", "crop"):
         raise ValueError(f"unknown stage: {stage}")
+    if stage == "preprocess" and sinks.path_exists(items.sparkSession, paths.cleaned) and not clean_output:
+        raise FileExistsError(f"output exists, pass clean_output to replace it: {paths.cleaned}")
     items = cut(items)
     crops = crop_audit(items if crops is None else crops)[1].where(F.col("class").isNotNull())
     if stage == "preprocess":
-        stats = clean_dataset(items).class_stats
+        cleaned = clean_dataset(items)
+        publish.Draft(cleaned.kept, paths.cleaned).commit(source=paths.raw)
+        publish.expire(items.sparkSession, paths.cleaned)
+        stats = cleaned.class_stats
     else:
         merged = raw_mapping(items)
         empty = F.lit(None).cast("bigint")

@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
-import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from labelops.constants import CLEAN_EXTENSIONS, LOADER_EXTENSIONS, SPLITS, UPLOAD_EXTENSIONS
+from labelops.lineage import stored
 from labelops.operators.dedup import listing_order
+from labelops.sources.folders import add_digest, can_list, list_folder, qualified
 
 
 def _extension_glob(extensions: Sequence[str]) -> str:
@@ -28,16 +29,28 @@ def decoded_path(col: Column) -> Column:
     return clean_path(F.url_decode(F.regexp_replace(col, "\\+", "%2B")))
 
 
-def _relative(spark: SparkSession, root: str) -> Column:
+def _relative(base: str) -> Column:
     """The path below the root; a listed file outside the root as the file system spells it is an error."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(root)
-    base = path.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(path).toString()
-    prefix = re.sub("^file:/+", "file:/", base).rstrip("/") + "/"
+    prefix = base + "/"
     outside = F.raise_error(F.concat(F.lit(f"not below {prefix}: "), F.col("path"))).cast("string")
     return F.when(F.col("path").startswith(prefix), F.substring("path", len(prefix) + 1, 1 << 30)).otherwise(outside)
 
 
-def _scan(spark: SparkSession, root: str, extensions: Sequence[str] | None, content_hash: bool, max_bytes: int | None):
+def _scan(spark: SparkSession, root: str, extensions: Sequence[str] | None, content_hash: bool, max_bytes: int | None, depth: int = 1) -> DataFrame:
+    """(path, length, mtime, _rel, ...), listed by the tasks; by Spark's reader where workers have no file system for the scheme."""
+    base = qualified(spark, root)
+    if not can_list(base):
+        return _scan_binary(spark, root, base, extensions, content_hash, max_bytes)
+    files = list_folder(spark, root, extensions, depth)
+    large = F.col("length") > max_bytes if max_bytes is not None else F.lit(False)
+    if content_hash:
+        files = add_digest(stored(files), ~large)
+    if max_bytes is not None:
+        files = files.withColumn("reason", F.when(large, "file_too_large"))
+    return files.withColumnRenamed("rel", "_rel")
+
+
+def _scan_binary(spark: SparkSession, root: str, base: str, extensions: Sequence[str] | None, content_hash: bool, max_bytes: int | None) -> DataFrame:
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", True)
     if extensions is not None:
         reader = reader.option("pathGlobFilter", _extension_glob(extensions))
@@ -48,7 +61,7 @@ def _scan(spark: SparkSession, root: str, extensions: Sequence[str] | None, cont
         cols.append(F.when(~large, F.sha2("content", 256)).alias("content_hash"))
     if max_bytes is not None:
         cols.append(F.when(large, "file_too_large").alias("reason"))
-    return files.select(*cols).withColumn("_rel", _relative(spark, root))
+    return files.select(*cols).withColumn("_rel", _relative(base))
 
 
 def scan_labelled(
@@ -77,7 +90,7 @@ def scan_splits(
     content_hash: bool = False,
 ) -> DataFrame:
     """``<root>/<split>/<class>/<file>`` with its split."""
-    files = _scan(spark, root, extensions, content_hash, None)
+    files = _scan(spark, root, extensions, content_hash, None, depth=2)
     parts = F.split("_rel", "/")
     return (
         files.where(F.col("_rel").rlike("^[^/]+/[^/]+/[^/]+$"))

@@ -9,54 +9,49 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from labelops.operators.validate import reconcile
-
-
-def _fs(spark: SparkSession, path: str):
-    jvm = spark.sparkContext._jvm
-    target = jvm.org.apache.hadoop.fs.Path(path)
-    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), target
+from labelops.sources import publish
+from labelops.sources.publish import hadoop_path
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
-    fs, target = _fs(spark, path)
+    fs, target = hadoop_path(spark, path)
     return fs.exists(target)
 
 
-def write_splits(df: DataFrame, root: str, clean_output: bool = False, keys=("split", "class", "file_name")) -> None:
-    """Write ``split=/class=`` partitions next to the target, compare with the plan, then publish.
+def write_splits(df: DataFrame, root: str, clean_output: bool = False, keys=("split", "class", "file_name")) -> int:
+    """Write ``split=/class=`` partitions, compare them with the plan, then publish them as the next version of ``root``.
 
-    The rebalance hint lets Spark put small classes together and spread a large one over many files."""
+    The rebalance hint lets Spark put small classes together and spread a large one over many files. Until the manifest is
+    there readers see the version before; that one is kept for readers that have begun, older ones go. Returns the version."""
     spark = df.sparkSession
     if path_exists(spark, root) and not clean_output:
         raise FileExistsError(f"output exists, pass clean_output to replace it: {root}")
-    staging = root.rstrip("/") + "__staging"
-    df.hint("rebalance", "split", "class").write.partitionBy("split", "class").mode("overwrite").parquet(staging)
-    written = read_splits(spark, staging, df.schema)
-    problems = reconcile(df.select(*keys), written.select(*keys), keys)
+    draft = publish.Draft(df, root, ("split", "class"))
+    problems = reconcile(df.select(*keys), _text_folders(draft.schema, spark, draft.path).select(*keys), keys)
     example = problems.first()
     if example is not None:
+        draft.discard()
         raise ValueError(f"written rows differ from the plan: {example}")
-    fs, target = _fs(spark, root)
-    _, source = _fs(spark, staging)
-    _, aside = _fs(spark, root.rstrip("/") + "__replaced")
-    replaced = fs.exists(target)
-    if replaced:
-        fs.delete(aside, True)
-        if not fs.rename(target, aside):
-            raise OSError(f"could not set the old output aside: {root}")
-    if not fs.rename(source, target):
-        if replaced:
-            fs.rename(aside, target)
-        raise OSError(f"could not publish {staging} as {root}")
-    if replaced:
-        fs.delete(aside, True)
-
-
-def read_splits(spark: SparkSession, root: str, schema: T.StructType | None = None) -> DataFrame:
-    """Read a written split dataset; folder values stay text, whatever they look like."""
-    found = schema or spark.read.parquet(root).schema
-    text = [T.StructField(f.name, T.StringType()) if f.name in ("split", "class") else f for f in found.fields]
-    return spark.read.schema(T.StructType(text)).parquet(root)
+    draft.schema = _folder_schema(draft.schema)
+    version = draft.commit(partitions=["split", "class"])
+    publish.expire(spark, root)
+    return version
+
+
+def _folder_schema(schema: T.StructType) -> T.StructType:
+    return T.StructType([T.StructField(f.name, T.StringType()) if f.name in ("split", "class") else f for f in schema.fields])
+
+
+def _text_folders(schema: T.StructType, spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.schema(_folder_schema(schema)).parquet(path)
+
+
+def read_splits(spark: SparkSession, root: str, schema: T.StructType | None = None, version: int | None = None) -> DataFrame:
+    """Read a published split dataset, or a plain ``split=/class=`` folder; folder values stay text, whatever they look like."""
+    found = publish.manifest(spark, root, version)
+    if found is not None:
+        return publish.read_published(spark, root, found["version"])
+    return _text_folders(schema or spark.read.parquet(root).schema, spark, root)
 
 
 def csv_cells(df: DataFrame, cols: Sequence[str]) -> DataFrame:

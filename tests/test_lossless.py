@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from labelops.functions.quality import extension_reason
 from labelops.operators import dedup, learn, validate
-from labelops.sources import scans, sinks
+from labelops.sources import publish, scans, sinks
 from tests.conftest import rows
 
 
@@ -50,19 +50,11 @@ def test_failed_publish_keeps_the_old_output(spark, tmp_path, monkeypatch):
     root = str(tmp_path / "out")
     df = spark.createDataFrame([("train", "a", "x")], "split string, class string, file_name string")
     sinks.write_splits(df, root)
-    real = sinks._fs
 
-    class Broken:
-        def __init__(self, fs):
-            self.fs = fs
+    def broken(*args):
+        raise OSError("no space")
 
-        def __getattr__(self, name):
-            return getattr(self.fs, name)
-
-        def rename(self, a, b):
-            return False if str(a).endswith("__staging") else self.fs.rename(a, b)
-
-    monkeypatch.setattr(sinks, "_fs", lambda s, p: (Broken(real(s, p)[0]), real(s, p)[1]))
+    monkeypatch.setattr(publish, "create_once", broken)
     with pytest.raises(OSError):
         sinks.write_splits(df.withColumn("file_name", F.lit("new")), root, clean_output=True)
     monkeypatch.undo()
