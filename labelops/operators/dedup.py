@@ -3,13 +3,17 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 from itertools import combinations
 from math import comb
 
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from labelops.lineage import cut, join_on, literal_rows
+from labelops.lineage import broadcast_if_small, cut, join_on, literal_rows
 from labelops.operators.ranking import first_rows, rank_by_order
 
 LISTING = ("class", "file_name")
@@ -106,7 +110,7 @@ def _flip_count(masks: Sequence[int], radius: int) -> int:
 
 
 def near_pairs(hashes: DataFrame, t: int, bucket_limit: int | None = None) -> DataFrame:
-    """Pairs (group, a, b), a listed before b, of distinct hashes with 1..t differing bits.
+    """Pairs (group, a, b, pa, pb), a listed before b at the places pa and pb, of distinct hashes with 1..t differing bits.
 
     ``hashes`` has (group, h, pos): each hash once per group with its place in the listing. Rows meet
     on masked parts of the hash. A bucket of up to ``bucket_limit`` rows is joined directly. A larger
@@ -141,7 +145,7 @@ def near_pairs(hashes: DataFrame, t: int, bucket_limit: int | None = None) -> Da
         return (
             left.join(other, on)
             .where((F.col("pos") < F.col("pos2")) & (F.bit_count(F.col("h").bitwiseXOR(F.col("h2"))) <= t))
-            .select("group", F.col("h").alias("a"), F.col("h2").alias("b"))
+            .select("group", F.col("h").alias("a"), F.col("h2").alias("b"), F.col("pos").alias("pa"), F.col("pos2").alias("pb"))
         )
 
     small, large = shared.where(F.col("size") <= bucket_limit), shared.where(F.col("size") > bucket_limit)
@@ -164,25 +168,86 @@ def near_pairs(hashes: DataFrame, t: int, bucket_limit: int | None = None) -> Da
     return pairs.distinct()
 
 
-def greedy_removed(pairs: DataFrame) -> DataFrame:
+#: Rounds that settle what no chain holds up; afterwards the listing is settled block by block.
+PEEL_ROUNDS = 3
+#: Pairs whose later row lies in one block: what a task settles one by one.
+BLOCK_PAIRS = 500_000
+
+
+def _without(pairs: DataFrame, gone: DataFrame, ends: Sequence[str]) -> DataFrame:
+    """Pairs none of whose given ends is gone."""
+    gone = broadcast_if_small(gone)
+    for end in ends:
+        pairs = pairs.join(gone.withColumnRenamed("h", end), ["group", end], "left_anti")
+    return pairs
+
+
+def _one_by_one(group: tuple[pa.Scalar, ...], pairs: pa.Table) -> pa.Table:
+    """The rule itself, over one block of one group: rows in listing order, each dropped if an earlier kept one is near it.
+
+    A pair without ``a`` says that a kept row of an earlier block is near ``b``."""
+    inside = pairs.filter(pc.is_valid(pairs.column("pa"))).sort_by([("pa", "ascending")])
+    gone = set(pairs.filter(pc.is_null(pairs.column("pa"))).column("pb").to_pylist())
+    for x, y in zip(inside.column("pa").to_pylist(), inside.column("pb").to_pylist()):
+        if x not in gone:
+            gone.add(y)
+    names = dict(zip(pairs.column("pb").to_pylist(), pairs.column("b").to_pylist()))
+    found = sorted(gone)
+    return pa.table({"group": pa.array([group[0].as_py()] * len(found), pairs.schema.field("group").type), "h": pa.array([names[x] for x in found], pa.int64())})
+
+
+def _by_blocks(pairs: DataFrame, block_pairs: int) -> DataFrame:
+    """Hashes (group, h) dropped, settled in blocks of the listing, one after another.
+
+    A group is cut by rank so that about ``block_pairs`` pairs end in each block; a block is settled against the rows kept in earlier
+    ones, in one task a group, and its own kept rows then mark their later neighbours. There are as many rounds as
+    blocks of the largest group, however long a chain of near rows is."""
+    by_rank = rank_by_order(pairs.select("group", "pb"), ["group"], ["pb"], "rank")
+    starts = by_rank.groupBy("group", F.floor((F.col("rank") - 1) / block_pairs).cast("int").alias("block")).agg(F.min("pb").alias("from_pos"))
+    # rows of equal rank belong to the block that begins last at or before them
+    edges = cut(starts.where("block > 0").groupBy("group").agg(F.sort_array(F.collect_set("from_pos")).alias("edges")))
+    placed = join_on(pairs, broadcast_if_small(edges), ["group"], "left")
+    block = lambda pos: F.size(F.filter(F.coalesce("edges", F.array().cast("array<bigint>")), lambda e: e <= F.col(pos)))
+    placed = cut(placed.withColumns({"block_a": block("pa"), "block_b": block("pb")}).drop("edges"))
+    last = placed.agg(F.max("block_b")).first()[0]
+    schema = T.StructType([pairs.schema["group"], T.StructField("h", T.LongType())])
+    marks = placed.select("group", "b", "pb", "block_b").limit(0)
+    removed: DataFrame | None = None
+    for k in range(last + 1):
+        here = placed.where((F.col("block_a") == k) & (F.col("block_b") == k)).select("group", "pa", "pb", "b").unionByName(
+            marks.where(F.col("block_b") == k).select("group", F.lit(None).cast("long").alias("pa"), "pb", "b")
+        )
+        gone = cut(here.groupBy("group").applyInArrow(_one_by_one, schema))
+        removed = gone if removed is None else removed.unionByName(gone)
+        if k < last:
+            later = placed.where((F.col("block_a") == k) & (F.col("block_b") > k))
+            marks = cut(marks.where(F.col("block_b") > k).unionByName(_without(later, gone, ["a"]).select("group", "b", "pb", "block_b")).distinct())
+    return removed
+
+
+def greedy_removed(pairs: DataFrame, peel: int = PEEL_ROUNDS, block_pairs: int = BLOCK_PAIRS) -> DataFrame:
     """Hashes (group, h) dropped when each row is dropped if an earlier kept row is near it.
 
-    Per round, hashes without an undecided earlier neighbour are kept and all their later neighbours
-    go; pairs with a decided end disappear. The result is that of the one-by-one rule."""
+    ``pairs`` has (group, a, b, pa, pb): near hashes and their places in the listing, pa < pb. In the first ``peel``
+    rounds, hashes without an undecided earlier neighbour are kept and all their later neighbours go; pairs with a decided end
+    disappear. That settles all but chains, each row of which waits for the one before; what is left is settled
+    by blocks of the listing. The result is that of the one-by-one rule."""
     pairs = cut(pairs)
-    gone_so_far: DataFrame | None = None
-    while not pairs.isEmpty():
+    found = [pairs.select("group", F.col("b").alias("h")).limit(0)]
+    for _ in range(peel):
+        if pairs.isEmpty():
+            break
         later = pairs.select("group", F.col("b").alias("a")).distinct()
         gone = cut(
             pairs.join(pairs.select("group", "a").distinct().join(later, ["group", "a"], "left_anti"), ["group", "a"])
             .select("group", F.col("b").alias("h"))
             .distinct()
         )
-        gone_so_far = gone if gone_so_far is None else gone_so_far.unionByName(gone)
-        for end in ("a", "b"):
-            pairs = pairs.join(gone.withColumnRenamed("h", end), ["group", end], "left_anti")
-        pairs = cut(pairs)
-    return pairs.select("group", F.col("b").alias("h")) if gone_so_far is None else gone_so_far
+        found.append(gone)
+        pairs = cut(_without(pairs, gone, ("a", "b")))
+    if not pairs.isEmpty():
+        found.append(_by_blocks(pairs, block_pairs))
+    return reduce(DataFrame.unionByName, found)
 
 
 def drop_near_dups(

@@ -165,3 +165,42 @@ def test_clean_with_tolerance_and_reasons(spark):
     assert out.pop("a/x") == "unsupported_extension" and out.pop("a/y") == "corrupted_image"
     kept = greedy([(c, n, h) for c, n, h in data], 2)
     assert {p for p, reason in out.items() if reason is None} == {f"{c}/{n}" for c, n in kept} and set(out.values()) == {None, "duplicate_image"}
+
+
+def brute_removed(pairs):
+    """{(group, h)} by the one-by-one rule, from (group, a, b, pa, pb)."""
+    near, names = {}, {}
+    for g, a, b, pa, pb in pairs:
+        near.setdefault((g, pb), set()).add((g, pa))
+        names[g, pa], names[g, pb] = a, b
+    gone = set()
+    for row in sorted(names):
+        if any(x not in gone for x in near.get(row, ())):
+            gone.add(row)
+    return {(g, names[g, p]) for g, p in gone}
+
+
+@pytest.mark.parametrize("peel,block", [(0, 7), (0, 1), (1, 40), (3, 500_000), (0, 500_000)])
+def test_greedy_by_blocks_equals_the_rule(spark, peel, block):
+    rnd = random.Random(block + peel)
+    pairs = []
+    for g, n, m in (("a", 60, 150), ("b", 40, 40), ("c", 5, 3)):
+        found = {tuple(sorted(rnd.sample(range(n), 2))) for _ in range(m)}
+        if g == "b":
+            found |= {(i, i + 1) for i in range(n - 1)} | {(0, i) for i in range(1, n, 3)}
+        pairs += [(g, -a * 3, -b * 3, a, b) for a, b in found]
+    df = spark.createDataFrame(pairs, "group string, a long, b long, pa long, pb long")
+    got = dedup.greedy_removed(df, peel, block)
+    assert {tuple(r) for r in got.collect()} == brute_removed(pairs) and got.count() == len(brute_removed(pairs))
+    assert dedup.greedy_removed(df.limit(0), peel, block).count() == 0
+
+
+def test_a_long_chain_takes_few_rounds(spark, monkeypatch):
+    """100,000 rows, each near the one before: every other one goes, after the peeled rounds and four blocks."""
+    n, writes, real = 100_000, [], dedup.cut
+    monkeypatch.setattr(dedup, "cut", lambda df: writes.append(1) or real(df))
+    i = F.col("id")
+    chain = spark.range(n - 1).select(F.lit("a").alias("group"), i.alias("a"), (i + 1).alias("b"), i.alias("pa"), (i + 1).alias("pb"))
+    got = dedup.greedy_removed(chain, block_pairs=25_000)
+    assert got.count() == n // 2 and got.where("h % 2 = 0").isEmpty() and got.select("h").distinct().count() == n // 2
+    assert len(writes) < 20
