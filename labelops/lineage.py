@@ -6,7 +6,7 @@ import uuid
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -32,6 +32,16 @@ def stored(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def stored_observed(df: DataFrame, *figures: Column) -> tuple[DataFrame, DataFrame]:
+    """Like ``stored``, with figures over all rows counted while they are written: the table, and one row of figures.
+
+    Figures are named aggregates that give whole numbers."""
+    seen = Observation()
+    table = stored(df.observe(seen, *figures))
+    found = seen.get
+    return table, df.sparkSession.range(1).select(*[F.lit(v).cast("long").alias(k) for k, v in found.items()])
+
+
 BROADCAST_ROWS = 500_000
 
 

@@ -73,12 +73,12 @@ def confused_pairs(rows: DataFrame, order: Sequence[str] = ("image_path",), exam
     return counts.join(shown, pair).orderBy(F.col("count").desc(), F.col("_rows")[0]).select(*pair, "count", paths)
 
 
-def production_summary(rows: DataFrame) -> DataFrame:
-    """One row of production figures of the banded flow."""
+def production_counts() -> list[Column]:
+    """The counts of the banded flow, as aggregates over its rows."""
     group, route, result = F.col("group"), F.col("final_route"), F.col("evaluation_result")
     auto, review = route == AUTO, is_review(route)
     supported, unsupported, outside = group == "supported", group == "unsupported_v1", group == "out_of_scope"
-    n = rows.agg(
+    return [
         F.count(F.lit(1)).alias("total_images"),
         F.count_if(supported).alias("supported_count"),
         F.count_if(unsupported).alias("unsupported_v1_count"),
@@ -93,13 +93,17 @@ def production_summary(rows: DataFrame) -> DataFrame:
         F.count_if(supported & auto & (result == "wrong_auto")).alias("stage_b_wrong_supported_count"),
         F.count_if(unsupported & (route == "manual_review_unsupported")).alias("_unsupported_ok"),
         F.count_if(outside & ((route == "stage_a_other") | review)).alias("_outside_ok"),
-    )
+    ]
+
+
+def production_rates(counts: DataFrame) -> DataFrame:
+    """The row of counts with its rates."""
 
     def rate(a: str, b: str) -> Column:
         return safe_rate(F.col(a), F.col(b))
 
     return (
-        n.withColumn("manual_review_rate", rate("manual_review_count", "total_images"))
+        counts.withColumn("manual_review_rate", rate("manual_review_count", "total_images"))
         .withColumn("supported_auto_accuracy", rate("supported_auto_correct_count", "supported_auto_count"))
         .withColumn("supported_auto_coverage", rate("supported_auto_count", "supported_count"))
         .withColumn("unsupported_correct_manual_review_rate", rate("_unsupported_ok", "unsupported_v1_count"))
@@ -108,18 +112,25 @@ def production_summary(rows: DataFrame) -> DataFrame:
     )
 
 
+def production_summary(rows: DataFrame) -> DataFrame:
+    """One row of production figures of the banded flow."""
+    return production_rates(rows.agg(*production_counts()))
+
+
 def wrong_supported_by_class(rows: DataFrame, pos: str = "image_path") -> DataFrame:
     """Wrongly accepted supported rows per true label; the first row is the worst class."""
     return most_common(rows.where(F.col("evaluation_result") == "wrong_auto"), "true_label", pos)
 
 
-def flow_summary(rows: DataFrame) -> DataFrame:
-    """One row of figures of the single-threshold flow."""
-    status = F.col("evaluation_status")
-    n = rows.agg(
-        F.count(F.lit(1)).alias("total_images"),
-        *[F.count_if(status == s).alias(f"{s}_count") for s in ("correct", "manual_review", "wrong", "error", "unknown_label")],
-    ).withColumn("auto_resolved_total", F.col("correct_count") + F.col("wrong_count"))
+def flow_counts() -> list[Column]:
+    """The counts of the single-threshold flow, as aggregates over its rows."""
+    states = ("correct", "manual_review", "wrong", "error", "unknown_label")
+    return [F.count(F.lit(1)).alias("total_images"), *[F.count_if(F.col("evaluation_status") == s).alias(f"{s}_count") for s in states]]
+
+
+def flow_rates(counts: DataFrame) -> DataFrame:
+    """The row of counts with its rates."""
+    n = counts.withColumn("auto_resolved_total", F.col("correct_count") + F.col("wrong_count"))
     return (
         n.withColumn("auto_resolved_accuracy", safe_rate(F.col("correct_count"), F.col("auto_resolved_total")))
         .withColumn("overall_correct_rate", safe_rate(F.col("correct_count"), F.col("total_images")))
@@ -128,6 +139,11 @@ def flow_summary(rows: DataFrame) -> DataFrame:
     )
 
 
+def flow_summary(rows: DataFrame) -> DataFrame:
+    """One row of figures of the single-threshold flow."""
+    return flow_rates(rows.agg(*flow_counts()))
+
+
 def wrong_analysis(rows: DataFrame) -> DataFrame:
     """Wrong rows counted by true label, by predicted label and by accepted supported pair.
 

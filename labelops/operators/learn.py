@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
@@ -28,10 +28,8 @@ class Gate:
     test: DataFrame
 
     def score(self, df: DataFrame, features: str = "features") -> DataFrame:
-        scored = self.model.transform(df.withColumn("_v", array_to_vector(F.col(features))))
-        return scored.withColumn("score", F.get(vector_to_array("probability"), F.lit(1))).drop(
-            "_v", "rawPrediction", "probability", "prediction"
-        )
+        margin = _linear(F.col(features), self.model.coefficients.toArray(), self.model.intercept)
+        return df.withColumn("score", 1 / (1 + F.exp(-margin)))
 
 
 @dataclass
@@ -46,10 +44,19 @@ class ClassModel:
     confused: DataFrame
 
     def score(self, df: DataFrame, features: str = "features") -> DataFrame:
-        scored = self.model.transform(df.withColumn("_v", array_to_vector(F.col(features))))
-        return scored.withColumn("probs", vector_to_array("probability")).drop(
-            "_v", "rawPrediction", "probability", "prediction"
-        )
+        rows = zip(self.model.coefficientMatrix.toArray(), self.model.interceptVector.toArray())
+        out = df.withColumn("_m", F.array(*[_linear(F.col(features), w, b) for w, b in rows]))
+        out = out.withColumn("_e", F.transform("_m", lambda m: F.exp(m - F.array_max("_m"))))
+        total = F.aggregate("_e", F.lit(0.0), lambda a, e: a + e)
+        return out.withColumn("_t", total).withColumn("probs", F.transform("_e", lambda e: e / F.col("_t"))).drop("_m", "_e", "_t")
+
+
+def _linear(features: Column, weights: Sequence[float], intercept: float) -> Column:
+    """weights . features + intercept, as a column; a vector of another length is an error."""
+    table = F.array(*[F.lit(float(w)) for w in weights])
+    product = F.aggregate(F.zip_with(features, table, lambda x, w: x.cast("double") * w), F.lit(0.0), lambda a, x: a + x)
+    wrong = F.raise_error(F.lit(f"expected {len(weights)} features")).cast("double")
+    return F.when(F.size(features) == len(weights), product + F.lit(float(intercept))).otherwise(wrong)
 
 
 def _weighted(train: DataFrame, label: str, clip, features: str, k: int) -> DataFrame:

@@ -24,13 +24,14 @@ from labelops.functions.quality import CropRules, Quality, blur_reason, crop_dec
 from labelops.functions.scores import Bands, final_route, flow_outcome, needs_class_model, production_outcome
 from labelops.functions.scores import route_eval, route_stage_a, top2_margin, top_k
 from labelops.functions.tokens import binary_label, clean_label, is_other, merge_class
-from labelops.lineage import cut, join_on, stored
+from labelops.lineage import cut, join_on, stored, stored_observed
 from labelops.operators import audit, metrics, reports, runs, split, validate, variants
 from labelops.operators.cleaning import clean
 from labelops.operators.dedup import dedup_exact, duplicate_counts
 from labelops.operators.labels import label_index
-from labelops.operators.taxonomy import drop_other, map_upload_label, missing_names, raw_mapping, supported_only
+from labelops.operators.taxonomy import drop_other, missing_names, raw_mapping, supported_only
 from labelops.operators.taxonomy import taxonomy_plan
+from labelops.plans import audit_files
 from labelops.sources import publish, readers, sinks
 from labelops.sources.scans import scan_labelled
 
@@ -252,13 +253,17 @@ def routed_uploads(scored: DataFrame, names: Sequence[str], gate: float = 0.5, f
     return rows.withColumn("_o", outcome).select("*", "_o.*").drop("_o")
 
 
-def audit_uploads(scored: DataFrame, names: Sequence[str], gate: float = 0.5, floor: float = 0.6) -> dict[str, DataFrame]:
-    """Single-threshold audit: routed rows and all summaries off one checkpointed frame."""
-    rows = cut(routed_uploads(scored, names, gate, floor))
+def audit_uploads(
+    scored: DataFrame, names: Sequence[str], gate: float = 0.5, floor: float = 0.6, root: str | None = None
+) -> dict[str, DataFrame]:
+    """Single-threshold audit: routed rows, written once with the summary's figures counted on the way, and all other summaries.
+
+    With ``root`` the audit's files are written there (``audit_files.write_uploads``)."""
+    rows, counts = stored_observed(routed_uploads(scored, names, gate, floor), *audit.flow_counts())
     per_class, accepted = audit.accepted_report(rows, names)
-    return {
+    out = {
         "rows": rows,
-        "summary": audit.flow_summary(rows),
+        "summary": audit.flow_rates(counts),
         "counters": audit.counted(rows, "route", "group", "evaluation_status"),
         "wrong": audit.wrong_analysis(rows),
         "unsupported": audit.unsupported_predictions(rows),
@@ -266,6 +271,9 @@ def audit_uploads(scored: DataFrame, names: Sequence[str], gate: float = 0.5, fl
         "accepted_summary": accepted,
         **audit.outcome_slices(rows),
     }
+    if root is not None:
+        audit_files.write_uploads(out, root, gate, floor)
+    return out
 
 
 def routed_production(scored: DataFrame, names: Sequence[str], cfg: Bands = Bands()) -> DataFrame:
@@ -285,40 +293,48 @@ def routed_production(scored: DataFrame, names: Sequence[str], cfg: Bands = Band
     return rows.withColumn("_o", outcome).select("*", "_o.*").drop("_o")
 
 
-def audit_production(scored: DataFrame, names: Sequence[str], cfg: Bands = Bands()) -> dict[str, DataFrame]:
-    """Banded audit: routed rows and all summaries off one checkpointed frame."""
-    rows = cut(routed_production(scored, names, cfg))
-    return {
+def audit_production(scored: DataFrame, names: Sequence[str], cfg: Bands = Bands(), root: str | None = None) -> dict[str, DataFrame]:
+    """Banded audit: routed rows, written once with the summary's figures counted on the way, and all other summaries.
+
+    With ``root`` the audit's files are written there (``audit_files.write_production``)."""
+    rows, counts = stored_observed(routed_production(scored, names, cfg), *audit.production_counts())
+    out = {
         "rows": rows,
-        "summary": audit.production_summary(rows),
+        "summary": audit.production_rates(counts),
         "counters": audit.counted(rows, "group", "final_route", "evaluation_result"),
         "classes": audit.upload_class_summary(rows),
         "confused_pairs": audit.confused_pairs(rows),
         "worst_classes": audit.wrong_supported_by_class(rows),
         **audit.outcome_slices(rows),
     }
+    if root is not None:
+        audit_files.write_production(out, root, {
+            "stage_a_fruit_threshold": cfg.accept, "stage_a_other_threshold": cfg.reject, "stage_b_confidence_threshold": cfg.confidence, "stage_b_margin_threshold": cfg.margin,
+        })
+    return out
 
 
-def eval_supported(scored: DataFrame, names: Sequence[str], floor: float = 0.6, k: int = 3) -> dict[str, DataFrame]:
-    """Class model alone on labelled uploads: rows, supported metrics, predictions for other labels."""
+def eval_supported(scored: DataFrame, names: Sequence[str], floor: float = 0.6, k: int = 3, root: str | None = None) -> dict[str, DataFrame]:
+    """Class model alone on labelled uploads: rows, supported metrics, predictions for other labels.
+
+    With ``root`` its files are written there (``audit_files.write_supported``)."""
     best = F.get("top_k", F.lit(0))
-    rows = cut(
+    rows = stored(
         scored.withColumn("top_k", top_k(F.col("probs"), names, k))
         .withColumn("predicted_label", best["label"])
         .withColumn("confidence", best["confidence"])
         .withColumn("low_confidence", F.col("confidence") < floor)
         .withColumn("correct", F.when(F.col("true_label").isNotNull(), F.col("predicted_label") == F.col("true_label")))
     )
-    return {
+    out = {
         "rows": rows,
         "summary": audit.supported_eval(rows, names),
         "counters": audit.counted(rows, "group"),
         "unsupported": audit.unsupported_predictions(rows, F.col("true_label").isNull()),
     }
-
-
-def label_uploads(uploads: DataFrame, names: Sequence[str], **kwargs) -> DataFrame:
-    return map_upload_label(uploads, names, **kwargs)
+    if root is not None:
+        audit_files.write_supported(out, root, names)
+    return out
 
 
 # --- analysis of models and runs ---------------------------------------------------------------
