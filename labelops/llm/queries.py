@@ -27,9 +27,8 @@ def _table(spark: SparkSession, sf: str, name: str) -> DataFrame:
 @query
 def op1_toxicity(spark, sf):
     docs = _table(spark, sf, "documents")
-    marked = _table(spark, sf, "labels").select("doc_id", "toxic").filter("toxic is not null")
-    labelled = docs.select("doc_id", "text").filter(text.remainder("doc_id", 5) != 0).join(marked, "doc_id")
-    found = toxicity.score(docs, toxicity.learn(labelled, "toxic", "text", "doc_id"), "doc_id")
+    marks = _table(spark, sf, "labels").filter(text.remainder("doc_id", 5) != 0)
+    found = toxicity.score(docs, toxicity.learn(docs, "toxic", "text", "doc_id", marks=marks), "doc_id")
     return found.select(
         "doc_id", (text.remainder("doc_id", 5) == 0).alias("held_out"), "score", F.when(F.col("score") >= 0.5, 1).otherwise(0).alias("predicted"),
         F.size("segments").alias("n_segments"),

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from labelops.lineage import stored
+from labelops.lineage import broadcast_if_small, stored
 from labelops.llm import text
 
 #: About so many labelled texts of either label are learned from.
@@ -108,21 +108,30 @@ def _evidence(model: Model, n: int, found: list[tuple[int, int, float]]) -> tupl
 # --- learning -----------------------------------------------------------------------------------
 
 
-def learn(labelled: DataFrame, toxic_col: str = "toxic", text_col: str = "text", id_col: str = "path", sample: int = SAMPLE) -> Model:
-    """Scores and calibration from labelled texts (0 or 1; other labels and NULL texts are left out).
+def learn(
+    items: DataFrame, toxic_col: str = "toxic", text_col: str = "text", id_col: str = "path", sample: int = SAMPLE, marks: DataFrame | None = None
+) -> Model:
+    """Scores and calibration from texts and their marks (0 or 1; other marks, NULL texts and NULL ids are left out).
 
-    About ``sample`` texts of either label are used, those with the smallest hash of the id: the documented bound
-    of the fit. Without toxic or without other texts the model scores every text 0.
+    Marks are a column of the items, or a frame (id, mark) of its own with one row per id. About ``sample`` of either kind are used, those with the
+    smallest hash of the id: the documented bound of the fit. They are drawn from ids and marks alone, so that no text
+    travels but the chosen ones. Without toxic or without other texts the model scores every text 0.
     """
-    rows = labelled.filter(F.col(toxic_col).isin(0, 1) & F.col(text_col).isNotNull()).select(
-        F.col(toxic_col).cast("int").alias("toxic"), F.col(text_col).alias("text"), F.xxhash64(F.col(id_col).cast("string")).alias("h")
-    )
+    own = F.col(id_col).isNotNull() & F.col(toxic_col).isin(0, 1)
+    drawn = [F.col(toxic_col).cast("int").alias("toxic"), F.xxhash64(F.col(id_col).cast("string")).alias("h")]
+    texts = items.filter(F.col(text_col).isNotNull())
+    rows = texts.filter(own).select(*drawn, F.col(text_col).alias("text")) if marks is None else marks.filter(own).select(*drawn, F.col(id_col).alias("_id"))
     counts = rows.groupBy("toxic").count()
     known = {r["toxic"]: r["count"] for r in counts.collect()}
     if len(known) < 2:
         return Model(np.empty(0, np.uint64), np.empty(0), shift=-30.0)
     limit = F.lit(-(1 << 63)).cast("double") + F.least(F.lit(1.0), F.lit(float(sample)) / F.col("count")) * F.lit(2.0**64)
-    chosen = stored(rows.join(F.broadcast(counts), "toxic").filter(F.col("h").cast("double") <= limit).select("toxic", "text"))
+    # two rows of counts, and about 2 * sample ids
+    chosen = rows.join(F.broadcast(counts), "toxic").filter(F.col("h").cast("double") <= limit)
+    if marks is not None:
+        few = broadcast_if_small(stored(chosen.select("toxic", "_id")))
+        chosen = texts.select(F.col(id_col).alias("_id"), F.col(text_col).alias("text")).join(few, "_id")
+    chosen = stored(chosen.select("toxic", "text"))
 
     parts = chosen.mapInArrow(_count, "token long, toxic int, n long").groupBy("token").agg(
         F.coalesce(F.sum(F.when(F.col("toxic") == 1, F.col("n"))), F.lit(0)).alias("y1"),
@@ -130,6 +139,8 @@ def learn(labelled: DataFrame, toxic_col: str = "toxic", text_col: str = "text",
     )
     parts = stored(parts)
     n1, n0 = (float(x or 0) for x in parts.agg(F.sum("y1"), F.sum("y0")).first())
+    if not n1 or not n0:
+        return Model(np.empty(0, np.uint64), np.empty(0), shift=-30.0)
     a1, a0 = PRIOR * n1 / max(1.0, n1 + n0), PRIOR * n0 / max(1.0, n1 + n0)
     one, other = F.col("y1") + a1, F.col("y0") + a0
     odds = F.log(one / (F.lit(n1 + PRIOR) - one)) - F.log(other / (F.lit(n0 + PRIOR) - other))
@@ -145,10 +156,10 @@ def learn(labelled: DataFrame, toxic_col: str = "toxic", text_col: str = "text",
     chance = np.array([r["y0"] for r in top], float)[order] + a0
     model.rate = _rate(model.scores, chance / (n0 + PRIOR + a0 * len(top)))
 
-    shared = labelled.sparkSession.sparkContext.broadcast(model)
+    shared = items.sparkSession.sparkContext.broadcast(model)
     best = chosen.filter("toxic = 0").mapInArrow(_maxima(shared), "value double").agg(F.avg("value"), F.count("value")).first()
     model.log_k = (best[0] if best[1] else 0.0) - EULER
-    shared = labelled.sparkSession.sparkContext.broadcast(model)
+    shared = items.sparkSession.sparkContext.broadcast(model)
     bins = chosen.mapInArrow(_binned(shared), "toxic int, bin int").groupBy("toxic", "bin").count().collect()
     model.slope, model.shift = _logistic([(r["bin"] * STEP, r["toxic"], r["count"]) for r in bins])
     return model
