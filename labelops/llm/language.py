@@ -21,6 +21,8 @@ from pyspark.sql import types as T
 from labelops.lineage import stored
 from labelops.llm import text
 
+#: Least share of the posterior that the language of a text that stays has.
+MIN_SCORE = 0.5
 UNKNOWN = "und"
 #: About so many labelled texts of each language are learned from; fewer where there are fewer.
 SAMPLE = 1500
@@ -253,7 +255,8 @@ def learn(labelled: DataFrame, lang_col: str = "lang", text_col: str = "text", i
     if not langs:
         return {"langs": [], "share": np.empty(0), "names": names, "chances": np.empty((len(names), 0))}
     limit = F.lit(-(1 << 63)).cast("double") + F.least(F.lit(1.0), F.lit(float(sample)) / F.col("count")) * F.lit(2.0**64)
-    chosen = stored(rows.join(counts, "lang").filter(F.col("h").cast("double") <= limit).select("lang", "text"))
+    # one row a language, and these are known here already; no text is shuffled by language
+    chosen = stored(rows.join(F.broadcast(counts), "lang").filter(F.col("h").cast("double") <= limit).select("lang", "text"))
     chances = np.full((len(names), len(langs)), 1.0 / len(names))
     for _ in range(ROUNDS):
         shared = labelled.sparkSession.sparkContext.broadcast((names, langs, chances))
@@ -300,6 +303,25 @@ def _expect(shared):
 # --- prediction ---------------------------------------------------------------------------------
 
 
+class Judge:
+    """Languages of texts and their posterior shares, under one model."""
+
+    def __init__(self, model: dict):
+        self.model = model
+        self.scores = WordScores(Pieces(model["names"]), model["chances"]) if model["langs"] else None
+
+    def __call__(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+        sure = np.array([self.scores is not None and t is not None and any(map(str.isalpha, t)) for t in texts], bool)
+        langs, chance = np.full(len(texts), UNKNOWN, object), np.zeros(len(texts))
+        if sure.any():
+            total = self.scores.totals([t for t, s in zip(texts, sure) if s]) + np.log(self.model["share"])
+            total -= total.max(1, keepdims=True)
+            share = np.exp(total) / np.exp(total).sum(1, keepdims=True)
+            langs[sure] = np.array(self.model["langs"], object)[total.argmax(1)]
+            chance[sure] = share.max(1)
+        return langs, chance
+
+
 def identify(items: DataFrame, model: dict, id_col: str = "path", text_col: str = "text") -> DataFrame:
     """``id_col``, ``lang_pred``, ``score``: the likeliest language of each whole text and its posterior share.
 
@@ -310,27 +332,29 @@ def identify(items: DataFrame, model: dict, id_col: str = "path", text_col: str
     shared = items.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m = shared.value
-        scores = WordScores(Pieces(m["names"]), m["chances"]) if m["langs"] else None
+        judge = Judge(shared.value)
         for batch in text.pieces(batches, "text"):
-            texts = batch.column("text").to_pylist()
-            sure = np.array([scores is not None and t is not None and any(map(str.isalpha, t)) for t in texts])
-            langs, chance = np.full(len(texts), UNKNOWN, object), np.zeros(len(texts))
-            if sure.any():
-                total = scores.totals([t for t, s in zip(texts, sure) if s]) + np.log(m["share"])
-                total -= total.max(1, keepdims=True)
-                share = np.exp(total) / np.exp(total).sum(1, keepdims=True)
-                langs[sure] = np.array(m["langs"], object)[total.argmax(1)]
-                chance[sure] = share.max(1)
+            langs, chance = judge(batch.column("text").to_pylist())
             yield text.record(batch.column("id"), schema, [langs.tolist(), chance])
 
     return items.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(run, schema)
 
 
-def keep_identified(items: DataFrame, model: dict, id_col: str = "path", text_col: str = "text") -> DataFrame:
-    """The items, all columns, without those whose language cannot be told (``und``).
+def keep_identified(items: DataFrame, model: dict, id_col: str = "path", text_col: str = "text", min_score: float = MIN_SCORE) -> DataFrame:
+    """The items, all columns, without those whose language cannot be told.
 
-    Rows that share an id, or have none, stay if the language of one of them can be told.
+    That is a text that gives ``und`` (see ``identify``) or one no language has at least ``min_score`` of. Every row is judged by
+    its own text and goes through whole, so nothing is shuffled; ``id_col`` is not looked at.
     """
-    told = identify(items, model, id_col, text_col).filter(F.col("lang_pred") != UNKNOWN).select(F.col(id_col).alias("_told")).distinct()
-    return items.join(told, items[id_col].eqNullSafe(told["_told"]), "left_semi").select(*items.columns)
+    rows = items.select(F.struct("*").alias("row"), F.col(text_col).alias("text"))
+    schema = T.StructType([T.StructField("row", rows.schema["row"].dataType)])
+    shared = items.sparkSession.sparkContext.broadcast(model)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        judge = Judge(shared.value)
+        for batch in text.pieces(batches, "text"):
+            langs, chance = judge(batch.column("text").to_pylist())
+            kept = pa.array((langs != UNKNOWN) & (chance >= min_score))
+            yield pa.RecordBatch.from_arrays([batch.column("row").filter(kept)], names=["row"])
+
+    return rows.mapInArrow(run, schema).select("row.*")
