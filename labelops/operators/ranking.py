@@ -7,12 +7,16 @@ its own, and the sizes of the earlier slices (a small aggregated table) are adde
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from labelops.lineage import cut
+from labelops.lineage import join_on, stored
 
 
 def slice_starts(sliced: DataFrame, keys: Sequence[str], slice_col: str) -> DataFrame:
@@ -54,12 +58,42 @@ def rank_by_digest(
     return _number(sliced, starts, keys, "_slice", ["_digest", *tie], out).drop("_digest")
 
 
+def _numbers(keys: Sequence[str], schema: T.StructType):
+    """``_k``: the 0-based place of a row among the rows of its group in this task, whose rows come in order."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last, count = None, 0
+        for batch in batches:
+            if batch.num_rows == 0:
+                continue
+            ends = np.array([batch.num_rows])
+            for k in keys:
+                ends = np.union1d(ends, pc.run_end_encode(batch.column(k)).run_ends.to_numpy())
+            starts = np.concatenate(([0], ends[:-1]))
+            place = np.arange(batch.num_rows, dtype=np.int64) - np.repeat(starts, ends - starts)
+            if last == [batch.column(k)[0].as_py() for k in keys]:
+                place[: ends[0]] += count
+            last, count = [batch.column(k)[-1].as_py() for k in keys], int(place[-1]) + 1
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(place)], names=[*batch.schema.names, "_k"])
+
+    return run
+
+
 def rank_by_order(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str], out: str = "rank") -> DataFrame:
-    """1-based rank by any order. Slices are the parts of a range partitioning over keys and order;
-    it is written out once, because a recomputed range partitioning may cut elsewhere."""
-    sliced = cut(df.repartitionByRange(*keys, *order).withColumn("_slice", F.spark_partition_id()))
-    starts = slice_starts(sliced, keys, "_slice")
-    return _number(sliced, starts, keys, "_slice", order, out)
+    """1-based rank by any order, NULL first; NULL keys are a group of their own.
+
+    Rows are shuffled once, by ranges of keys and order, and numbered in the tasks that write them. A group that goes on
+    in the next range needs an offset; a range has at most two of these, so the offsets are broadcast and no
+    row moves again. The numbered rows are written, because a recomputed range partitioning may cut elsewhere."""
+    by = [*keys, *order]
+    ranged = df.repartitionByRange(*by).sortWithinPartitions(*by).withColumn("_slice", F.spark_partition_id())
+    schema = T.StructType([*ranged.schema.fields, T.StructField("_k", T.LongType())])
+    found = stored(ranged.mapInArrow(_numbers(keys, schema), schema))
+    group = Window.partitionBy(*keys)
+    before = F.sum("_n").over(group.orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1))
+    split = found.groupBy(*keys, "_slice").agg(F.count(F.lit(1)).alias("_n")).withColumn("_before", before).where(F.col("_before").isNotNull()).drop("_n")
+    placed = join_on(found, F.broadcast(split), [*keys, "_slice"], "left")
+    return placed.withColumn(out, F.col("_k") + F.coalesce("_before", F.lit(0)) + 1).drop("_k", "_before", "_slice")
 
 
 def first_rows(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str], n: int = 1) -> DataFrame:

@@ -204,3 +204,20 @@ def test_a_long_chain_takes_few_rounds(spark, monkeypatch):
     got = dedup.greedy_removed(chain, block_pairs=25_000)
     assert got.count() == n // 2 and got.where("h % 2 = 0").isEmpty() and got.select("h").distinct().count() == n // 2
     assert len(writes) < 20
+
+
+@pytest.mark.parametrize("keys", [["g"], ["g", "h"], []])
+def test_ranks_need_one_shuffle_of_the_rows(spark, keys):
+    rnd = random.Random(len(keys))
+    data = [(rnd.choice(["hot", "hot", "hot", "a", None]), rnd.choice([1, None]), rnd.choice([None, *range(40)]), i, "x") for i in range(3000)]
+    df = spark.createDataFrame(data, "g string, h int, v int, id long, _x string").repartition(8)
+    out = ranking.rank_by_order(df, keys, ["v", F.col("id")], "place")
+    got = {r["id"]: r["place"] for r in out.collect()}
+    seen, want = {}, {}
+    for g, h, v, i, _ in sorted(data, key=lambda r: (r[2] is not None, r[2] or 0, r[3])):
+        key = tuple({"g": g, "h": h}[k] for k in keys)
+        want[i] = seen[key] = seen.get(key, 0) + 1
+    assert got == want and set(out.columns) == {*df.columns, "place"}
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" not in plan and "BroadcastHashJoin" in plan
+    assert ranking.rank_by_order(df.limit(0), keys, ["v"], "place").count() == 0
