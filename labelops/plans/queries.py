@@ -755,6 +755,22 @@ def fit_classes(spark, sf):
     return fitted.metrics.select("class_idx", "support", _improved(fitted.model))
 
 
+@query
+def fit_gate_report(spark, sf):
+    """The fitted gate's report: the threshold chosen on val, and all metrics and confusion cells on test."""
+    gate = learn.fit_gate(_features(spark, sf))
+    return rounded(gate.test)
+
+
+@query
+def fit_classes_report(spark, sf):
+    """The fitted class model's report: per class its metrics and its row of the confusion matrix."""
+    fitted = learn.fit_classes(_features(spark, sf), s.K)
+    cells = fitted.matrix.groupBy(F.col("true_idx").alias("class_idx")).agg(F.array_sort(F.collect_list(F.struct("pred_idx", "n"))).alias("cells"))
+    cells = cells.select("class_idx", F.array_join(F.transform("cells", lambda c: c["n"].cast("string")), ",").alias("predicted"))
+    return rounded(fitted.metrics.join(cells, "class_idx"))
+
+
 def _mean_gate():
     """Stand-in gate model: logistic of the first feature."""
     return lambda batch: 1.0 / (1.0 + np.exp(-20.0 * batch[:, 0].astype(float)))
