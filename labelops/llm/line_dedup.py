@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from labelops.lineage import stored
+from labelops.lineage import broadcast_if_small, stored
 from labelops.llm.components import components
 
 EDITS = 2
@@ -20,6 +20,8 @@ EDITS = 2
 #: another, so these hang together with their exact copies alone. Of two lines the shorter one decides.
 MIN_CHARS = 25
 SHORT_CHARS = 12
+#: Lines that share a key and meet in one task; those of a key with more are dealt in slices.
+CROWD, SLICE = 32, 500
 #: Fixed value: letters whose counts a line's signature holds, common ones in European languages.
 LETTERS = "etaoinsrhldcumgb"
 
@@ -70,6 +72,11 @@ def _signature(line: Column) -> Column:
     return total
 
 
+def _may_be_near(sx: Column, sy: Column, cx: Column, cy: Column, edits: int) -> Column:
+    """False only for two lines whose letter counts and lengths are too far apart for their tolerance."""
+    return F.bit_count(sx.bitwiseXOR(sy)) <= 2 * _tolerance(F.least(cx, cy), edits) - F.abs(cx - cy)
+
+
 def within_edits(a: Column, b: Column, edits: int) -> Column:
     """True if two texts are at most ``edits`` insertions, deletions or replacements apart.
 
@@ -100,15 +107,42 @@ def within_edits(a: Column, b: Column, edits: int) -> Column:
     return F.when(F.abs(apart) > edits, False).otherwise(F.coalesce(hit, F.lit(False)))
 
 
-def _candidates(lines: DataFrame, edits: int) -> DataFrame:
-    """(x, y) short ids of different lines that share a key, x < y, and whose letter counts allow it."""
-    narrow = lines.select(F.xxhash64("line_id").alias("h"), "keys", "sign", "chars")
-    found = narrow.select(F.explode(F.slice("keys", F.lit(1), _tolerance(F.col("chars"), edits) + 1)).alias("key"), F.col("h").alias("x"), F.col("sign").alias("sx"), F.col("chars").alias("cx"))
-    looked = narrow.select(F.explode("keys").alias("key"), F.col("h").alias("y"), F.col("sign").alias("sy"), F.col("chars").alias("cy")).filter("key is not null")
-    near = F.bit_count(F.col("sx").bitwiseXOR(F.col("sy"))) <= 2 * _tolerance(F.least("cx", "cy"), edits) - F.abs(F.col("cx") - F.col("cy"))
-    once = (F.col("cx") < F.col("cy")) | (F.col("x") < F.col("y"))
-    met = found.join(looked, ["key"]).filter((F.col("x") != F.col("y")) & once & near)
-    return met.select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y")).distinct()
+def _texts(rows: DataFrame, lines: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(h, line_id, line, sign) of wanted short ids; a line is read at its first place alone, however many copies it has."""
+    places = lines.select("line_id", "first", F.xxhash64("line_id").alias("h")).join(wanted, "h", "left_semi").withColumnRenamed("line_id", "_id")
+    # few lines meet another, so as a rule their places are handed to the lines where they lie
+    places = broadcast_if_small(stored(places))
+    there = (rows["line_id"] == places["_id"]) & rows["path"].eqNullSafe(places["first.path"]) & (rows["line_no"] == places["first.line_no"])
+    return rows.join(places, there).select("h", "line_id", "line").distinct().withColumn("sign", _signature(F.col("line")))
+
+
+def _candidates(rows: DataFrame, lines: DataFrame, edits: int) -> DataFrame:
+    """(x, y) short ids of different lines that share a key, x < y.
+
+    A key of many lines (a common part of counters or dates) is not one task's: its lines are dealt in slices on both sides, slices meet
+    two by two, and only pairs whose letter counts allow it leave the join.
+    """
+    narrow = lines.select(F.xxhash64("line_id").alias("h"), "keys", "chars")
+    found = narrow.select(F.explode(F.slice("keys", F.lit(1), _tolerance(F.col("chars"), edits) + 1)).alias("key"), F.col("h").alias("x"), F.col("chars").alias("cx"))
+    looked = narrow.select(F.explode("keys").alias("key"), F.col("h").alias("y"), F.col("chars").alias("cy")).filter("key is not null")
+    once = (F.col("x") != F.col("y")) & ((F.col("cx") < F.col("cy")) | (F.col("x") < F.col("y")))
+    crowded = stored(found.groupBy("key").agg(F.count(F.lit(1)).alias("lines")).filter(F.col("lines") > CROWD))
+    ordered = lambda met: met.select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y"))
+    if crowded.isEmpty():
+        return ordered(found.join(looked, "key").filter(once)).distinct()
+    few = broadcast_if_small(crowded)
+    pairs = ordered(found.join(few, "key", "left_anti").join(looked, "key").filter(once))
+    found, looked = stored(found.join(few, "key")), stored(looked.join(few.select("key"), "key"))
+    busy = looked.groupBy("key").agg(F.count(F.lit(1)).alias("others"))
+    signs = stored(_texts(rows, lines, found.select(F.col("x").alias("h")).union(looked.select(F.col("y").alias("h"))).distinct()).select("h", "sign"))
+    sizes = stored(crowded.join(busy, "key").select("key", F.ceil(F.col("lines") / SLICE).cast("int").alias("n"), F.ceil(F.col("others") / SLICE).cast("int").alias("m")))
+    sizes = broadcast_if_small(sizes)
+    found = found.join(signs.select(F.col("h").alias("x"), F.col("sign").alias("sx")), "x").join(sizes, "key").withColumn("i", F.pmod(F.xxhash64("x"), F.col("n")).cast("int"))
+    looked = looked.join(signs.select(F.col("h").alias("y"), F.col("sign").alias("sy")), "y").join(sizes, "key").withColumn("j", F.pmod(F.xxhash64("y"), F.col("m")).cast("int"))
+    found = found.select("key", "x", "cx", "sx", "i", F.explode(F.sequence(F.lit(0), F.col("m") - 1)).alias("j"))
+    looked = looked.select("key", "y", "cy", "sy", F.explode(F.sequence(F.lit(0), F.col("n") - 1)).alias("i"), "j")
+    near = _may_be_near(F.col("sx"), F.col("sy"), F.col("cx"), F.col("cy"), edits)
+    return pairs.unionByName(ordered(found.join(looked, ["key", "i", "j"]).filter(once & near))).distinct()
 
 
 def line_links(items: DataFrame, id_col: str = "path", text_col: str = "text", edits: int = EDITS, min_chars: int = MIN_CHARS) -> DataFrame:
@@ -123,20 +157,18 @@ def line_links(items: DataFrame, id_col: str = "path", text_col: str = "text", e
     line = F.col("line")
     first = F.min(F.struct("path", "line_no"))
     lines = stored(
-        rows.select("line_id", "path", "line_no", _keys(line, edits).alias("keys"), _signature(line).alias("sign"), F.length("line").alias("chars"))
-        .groupBy("line_id").agg(first.alias("first"), F.first("keys").alias("keys"), F.first("sign").alias("sign"), F.first("chars").alias("chars"))
+        rows.select("line_id", "path", "line_no", _keys(line, edits).alias("keys"), F.length("line").alias("chars"))
+        .groupBy("line_id").agg(first.alias("first"), F.first("keys").alias("keys"), F.first("chars").alias("chars"))
     )
-    pairs = stored(_candidates(lines, edits))
+    pairs = stored(_candidates(rows, lines, edits))
     wanted = pairs.select(F.col("x").alias("h")).union(pairs.select(F.col("y").alias("h"))).distinct()
-    # a wanted line is read at its first place alone, however many copies it has
-    wanted = lines.select("line_id", "first", F.xxhash64("line_id").alias("h")).join(wanted, "h", "left_semi").withColumnRenamed("line_id", "_id")
-    there = (rows["line_id"] == wanted["_id"]) & rows["path"].eqNullSafe(wanted["first.path"]) & (rows["line_no"] == wanted["first.line_no"])
-    texts = stored(rows.join(wanted, there).select("h", "line_id", "line").distinct())
-    left = texts.select(F.col("h").alias("x"), F.col("line_id").alias("a"), F.col("line").alias("line_a"))
-    right = texts.select(F.col("h").alias("y"), F.col("line_id").alias("b"), F.col("line").alias("line_b"))
+    texts = stored(_texts(rows, lines, wanted))
+    left = texts.select(F.col("h").alias("x"), F.col("line_id").alias("a"), F.col("line").alias("line_a"), F.col("sign").alias("sx"))
+    right = texts.select(F.col("h").alias("y"), F.col("line_id").alias("b"), F.col("line").alias("line_b"), F.col("sign").alias("sy"))
     a, b = F.col("line_a"), F.col("line_b")
     near = F.when(F.least(F.length(a), F.length(b)) >= MIN_CHARS, within_edits(a, b, edits)).otherwise(within_edits(a, b, min(1, edits)))
-    links = pairs.join(left, "x").join(right, "y").filter(near).select("a", "b")
+    likely = _may_be_near(F.col("sx"), F.col("sy"), F.length(a), F.length(b), edits)
+    links = pairs.join(left, "x").join(right, "y").filter(likely & near).select("a", "b")
     links = stored(links.distinct())
     degree = links.select(F.col("a").alias("line_id")).union(links.select("b")).groupBy("line_id").agg(F.count(F.lit(1)).alias("n_links"))
     roots = components(links).withColumnsRenamed({"node": "line_id"})
