@@ -8,6 +8,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -25,10 +26,14 @@ def cut(df: DataFrame) -> DataFrame:
 
 
 def stored(df: DataFrame) -> DataFrame:
-    """Like ``cut``, but as a Parquet table: compressed, and later steps read only the columns they use."""
+    """Like ``cut``, but as a Parquet table: compressed, and later steps read only the columns they use.
+
+    The table goes when the session's JVM ends."""
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/{uuid.uuid4()}"
     df.write.parquet(path)
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(target)
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -42,12 +47,24 @@ def stored_observed(df: DataFrame, *figures: Column) -> tuple[DataFrame, DataFra
     return table, df.sparkSession.range(1).select(*[F.lit(v).cast("long").alias(k) for k, v in found.items()])
 
 
-BROADCAST_ROWS = 500_000
+BROADCAST_ROWS, BROADCAST_BYTES = 500_000, 128 << 20
+
+
+def _row_bytes(df: DataFrame) -> Column:
+    """About what a row takes in a broadcast: 16 bytes a field, and the content of texts, binaries and lists."""
+    parts = [F.lit(16 * len(df.columns))]
+    for f in df.schema.fields:
+        if isinstance(f.dataType, (T.StringType, T.BinaryType)):
+            parts.append(F.coalesce(F.octet_length(F.col(f"`{f.name}`")), F.lit(0)))
+        elif isinstance(f.dataType, (T.ArrayType, T.MapType, T.StructType)):
+            parts.append(F.coalesce(F.octet_length(F.to_json(F.struct(F.col(f"`{f.name}`").alias("v")))), F.lit(0)))
+    return reduce(lambda a, b: a + b, parts).cast("long")
 
 
-def broadcast_if_small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Hint a broadcast of a checkpointed frame of short rows after counting it; else leave it alone."""
-    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+def broadcast_if_small(df: DataFrame, rows: int = BROADCAST_ROWS, size: int = BROADCAST_BYTES) -> DataFrame:
+    """Hint a broadcast of a checkpointed frame after counting its rows and bytes; else leave it alone."""
+    seen = df.select(_row_bytes(df).alias("_b")).limit(rows + 1).agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum("_b"), F.lit(0)).alias("b")).first()
+    return F.broadcast(df) if seen["n"] <= rows and seen["b"] <= size else df
 
 
 def literal_rows(spark: SparkSession, columns: Sequence[str], rows: Sequence[Sequence]) -> DataFrame:

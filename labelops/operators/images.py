@@ -6,7 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 CANVAS = 32
@@ -83,6 +83,23 @@ def border_contrast(rgb: np.ndarray, box) -> float:
     return float(np.linalg.norm(np.median(crop, axis=0) - np.median(border, axis=0)))
 
 
+#: Bytes of pixels a worker is handed at once, whatever number of images that is; a larger image comes alone.
+BATCH_BYTES = 64 << 20
+BYTE_LIMIT = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
+def flat_pixels(images: DataFrame, *more: Column) -> DataFrame:
+    """(path, height, width, nChannels, data, ...) of an image table, for a Python pass in batches of bounded size.
+
+    Spark hands 10,000 rows to a worker by default, which photos do not fit. The session's limit in bytes is lowered to
+    BATCH_BYTES where it is higher or unset; it holds for plans that are made afterwards."""
+    conf = images.sparkSession.conf
+    limit = int(conf.get(BYTE_LIMIT).rstrip("bB"))
+    if not 0 < limit <= BATCH_BYTES:
+        conf.set(BYTE_LIMIT, str(BATCH_BYTES))
+    return images.select("path", "image.height", "image.width", "image.nChannels", "image.data", *more)
+
+
 def _statistics(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
         rows = []
@@ -101,8 +118,7 @@ def pixel_statistics(images: DataFrame) -> DataFrame:
     """Size, sharpness and perceptual hash per image; only these few values leave the Python pass.
 
     ``images`` has (path, image); unreadable files keep width -1."""
-    flat = images.select("path", "image.height", "image.width", "image.nChannels", "image.data")
-    return flat.mapInPandas(_statistics, SCHEMA)
+    return flat_pixels(images).mapInPandas(_statistics, SCHEMA)
 
 
 def sharpness(images: DataFrame) -> DataFrame:
@@ -124,8 +140,7 @@ def _rgb_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 def to_rgb(images: DataFrame) -> DataFrame:
     """(path, width, height, rgb): interleaved RGB bytes, NULL for unreadable files."""
-    flat = images.select("path", "image.height", "image.width", "image.nChannels", "image.data")
-    return flat.mapInPandas(_rgb_batches, "path string, width int, height int, rgb binary")
+    return flat_pixels(images).mapInPandas(_rgb_batches, "path string, width int, height int, rgb binary")
 
 
 def _contrast(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -140,8 +155,7 @@ def _contrast(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 def color_contrast(images: DataFrame) -> DataFrame:
     """(path, contrast) of a ``bbox`` STRUCT<x1,y1,x2,y2> against the image border; 0 without a box."""
     sides = [F.coalesce(F.col(f"bbox.{s}"), F.lit(0)).alias(s) for s in ("x1", "y1", "x2", "y2")]
-    flat = images.select("path", "image.height", "image.width", "image.nChannels", "image.data", *sides)
-    return flat.mapInPandas(_contrast, "path string, contrast double")
+    return flat_pixels(images, *sides).mapInPandas(_contrast, "path string, contrast double")
 
 
 def image_profile(images: DataFrame, files: DataFrame) -> DataFrame:

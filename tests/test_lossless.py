@@ -93,3 +93,34 @@ def test_report_keys_are_in_order_at_every_depth(spark):
     df = spark.range(1).select(inner.alias("z"), F.array(inner).alias("y"), F.create_map(F.lit("k"), inner).alias("x"), F.lit(None).cast("struct<b:int,a:int>").alias("n"))
     want = '{"n":null,"x":{"k":{"a":2,"b":1}},"y":[{"a":2,"b":1}],"z":{"a":2,"b":1}}'
     assert sinks.report_json(df).first()["value"] == want
+
+
+def test_large_images_come_in_small_batches(spark, monkeypatch):
+    """A worker is handed at most the limit in pixels, however many rows that is; results do not depend on it."""
+    from labelops.operators import images
+
+    monkeypatch.setattr(images, "BATCH_BYTES", 3_000_000)
+    before = spark.conf.get(images.BYTE_LIMIT)
+    try:
+        side = 600
+        image = F.struct(F.lit(side).alias("height"), F.lit(side).alias("width"), F.lit(3).alias("nChannels"), F.unhex(F.repeat(F.lpad(F.hex(F.col("id") % 250), 2, "0"), side * side * 3)).alias("data"))
+        table = spark.range(12).repartition(1).select(F.col("id").cast("string").alias("path"), image.alias("image"))
+
+        def sizes(batches):
+            for b in batches:
+                yield b.assign(n=len(b))[["n"]]
+
+        seen = [r["n"] for r in images.flat_pixels(table).mapInPandas(sizes, "n int").collect()]
+        assert sum(1 / n for n in seen) >= 3 and max(seen) <= 4
+        assert images.pixel_statistics(table).where("width = 600 and sharpness = 0").count() == 12
+    finally:
+        spark.conf.set(images.BYTE_LIMIT, before.rstrip("bB"))
+
+
+def test_broadcasts_are_bounded_in_bytes(spark):
+    from labelops import lineage
+
+    df = spark.range(100).select("id", F.repeat(F.lit("x"), 1000).alias("name"), F.array(F.lit("y" * 500)).alias("names"))
+    hinted = lambda d: "ResolvedHint" in d._jdf.queryExecution().analyzed().toString()
+    assert hinted(lineage.broadcast_if_small(df)) and not hinted(lineage.broadcast_if_small(df, size=100_000)) and not hinted(lineage.broadcast_if_small(df, rows=99))
+    assert hinted(lineage.broadcast_if_small(df.limit(0)))
