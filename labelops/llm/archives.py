@@ -12,7 +12,6 @@ records that refer to it. Only digests are compared, so no content is shuffled.
 from __future__ import annotations
 
 import hashlib
-import os
 import re
 import uuid
 import zlib
@@ -25,6 +24,7 @@ from pyspark.sql import types as T
 
 from labelops.lineage import broadcast_if_small, stored
 from labelops.llm.sequences import join_counted, numbered
+from labelops.sources.folders import filesystem
 
 #: Smaller files are kept whole, a reference would not be shorter.
 MIN_BYTES = 1000
@@ -43,15 +43,6 @@ INDEX = T.StructType([
 WHITE = re.compile(r"[\x00-\x20\x7f]")
 
 
-def filesystem(folder: str):
-    """The file system of a folder and the folder's path in it, for a worker: local, HDFS or an object store."""
-    from pyarrow import fs
-
-    if folder.startswith("file:"):
-        return fs.LocalFileSystem(), re.sub("^file:/+", "/", folder)
-    return fs.FileSystem.from_uri(folder) if "://" in folder else (fs.LocalFileSystem(), os.path.abspath(folder))
-
-
 # --- records ------------------------------------------------------------------------------------
 
 
