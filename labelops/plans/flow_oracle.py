@@ -13,6 +13,9 @@ NAMES = """names AS (SELECT p_brand, p_name AS n, row_number() OVER (PARTITION B
 add("class_name_texts", f"WITH {NAMES} SELECT p_brand, i::INT AS pos, n AS class_name FROM names")
 add("manifest_texts", f"""WITH {NAMES} SELECT p_brand, 'B' AS stage, string_agg(n, ',' ORDER BY i) AS class_names, string_agg(n || '=' || i, ';' ORDER BY n) AS class_to_index,
   count(*)::INT AS num_classes, '320,320' AS image_size, 0.5::DOUBLE AS fruit_threshold FROM names GROUP BY p_brand""")
+add("manifest_drift", f"""WITH {NAMES}, g AS (SELECT p_brand, count(*) AS n FROM names GROUP BY p_brand)
+SELECT p_brand, n::INT AS n, CASE WHEN n % 3 > 0 THEN '320,320' END AS image_size,
+  CASE WHEN n % 3 = 1 THEN 'epochs=' || n || ';notes={{"by":"' || p_brand || '","ok":true}}' ELSE '' END AS unknown FROM g""")
 add("weak_class_texts", f"WITH {NAMES} SELECT p_brand, n AS requested FROM names")
 add("kv_metric_lines", f"WITH {HIST} SELECT run, 'loss' AS metric, loss AS value FROM hist UNION ALL SELECT run, 'epochs', n::DOUBLE FROM hist")
 add("report_metric_lines", f"WITH {HIST} SELECT run, 'test_accuracy' AS metric, val_accuracy AS value FROM hist" + "".join(
@@ -25,6 +28,8 @@ epochs AS (SELECT run, key AS stage, (dense_rank() OVER (PARTITION BY run ORDER
   CASE WHEN row_number() OVER (PARTITION BY run, key ORDER BY pos, hour) < count(*) OVER (PARTITION BY run, key) THEN val_loss END AS val_loss FROM told)"""
 add("history_texts", f"""WITH {EPOCHS} SELECT run, stage, stage_pos, i, round(accuracy, 6) AS accuracy, round(val_accuracy, 6) AS val_accuracy, round(loss, 6) AS loss,
   round(val_loss, 6) AS val_loss FROM epochs""")
+add("history_more_metrics", f"""WITH {HIST}, e AS (SELECT run, round(loss, 6) AS value, (row_number() OVER (PARTITION BY run ORDER BY stage, hour) - 1)::INT AS i FROM hist)
+SELECT run, 'stage1' AS stage, 'top3' AS metric, i, value FROM e UNION ALL SELECT run, 'stage1', 'top3', count(*)::INT, NULL FROM e GROUP BY run""")
 add("model_family", "SELECT p_partkey, p_size % 4 = 0 OR (p_size % 5 <> 4 AND p_size % 3 = 0) AS is_family FROM part")
 add("listing_rank", f"""WITH {ITEMS} SELECT class, file_name, row_number() OVER (PARTITION BY class ORDER BY lower(raw_class), raw_class, lower(file_name), file_name) AS rank FROM items""")
 add("csv_cells", f"""WITH {ITEMS}, r AS (SELECT class, raw_class, count(*) AS n FROM items GROUP BY ALL)

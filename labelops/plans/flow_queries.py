@@ -51,6 +51,17 @@ def manifest_texts(spark, sf):
     )
 
 
+@query
+def manifest_drift(spark, sf):
+    """Manifests some of which have further fields, and some of which lack one the schema has."""
+    names = F.transform("names", lambda n: F.trim(n))
+    usual = F.to_json(F.struct(names.alias("class_names"), F.when(F.col("form") > 0, F.array(F.lit(320), F.lit(320))).alias("image_size")))
+    more = F.when(F.col("form") == 1, F.concat(F.lit(', "epochs": '), F.size("names").cast("string"), F.lit(', "notes": {"by": "'), F.col("p_brand"), F.lit('", "ok": true}}')))
+    text = F.concat(F.substring(usual, F.lit(1), F.length(usual) - 1), F.coalesce(more, F.lit("}")))
+    rows = _names(spark, sf).select("p_brand", readers.parse_open_manifest(text).alias("m"))
+    return rows.select("p_brand", F.size("m.class_names").alias("n"), F.array_join("m.image_size", ",").alias("image_size"), map_text("m.unknown").alias("unknown"))
+
+
 @query
 def weak_class_texts(spark, sf):
     names = F.transform("names", lambda n: F.upper(n))
@@ -105,6 +116,15 @@ def history_texts(spark, sf):
     return rounded(readers.parse_history(_history_texts(spark, sf)))
 
 
+@query
+def history_more_metrics(spark, sf):
+    """Histories with a metric the fixed schema lacks, one of its entries no number, and a value that is no list."""
+    hours = s.history(spark, sf).groupBy("run").agg(F.array_sort(F.collect_list(F.struct("stage_pos", "hour", "loss"))).alias("e"))
+    listed = F.array_join(F.transform("e", lambda e: e["loss"].cast("string")), ", ")
+    text = F.concat(F.lit('{"config": {"top3": [1]}, "stage1": {"loss": [1.0], "top3": ['), listed, F.lit(', "none"], "lr": 0.001}, "note": "x"}'))
+    return rounded(readers.parse_more_metrics(hours.select("run", text.alias("value"))))
+
+
 @query
 def model_family(spark, sf):
     name = F.when(F.col("p_size") % 4 == 0, F.concat("p_name", F.lit("_MobileNetV2"))).when(F.col("p_size") % 4 != 3, F.col("p_name"))

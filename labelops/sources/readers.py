@@ -82,6 +82,23 @@ def read_manifest(spark: SparkSession, path: str, forbidden: Sequence[str] = (OT
     return _whole(spark, path).select(parse_manifest(F.col("value"), forbidden).alias("m")).select("m.*")
 
 
+def open_fields(value: Column) -> Column:
+    """MAP name -> VARIANT of a JSON object's fields, whatever they are; NULL for any other text."""
+    parsed = F.try_parse_json(value)
+    return F.when(F.schema_of_variant(parsed).startswith("OBJECT"), parsed).cast("map<string,variant>")
+
+
+def unknown_fields(value: Column, known: Sequence[str]) -> Column:
+    """MAP name -> JSON text of the fields a fixed schema does not have, so that files whose keys drift lose nothing."""
+    rest = F.map_filter(open_fields(value), lambda k, _: ~k.isin(list(known)))
+    return F.transform_values(rest, lambda _, v: F.to_json(v))
+
+
+def parse_open_manifest(value: Column, forbidden: Sequence[str] = (OTHER,)) -> Column:
+    """``parse_manifest`` with ``unknown``: the fields that are not in ``MANIFEST``."""
+    return parse_manifest(value, forbidden).withField("unknown", unknown_fields(value, MANIFEST.fieldNames()))
+
+
 def parse_weak_classes(value: Column) -> Column:
     """Requested names from a JSON list or an object's ``weak_classes``; lower case, no blanks."""
     body = F.trim(value)
@@ -162,6 +179,27 @@ def read_history(spark: SparkSession, path: str) -> DataFrame:
     return parse_history(_whole(spark, path).withColumn("run", _folder(F.col("_file"))))
 
 
+HISTORY_METRICS = ("accuracy", "val_accuracy", "loss", "val_loss")
+
+
+def parse_more_metrics(texts: DataFrame) -> DataFrame:
+    """(run, stage, metric, i, value): epoch values of the metrics a history has besides the four of ``parse_history``.
+
+    An entry of a list that is no number is NULL; what is no list (a learning rate, a note) has no epochs and is left to
+    ``unknown_fields``."""
+    stages = texts.select("run", F.explode(open_fields(F.col("value"))).alias("stage", "body")).where(F.col("stage") != "config")
+    inner = F.when(F.schema_of_variant("body").startswith("OBJECT"), F.col("body")).cast("map<string,variant>")
+    fields = stages.select("run", "stage", F.explode(inner).alias("metric", "entries")).where(~F.col("metric").isin(*HISTORY_METRICS))
+    lists = F.when(F.schema_of_variant("entries").startswith("ARRAY"), F.col("entries")).cast("array<variant>")
+    entries = fields.select("run", "stage", "metric", F.posexplode(lists).alias("i", "entry"))
+    return entries.select("run", "stage", "metric", "i", F.try_variant_get("entry", "$", "double").alias("value"))
+
+
+def read_more_metrics(spark: SparkSession, path: str) -> DataFrame:
+    """Further metrics of history files (see ``parse_more_metrics``); the run is the file's folder."""
+    return parse_more_metrics(_whole(spark, path).withColumn("run", _folder(F.col("_file"))))
+
+
 def read_run_configs(spark: SparkSession, path: str) -> DataFrame:
     """(run, model_path, manifest_path, input_shape) from the ``config`` object of histories."""
     schema = "struct<final_model_path:string,label_manifest_path:string,input_shape:array<int>>"

@@ -201,3 +201,13 @@ def test_small_sinks(spark, tmp_path):
     assert len(kv) == 14 and kv[0] == "selected_fruit_threshold: 0.5000" and kv[1] == "accuracy: 1.000000" and kv[-1] == "true_fruit_pred_fruit: 1"
     back = {r["metric"]: r["value"] for r in readers.read_kv_metrics(spark, str(tmp_path / "kv")).collect()}
     assert back["macro_f1"] == 1.0
+
+
+def test_fields_no_schema_has(spark):
+    texts = [('{"class_names": ["a"], "epochs": 3, "notes": {"k": [1, null]}}', {"epochs": "3", "notes": '{"k":[1,null]}'}), ('{"class_names": ["a"]}', {})]
+    df = spark.createDataFrame([(t,) for t, _ in texts], "value string")
+    assert [r["u"] for r in df.select(readers.parse_open_manifest(F.col("value"))["unknown"].alias("u")).collect()] == [u for _, u in texts]
+    odd = spark.createDataFrame([("[1]",), ("{",), (None,), ("{}",)], "value string")
+    assert [r["u"] for r in odd.select(readers.unknown_fields(F.col("value"), ["a"]).alias("u")).collect()] == [None, None, None, {}]
+    runs_ = spark.createDataFrame([("r", '{"stage1": {"loss": [1], "top3": [0.5, "x", null], "lr": 0.1}, "config": {"top3": [9]}, "n": [1]}'), ("s", "[]"), ("t", None)], "run string, value string")
+    assert sorted(rows(readers.parse_more_metrics(runs_)), key=repr) == [("r", "stage1", "top3", 0, 0.5), ("r", "stage1", "top3", 1, None), ("r", "stage1", "top3", 2, None)]
