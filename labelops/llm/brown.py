@@ -15,7 +15,7 @@ from __future__ import annotations
 
 from collections import Counter
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
@@ -36,6 +36,8 @@ ADD = 0.1
 MIX = 0.8
 #: Text of one chunk that is scored with its own part of the count table.
 CHUNK_BYTES = 12_000_000
+#: Tokens that are scored at once.
+SCORED_TOKENS = 1_000_000
 #: Pairs of units a task holds before it passes them on.
 PAIRS = 4_000_000
 #: Fixed value: the closing token; no word has a space.
@@ -63,6 +65,11 @@ class Model:
     tokens: int
     distinct: int
 
+    @property
+    def end(self) -> int:
+        """Class of the closing token."""
+        return int(self.classes[self.units[END]])
+
     def unit(self, word: bytes) -> int:
         found = self.units.get(word)
         if found is None:
@@ -196,6 +203,28 @@ def learn(training: DataFrame, text_col: str = "text", words: int = WORDS, forms
     Counts cover every training text; the table also has the ``class`` of every training word. Only the units' class
     counts (units x classes) come to the driver.
     """
+    model, counts = _classes(training, text_col, words, forms, classes)
+    # the hash takes in every column it can, so that copies of a text are dealt over chunks
+    key = [F.col(f"`{f.name}`") for f in training.schema.fields if "map<" not in f.dataType.simpleString()]
+    rows = training.select(F.xxhash64(*key).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"), F.lit(True).alias("train"))
+    return _with_transitions(model, stored(_encoded(rows, model, counts))), counts
+
+
+def learn_and_score(
+    items: DataFrame, training: Column, id_col: str = "path", text_col: str = "text", words: int = WORDS, forms: int = FORMS, classes: int = CLASSES, mix: float = MIX
+) -> DataFrame:
+    """``score`` of all items under the model of those for which ``training`` is true (NULL: not), texts being looked up once for both.
+
+    Each text becomes the counts and classes of its tokens, written once; transitions are counted and texts scored from that.
+    """
+    model, counts = _classes(items.filter(training), text_col, words, forms, classes)
+    rows = items.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"), F.coalesce(training, F.lit(False)).alias("train"))
+    encoded = stored(_encoded(rows, model, counts))
+    return _scored(encoded, _with_transitions(model, encoded), mix).withColumnRenamed("id", id_col)
+
+
+def _classes(training: DataFrame, text_col: str, words: int, forms: int, classes: int) -> tuple[Model, DataFrame]:
+    """The model without its transitions, and the (word, n, class) table."""
     spark = training.sparkSession
     texts = training.select(F.col(text_col).alias("text"))
     counts = stored(word_counts(texts))
@@ -240,15 +269,18 @@ def learn(training: DataFrame, text_col: str = "text", words: int = WORDS, forms
     uses, kinds = np.zeros(k), np.zeros(k)
     for r in counts.groupBy("class").agg(F.sum("n").alias("uses"), F.count(F.lit(1)).alias("kinds")).collect():
         uses[r["class"]], kinds[r["class"]] = r["uses"], r["kinds"]
+    return Model(units, mine, np.zeros((k, k)), uses, kinds, tokens, distinct), counts
+
+
+def _with_transitions(model: Model, encoded: DataFrame) -> Model:
+    """The model with the class transitions of the training texts among the encoded ones."""
+    k = len(model.uses)
     moves = np.zeros(k * k)
-    # the hash takes in every column it can, so that copies of a text are dealt over chunks
-    key = [F.col(f"`{f.name}`") for f in training.schema.fields if "map<" not in f.dataType.simpleString()]
-    rows = training.select(F.coalesce(F.col(text_col), F.lit("")).alias("text"), F.xxhash64(*key).alias("key"))
-    for r in _by_chunk(rows, counts, F.col("key")).applyInArrow(_transitions(k), "cell int, n long").groupBy("cell").agg(F.sum("n").alias("n")).collect():
+    for r in encoded.filter("train").select("class").mapInArrow(_transitions(k, model.end), "cell int, n long").groupBy("cell").agg(F.sum("n").alias("n")).collect():
         moves[r["cell"]] = r["n"]
     moves = moves.reshape(k, k)
     logs = np.log10((moves + ADD) / (moves.sum(1, keepdims=True) + ADD * k))
-    return Model(units, mine, logs, uses, kinds, tokens, distinct), counts
+    return replace(model, moves=logs)
 
 
 def _neighbours(shared):
@@ -259,8 +291,19 @@ def _neighbours(shared):
         k = len(moves)
         numbers = UnitNumbers(units, total - 1)
         end = mine[units[END]]
+        seen: dict[bytes, int] = {}
+        held: list[tuple[np.ndarray, np.ndarray]] = []  # part() reads what these names hold when it is called
+
+        def part() -> pa.RecordBatch:
+            cell, at = np.unique(np.concatenate([c for c, _ in held]), return_inverse=True)
+            n = np.bincount(at, np.concatenate([n for _, n in held])).astype(np.int64)
+            word, cell = np.divmod(cell, 2 * k)
+            starts = pa.array(np.searchsorted(word, np.arange(len(seen) + 1)), pa.int32())
+            return pa.RecordBatch.from_arrays([
+                pa.array(list(seen), pa.binary()), pa.ListArray.from_arrays(starts, pa.array(cell, pa.int32())), pa.ListArray.from_arrays(starts, pa.array(n, pa.int32()))
+            ], names=["word", "cells", "n"])
+
         for batch in text.pieces(batches, "text"):
-            seen: dict[bytes, int] = {}
             codes = [np.empty(0, np.int64)]
             for body in batch.column("text").to_pylist():
                 words = _words(body)
@@ -269,12 +312,13 @@ def _neighbours(shared):
                 at = np.flatnonzero(unit > core)
                 word = np.fromiter((seen.setdefault(words[i], len(seen)) for i in at.tolist()), np.int64, len(at)) * (2 * k)
                 codes += [word + row[at], word + k + row[at + 2]]
-            cell, n = np.unique(np.concatenate(codes), return_counts=True)
-            word, cell = np.divmod(cell, 2 * k)
-            starts = pa.array(np.searchsorted(word, np.arange(len(seen) + 1)), pa.int32())
-            yield pa.RecordBatch.from_arrays([
-                pa.array(list(seen), pa.binary()), pa.ListArray.from_arrays(starts, pa.array(cell, pa.int32())), pa.ListArray.from_arrays(starts, pa.array(n, pa.int32()))
-            ], names=["word", "cells", "n"])
+            held.append(np.unique(np.concatenate(codes), return_counts=True))
+            # what a task has seen of a word goes out once, up to a bound
+            if len(seen) > text.CACHE_WORDS or sum(len(c) for c, _ in held) > PAIRS:
+                yield part()
+                seen, held = {}, []
+        if held:
+            yield part()
 
     return run
 
@@ -325,15 +369,24 @@ def _filled(shared):
     return run
 
 
-def _transitions(k: int):
-    def run(docs: pa.Table, known: pa.Table) -> pa.Table:
-        table = dict(zip(known.column("word").to_pylist(), known.column("class").to_pylist()))
+def _rows(classes: pa.ListArray, end: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Classes of the tokens of all texts, those of the tokens before them, and where each text starts."""
+    own = classes.flatten().to_numpy().astype(np.int64)
+    starts = np.concatenate(([0], np.cumsum(classes.value_lengths().to_numpy(zero_copy_only=False))))[:-1].astype(np.int64)
+    before = np.concatenate(([end], own[:-1])) if len(own) else own
+    before[starts] = end
+    return own, before, starts
+
+
+def _transitions(k: int, end: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cells = np.zeros(k * k, np.int64)
-        for body in docs.column("text").to_pylist():
-            row = np.fromiter(map(table.__getitem__, [END, *_words(body), END]), np.int64)
-            cells += np.bincount(row[:-1] * k + row[1:], minlength=k * k)
+        for batch in batches:
+            if batch.num_rows:
+                own, before, _ = _rows(batch.column("class"), end)
+                cells += np.bincount(before * k + own, minlength=k * k)
         at = np.flatnonzero(cells)
-        return pa.table({"cell": pa.array(at, pa.int32()), "n": pa.array(cells[at])})
+        yield pa.RecordBatch.from_arrays([pa.array(at, pa.int32()), pa.array(cells[at])], names=["cell", "n"])
 
     return run
 
@@ -377,52 +430,73 @@ def _by_chunk(rows: DataFrame, counts: DataFrame, key: Column):
     return rows.groupBy("chunk").cogroup(known.groupBy("chunk"))
 
 
-def score(items: DataFrame, model: Model, counts: DataFrame, id_col: str = "path", text_col: str = "text", mix: float = MIX) -> DataFrame:
-    """``id_col``, n_tokens, n_known, train_tokens, base_score, score, perplexity of every whole text.
+def _encoded(rows: DataFrame, model: Model, counts: DataFrame) -> DataFrame:
+    """(id, train, n, class): training count and class of every token of a text, its closing one included.
 
-    Tokens are the words between ASCII white space, A-Z lower-cased, and one closing token. ``base_score`` adds up log10((c + 0.1) /
-    (N + 0.1 (V + 1))); ``score`` is the log10 probability of the text under the mixture of class model and
-    plain counts, each of which leaves room for unseen words. NULL and empty texts have the closing token alone.
-    Texts are dealt to chunks by the hash of the id, and each chunk is joined with the counts of its own
-    words, so no task sees the whole table. The texts are shuffled once, for both sides of that.
+    Texts (id, text, train) are dealt to chunks by a hash, and each chunk is joined with the counts of its own words, so no
+    task sees the whole table. A word unseen in training has count 0 and the class of its unit.
     """
-    spark = items.sparkSession
-    rows = items.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    schema = T.StructType([
-        T.StructField("id", items.schema[id_col].dataType), *[T.StructField(n, T.LongType()) for n in ("n_tokens", "n_known", "train_tokens")],
-        *[T.StructField(n, T.DoubleType()) for n in ("base_score", "score", "perplexity")],
-    ])
-    shared = spark.sparkContext.broadcast(model)
-    scored = _by_chunk(rows, counts, F.xxhash64("id", F.xxhash64("text"))).applyInArrow(_scorer(shared, schema, mix), schema)
-    return scored.withColumnRenamed("id", id_col)
+    schema = T.StructType([rows.schema["id"], rows.schema["train"], T.StructField("n", T.ArrayType(T.LongType())), T.StructField("class", T.ArrayType(T.ShortType()))])
+    shared = rows.sparkSession.sparkContext.broadcast((model.units, model.classes))
 
-
-def _scorer(shared, schema: T.StructType, mix: float):
     def run(docs: pa.Table, known: pa.Table) -> pa.Table:
-        m: Model = shared.value
+        units, kinds = shared.value
         found = known.column("word").to_pylist()
         table = Known(zip(found, range(len(found))))
-        n = np.append(known.column("n").to_numpy(), 0).astype(float)
-        numbers = UnitNumbers(m.units, len(m.classes) - 1)
         unseen = table.other = len(found)
-        plain = (n + ADD) / (m.tokens + ADD * (m.distinct + 1))
-        log_plain = np.log10(plain)
-        size = m.uses + ADD * (m.kinds + 1)
+        n = np.append(known.column("n").to_numpy(), 0)
         classes = np.append(known.column("class").to_numpy(), 0)
-        cols: list[list] = [[] for _ in range(6)]
-        end = m.classes[m.units[END]]
+        numbers = UnitNumbers(units, len(kinds) - 1)
+        sizes, counted, classed = [0], [], []
         for body in docs.column("text").to_pylist():
             words = _words(body)
             words.append(END)
             at = np.fromiter(map(table.__getitem__, words), np.int64, len(words))
             own = classes[at]
-            for i in np.flatnonzero(at == unseen):
-                own[i] = m.classes[numbers[words[i]]]
-            step = 10 ** m.moves[np.concatenate(([end], own[:-1])), own]
-            value = float(np.log10(mix * step * (n[at] + ADD) / size[own] + (1 - mix) * plain[at]).sum())
-            for col, v in zip(cols, (len(words), int((n[at] > 0).sum()), m.tokens, float(log_plain[at].sum()), value, 10 ** min(300.0, -value / len(words)))):
-                col.append(v)
-        batch = text.record(docs.column("id").combine_chunks(), schema, cols)
-        return pa.Table.from_batches([batch])
+            for i in np.flatnonzero(at == unseen).tolist():
+                own[i] = kinds[numbers[words[i]]]
+            sizes.append(len(words))
+            counted.append(n[at])
+            classed.append(own.astype(np.int16))
+        starts = pa.array(np.cumsum(sizes), pa.int32())
+        lists = [pa.ListArray.from_arrays(starts, pa.array(np.concatenate(x) if x else np.empty(0, kind))) for x, kind in ((counted, np.int64), (classed, np.int16))]
+        return pa.table([docs.column("id"), docs.column("train"), *lists], names=["id", "train", "n", "class"])
 
-    return run
+    return _by_chunk(rows, counts, F.xxhash64("id", F.xxhash64("text"))).applyInArrow(run, schema)
+
+
+def score(items: DataFrame, model: Model, counts: DataFrame, id_col: str = "path", text_col: str = "text", mix: float = MIX) -> DataFrame:
+    """``id_col``, n_tokens, n_known, train_tokens, base_score, score, perplexity of every whole text.
+
+    Tokens are the words between ASCII white space, A-Z lower-cased, and one closing token. ``base_score`` adds up log10((c + 0.1) /
+    (N + 0.1 (V + 1))); ``score`` is the log10 probability of the text under the mixture of class model and
+    plain counts, each of which leaves room for unseen words. NULL and empty texts have the closing token alone.
+    """
+    rows = items.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"), F.lit(False).alias("train"))
+    return _scored(_encoded(rows, model, counts), model, mix).withColumnRenamed("id", id_col)
+
+
+def _scored(encoded: DataFrame, model: Model, mix: float) -> DataFrame:
+    schema = T.StructType([
+        encoded.schema["id"], *[T.StructField(n, T.LongType()) for n in ("n_tokens", "n_known", "train_tokens")],
+        *[T.StructField(n, T.DoubleType()) for n in ("base_score", "score", "perplexity")],
+    ])
+    shared = encoded.sparkSession.sparkContext.broadcast(replace(model, units={END: model.units[END]}))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        m: Model = shared.value
+        chance, size = 10**m.moves, m.uses + ADD * (m.kinds + 1)
+        for batch in batches:
+            rows = max(1, batch.num_rows * SCORED_TOKENS // max(1, len(batch.column("class").flatten())))
+            for a in range(0, batch.num_rows, rows):
+                part = batch.slice(a, rows)
+                own, before, starts = _rows(part.column("class"), m.end)
+                n = part.column("n").flatten().to_numpy().astype(float)
+                plain = (n + ADD) / (m.tokens + ADD * (m.distinct + 1))
+                added = lambda x: np.add.reduceat(x, starts)  # noqa: E731 - every text has its closing token
+                value = added(np.log10(mix * chance[before, own] * (n + ADD) / size[own] + (1 - mix) * plain))
+                count = added(np.ones(len(n), np.int64))
+                columns = [count, added((n > 0).astype(np.int64)), np.full(len(count), m.tokens), added(np.log10(plain)), value, 10 ** np.minimum(300.0, -value / count)]
+                yield text.record(part.column("id"), schema, columns)
+
+    return encoded.select("id", "n", "class").mapInArrow(run, schema)

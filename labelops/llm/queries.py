@@ -55,7 +55,7 @@ def op5_benchmark_overlaps(spark, sf):
 @query
 def op7_pack(spark, sf):
     pieces = packing.pack(_table(spark, sf, "documents"), "doc_id")
-    return pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids").withColumnsRenamed({"doc_id_tokens": "doc_tokens", "sequence": "sequence_id"})
+    return pieces.drop("ids").withColumnsRenamed({"doc_id_tokens": "doc_tokens", "sequence": "sequence_id"})
 
 
 @query
@@ -78,8 +78,7 @@ def op3_page_text(spark, sf):
 def op4_class_model(spark, sf):
     docs = _table(spark, sf, "documents")
     held = text.remainder("doc_id", 10) == 0
-    model, counts = brown.learn(docs.filter(~held))
-    return brown.score(docs, model, counts, "doc_id").withColumn("held_out", held)
+    return brown.learn_and_score(docs, ~held, "doc_id").withColumn("held_out", held)
 
 
 @query
