@@ -152,7 +152,8 @@ s AS (SELECT d.doc_id, d.lang, CASE WHEN b.doc_id IS NULL THEN 0::UBIGINT ELSE {
 g AS (SELECT lang, list([{{'id': doc_id, 'h': h}}] ORDER BY doc_id) AS l FROM s GROUP BY lang),
 k AS (SELECT lang, unnest(list_reduce(l, lambda a, x: CASE WHEN len(list_filter(a, lambda y: bit_count(xor(y.h, x[1].h)) <= 3)) = 0 THEN list_concat(a, x) ELSE a END)) AS r FROM g)
 SELECT lang AS class, r.id AS doc_id, (CASE WHEN r.h >= 9223372036854775808::UBIGINT THEN r.h::HUGEINT - 18446744073709551616::HUGEINT ELSE r.h::HUGEINT END)::BIGINT AS phash FROM k""")
-add("score", """WITH g AS (SELECT vec_id, embedding, 1 / (1 + exp(-20 * embedding[1]::DOUBLE)) AS score FROM embeddings),
-e AS (SELECT vec_id, generate_subscripts(embedding[1:10], 1) - 1 AS c, exp(10 * unnest(embedding[1:10])::DOUBLE) AS w FROM g WHERE score >= 0.5),
+add("score", """WITH x AS (SELECT vec_id, generate_subscripts(embedding, 1) - 1 AS i, unnest(embedding)::DOUBLE AS v FROM embeddings),
+g AS (SELECT vec_id, 1 / (1 + exp(-20 * avg(v))) AS score FROM x GROUP BY vec_id),
+e AS (SELECT vec_id, i % 10 AS c, exp(10 * sum(v)) AS w FROM x JOIN g USING (vec_id) WHERE score >= 0.5 GROUP BY ALL),
 t AS (SELECT vec_id, arg_min(c, (-w, c)) AS pred_idx, max(w) / sum(w) AS confidence FROM e GROUP BY vec_id)
 SELECT vec_id, round(score, 6) AS score, pred_idx::INT AS pred_idx, round(confidence, 6) AS confidence FROM g LEFT JOIN t USING (vec_id)""")

@@ -13,7 +13,7 @@ from labelops.operators import audit, images, metrics, ranking, reports, runs
 from labelops.operators.dedup import listing_order
 from labelops.plans import flows
 from labelops.plans import standins as s
-from labelops.plans.queries import _lines, _rows, map_text, query, rounded
+from labelops.plans.queries import _lines, _rows, _uncropped, map_text, query, rounded
 from labelops.sources import readers, sinks
 
 # --- texts of sources --------------------------------------------------------------------------
@@ -148,7 +148,7 @@ def csv_cells(spark, sf):
 
 @query
 def report_json(spark, sf):
-    crops = s.items(spark, sf).where("class <> 'es'").select("class", F.lit("no_bbox").alias("reason"), F.lit(False).alias("applied"))
+    crops = s.items(spark, sf).select(_uncropped(), F.lit("no_bbox").alias("reason"), F.lit(False).alias("applied"))
     report = reports.dataset_report(reports.output_class_stats(_rows(spark, sf)), reports.crop_stats(crops))
     return sinks.report_json(reports.report_totals(report))
 

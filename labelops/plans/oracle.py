@@ -250,7 +250,7 @@ p AS (SELECT *, row_number() OVER (PARTITION BY class ORDER BY lower(file_name),
 # --- splits ------------------------------------------------------------------------------------
 
 add("split_sizes", f"""WITH c0 AS (SELECT lang AS class, count(*) AS n FROM documents GROUP BY lang
-  UNION ALL SELECT p_type || '/' || p_brand, count(*) FROM part GROUP BY ALL HAVING count(*) >= 3),
+  UNION ALL SELECT p_brand, count(*) FROM part GROUP BY ALL),
 {_sizes('c0')} SELECT class, n, train, val, test FROM sizes""")
 add("stratified_split", f"WITH {SPLIT} SELECT class, file_name, split FROM splits")
 add("split_counts", f"WITH {SPLIT} " + SPLIT_COUNTS.format(rows="splits"))
@@ -288,7 +288,7 @@ add("ab_missing", f"""WITH {ITEMS}, r AS (SELECT class, file_name, row_number()
 SELECT class, file_name, 'missing_in_b' AS side FROM r WHERE k <= 30""")
 add("name_sets", f"""WITH {ITEMS} SELECT DISTINCT class, file_name, CASE WHEN width > 400 AND height > 300 THEN 'both' WHEN width > 400 THEN 'left_only' ELSE 'right_only' END AS side
 FROM items WHERE width > 400 OR height > 300""")
-add("class_diff", f"""WITH {ITEMS}, l AS (SELECT DISTINCT raw_class AS class FROM items WHERE width > 6000), r AS (SELECT DISTINCT raw_class AS class FROM items WHERE width < 200)
+add("class_diff", f"""WITH {ITEMS}, l AS (SELECT DISTINCT raw_class || '_' || path % 50 AS class FROM items WHERE width >= 800), r AS (SELECT DISTINCT raw_class || '_' || path % 50 AS class FROM items WHERE width < 800)
 SELECT class, 'left_only' AS side FROM l WHERE class NOT IN (SELECT class FROM r) UNION ALL SELECT class, 'right_only' FROM r WHERE class NOT IN (SELECT class FROM l)""")
 add("reconcile", f"""WITH {SPLIT}, w AS (SELECT class, file_name, CASE WHEN width > 9000 THEN 'val' ELSE split END AS split FROM splits WHERE width > 300)
 SELECT split, class, file_name, 'not_written' AS side FROM splits s ANTI JOIN w USING (split, class, file_name)
