@@ -2,8 +2,8 @@
 
 A text longer than the window first gives whole windows. What is left of it has one of ``window - 1`` lengths, so a
 histogram of bounded size says all the plan needs. Lengths are rounded up to classes, every combination of up to three
-classes that fills a window is listed, the repeat counts are solved against the histogram, rounded down, and the
-texts left over are laid end to end and cut where a window ends. No text passes through the driver and no row
+classes that fills a window is listed, the repeat counts are solved against the histogram and rounded within it, what is left
+over is packed greedily, best fit first, and only texts that fill no window well are laid end to end and cut where a window ends. No text passes through the driver and no row
 waits for another: each works out its place from its number among texts of its length. Places are worked out on
 narrow rows; at the end each text's ids meet its pieces once and are cut.
 
@@ -12,6 +12,7 @@ The project has no token sequences; the operator is general and takes any frame
 
 from __future__ import annotations
 
+import re
 import zlib
 from array import array
 from collections.abc import Iterator
@@ -32,8 +33,10 @@ WIDTH = 8
 #: Left-over texts are cut at multiples of this, or inside their last tokens.
 BLOCK = 64
 ROUNDS = 400
-#: Texts of one length that are numbered in one task.
-NUMBERED = 100_000
+#: Least share of a window that the greedy packing of residuals has to fill.
+FILL = 0.97
+#: Texts of one length that are numbered in one task: so many, or this share of all texts.
+NUMBERED, NUMBERED_SHARE = 1_000, 0.0005
 #: Fixed value: marks that often end a word; none begins a contraction.
 MARKS = frozenset(".,;:!?")
 #: Units a worker remembers; results do not depend on it.
@@ -41,6 +44,8 @@ CACHE_UNITS = 1_000_000
 #: How byte-level vocabularies write a byte: printable ones as they are, the others from character 256 on.
 PRINTED = [*range(33, 127), *range(161, 173), *range(174, 256)]
 UNPRINTED = [b for b in range(256) if b not in PRINTED]
+#: How they write a space.
+SPACED = chr(256 + UNPRINTED.index(32))
 BYTE_CHARS = [chr(b) if b in PRINTED else chr(256 + UNPRINTED.index(b)) for b in range(256)]
 
 
@@ -48,19 +53,24 @@ BYTE_CHARS = [chr(b) if b in PRINTED else chr(256 + UNPRINTED.index(b)) for b in
 
 
 class UnitIds(dict):
-    """Token ids (little-endian unsigned 32-bit) of a unit of text, remembered; starts afresh when full.
+    """Token ids (little-endian, 32-bit or as ``code`` says) of a unit of text, remembered; starts afresh when full.
 
     A unit is a run without a space, with the one space before it. The tokenizer's own pattern never joins
     what stands on both sides of a space that a visible character follows, so units can be encoded alone.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, code: str = "I"):
         super().__init__()
         from tokenizers import Tokenizer
 
+        # units hold no added token: a text with one is given to the tokenizer as it is, whole
+        self.whole = Tokenizer.from_file(path)
+        added = [t.content for t in self.whole.get_added_tokens_decoder().values()]
+        self.added = re.compile("|".join(map(re.escape, added))) if added else None
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
         self.model = self.tokenizer.model
+        self.code = code
         self.spaced = Spaced(self)
 
     def __missing__(self, unit: str) -> bytes:
@@ -81,7 +91,7 @@ class UnitIds(dict):
             found = [t.id for t in self.model.tokenize("".join(map(BYTE_CHARS.__getitem__, unit.encode())))]
         else:
             found = self.tokenizer.encode(unit, add_special_tokens=False).ids
-        return array("I", found).tobytes()
+        return array(self.code, found).tobytes()
 
     def mixed(self, part: str) -> bytes:
         """Ids of text with any white space; units start at a space that no other white space follows."""
@@ -98,6 +108,8 @@ class UnitIds(dict):
         """Ids of a whole text. Lines of words with single spaces are units at once; other lines are held together,
         since white space around a line feed forms one run.
         """
+        if self.added is not None and self.added.search(body):
+            return array(self.code, self.whole.encode(body, add_special_tokens=False).ids).tobytes()
         out, held = [], None
         for n, line in enumerate(body.split("\n")):
             mark = "\n" if n else ""
@@ -125,30 +137,41 @@ class Spaced(dict):
     def __missing__(self, word: str) -> bytes:
         if len(self) >= CACHE_UNITS:
             self.clear()
-        self[word] = ids = self.units.alone(" " + word)
+        units = self.units
+        if word.isalpha():
+            # a plain word is one piece; the bytes of ASCII letters are written as they are
+            piece = SPACED + word if word.isascii() else "".join(map(BYTE_CHARS.__getitem__, (" " + word).encode()))
+            ids = array(units.code, [t.id for t in units.model.tokenize(piece)]).tobytes()
+        elif word[-1:] in MARKS and word[-2:-1].isalnum():
+            ids = self[word[:-1]] + units[word[-1]]
+        else:
+            ids = units.alone(" " + word)
+        self[word] = ids
         return ids
 
 
 _WORKER: dict[str, UnitIds] = {}
 
 
-def token_lengths(items: DataFrame, id_col: str = "path", text_col: str = "text", tokenizer: str | None = None, window: int = WINDOW) -> DataFrame:
-    """Per item: tokens, ids (little-endian unsigned 32-bit), checksum of what its whole windows leave."""
+def _code(path: str) -> str:
+    """Type code of stored ids: 16 bits where the vocabulary fits, else 32."""
+    from tokenizers import Tokenizer
+
+    return "H" if Tokenizer.from_file(path).get_vocab_size(with_added_tokens=True) <= 1 << 16 else "I"
+
+
+def token_ids(items: DataFrame, id_col: str = "path", text_col: str = "text", tokenizer: str | None = None) -> DataFrame:
+    """Per item: tokens, ids (little-endian unsigned, 16-bit where the vocabulary fits, else 32-bit), the closing id included."""
     path = tokenizer or default_tokenizer()
-    long = T.LongType()
-    schema = text.plus(items, id_col, [("tokens", long), ("ids", T.BinaryType()), ("rest_crc", long)])
-    end = np.asarray([END_ID], "<u4").tobytes()
+    code = _code(path)
+    schema = text.plus(items, id_col, [("tokens", T.LongType()), ("ids", T.BinaryType())])
+    end = array(code, [END_ID]).tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        units = _WORKER.get(path) or _WORKER.setdefault(path, UnitIds(path))
+        units = _WORKER.get(path) or _WORKER.setdefault(path, UnitIds(path, code))
         for batch in text.pieces(batches, "text"):
-            cols: list[list] = [[] for _ in range(3)]
-            for body in batch.column("text").to_pylist():
-                ids = (units.of(body) if body else b"") + end
-                n = len(ids) // 4
-                for col, v in zip(cols, (n, ids, zlib.crc32(ids[4 * (n // window * window) :]))):
-                    col.append(v)
-            yield text.record(batch.column("id"), schema, cols)
+            ids = [(units.of(body) if body else b"") + end for body in batch.column("text").to_pylist()]
+            yield text.record(batch.column("id"), schema, [[len(x) // len(end) for x in ids], ids])
 
     return items.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(run, schema)
 
@@ -173,8 +196,9 @@ def combinations(units: int) -> np.ndarray:
 def repeats(combos: np.ndarray, counts: np.ndarray, rounds: int = ROUNDS) -> np.ndarray:
     """Whole repeat counts x >= 0 of the combinations that come near the class counts and never exceed them.
 
-    Least squares |A x - counts| under x >= 0 by accelerated projected gradient, then rounding down, then
-    combinations that would still take more than there is are cut back.
+    Least squares |A x - counts| under x >= 0 by accelerated projected gradient. Rounding is down first, then up, the
+    largest remainders first, each as far as the counts reach: a thin histogram gives many combinations less than one
+    text each, and rounding all of them down would place none.
     """
     total = counts.sum()
     if total == 0:
@@ -198,17 +222,46 @@ def repeats(combos: np.ndarray, counts: np.ndarray, rounds: int = ROUNDS) -> np.
         new = np.maximum(0, ahead - step * slope(residue(ahead)))
         faster = (1 + np.sqrt(1 + 4 * pace * pace)) / 2
         ahead, x, pace = new + (pace - 1) / faster * (new - x), new, faster
-    whole = np.floor(x * total + 1e-6).astype(np.int64)
-    left = counts.astype(np.int64).copy()
-    for i in np.argsort(-whole, kind="stable"):
-        if whole[i] == 0:
-            break
-        parts, need = np.unique(combos[i][combos[i] > 0], return_counts=True)
-        whole[i] = min(whole[i], (left[parts] // need).min())
-        left[parts] -= whole[i] * need
+    wanted = x * total
+    whole, left = np.zeros(len(combos), np.int64), counts.astype(np.int64).copy()
+    for goal_times in (np.floor(wanted + 1e-6), np.ceil(wanted - 1e-6)):
+        more = goal_times.astype(np.int64) - whole
+        order = np.lexsort((np.arange(len(combos)), -(wanted - np.floor(wanted)), -more))
+        for i in order[more[order] > 0].tolist():
+            parts, need = np.unique(combos[i][combos[i] > 0], return_counts=True)
+            fit = min(int(more[i]), int((left[parts] // need).min()))
+            if fit > 0:
+                whole[i] += fit
+                left[parts] -= fit * need
     return whole
 
 
+def residuals(left: np.ndarray, units: int, least: float = FILL) -> list[tuple[tuple[int, ...], int]]:
+    """Greedy windows of what the combinations leave over: (classes, times), best fit from the largest class down.
+
+    A pattern is repeated as often as its rarest class allows, so each step uses up a class or sets it aside: windows that
+    would be filled by less than ``least`` are not made.
+    """
+    left, found = left.copy(), []
+    for top in range(units, 0, -1):
+        while left[top] > 0:
+            parts, room, use = [top], units - top, left.copy()
+            use[top] -= 1
+            c = min(top, room)
+            while c > 0:
+                take = min(room // c, int(use[c]))
+                parts += [c] * take
+                room -= c * take
+                c = min(c - 1, room)
+            if units - room < least * units:
+                break
+            kinds, need = np.unique(parts, return_counts=True)
+            times = int((left[kinds] // need).min())
+            left[kinds] -= times * need
+            found.append((tuple(parts), times))
+    return found
+
+
 def plan(lengths: dict[int, int], window: int = WINDOW, width: int = WIDTH) -> tuple[list[tuple], list[tuple], int]:
     """From texts per left-over length: places in combinations, places in the stream of cut texts, sequences planned.
 
@@ -222,8 +275,13 @@ def plan(lengths: dict[int, int], window: int = WINDOW, width: int = WIDTH) -> t
         counts[-(-n // width)] += c
     combos = combinations(units)
     times = repeats(combos, counts)
+    filled = list(zip(combos[times > 0].tolist(), times[times > 0].tolist()))
+    used = np.zeros(units + 1, np.int64)
+    for combo, x in filled:
+        np.add.at(used, combo, x)
+    used[0] = 0
     taken, places, sequences = np.zeros(units + 1, np.int64), [], 0
-    for combo, x in zip(combos[times > 0].tolist(), times[times > 0].tolist()):
+    for combo, x in filled + residuals(counts.astype(np.int64) - used, units):
         for slot, c in enumerate(combo):
             if c:
                 places.append((c, int(taken[c]), int(taken[c]) + x, sequences, slot))
@@ -280,17 +338,20 @@ def pack(items: DataFrame, id_col: str = "path", text_col: str = "text", tokeniz
     """
     spark = items.sparkSession
     # the number of a row is written with it, so it stays what it is
-    texts = stored(token_lengths(items, id_col, text_col, tokenizer, window).withColumnRenamed(id_col, "id").withColumn("row", F.monotonically_increasing_id()))
+    texts = stored(token_ids(items, id_col, text_col, tokenizer).withColumnRenamed(id_col, "id").withColumn("row", F.monotonically_increasing_id()))
+    code = _code(tokenizer or default_tokenizer())
+    width = 2 if code == "H" else 4
     full = F.floor(F.col("tokens") / window).cast("long")
-    rows = texts.select("row", "id", "tokens", "rest_crc", (F.col("tokens") % window).cast("int").alias("rest"), full.alias("full"))
+    rows = texts.select("row", (F.col("tokens") % window).cast("int").alias("rest"), full.alias("full"))
     found = rows.groupBy("rest").agg(F.count(F.lit(1)).alias("n"), F.sum("full").alias("full")).orderBy("rest").collect()
     places, stream, planned = plan({r["rest"]: r["n"] for r in found if r["rest"]}, window)
     whole = sum(r["full"] for r in found)
     starts = np.concatenate(([0], np.cumsum([r["full"] for r in found])[:-1])).astype(int).tolist() if found else []
 
-    parts = max([1, *(-(-r["n"] // NUMBERED) for r in found)])
-    salt = F.pmod(F.xxhash64("id", "tokens", "rest_crc"), F.lit(parts)).cast("int")
-    group = Window.partitionBy("rest", "salt").orderBy("id", "tokens", "rest_crc")
+    share = max(NUMBERED, int(NUMBERED_SHARE * sum(r["n"] for r in found)))
+    parts = max([1, *(-(-r["n"] // share) for r in found)])
+    salt = F.pmod(F.xxhash64("row"), F.lit(parts)).cast("int")
+    group = Window.partitionBy("rest", "salt").orderBy("row")
     numbered = rows.withColumn("salt", salt)
     before = Window.partitionBy("rest").orderBy("salt").rowsBetween(Window.unboundedPreceding, -1)
     offsets = numbered.groupBy("rest", "salt").agg(F.count(F.lit(1)).alias("n"), F.sum("full").alias("f"))
@@ -328,9 +389,24 @@ def pack(items: DataFrame, id_col: str = "path", text_col: str = "text", tokeniz
     ).mapInArrow(_cut(schema, window), schema)
     pieces = wholes.unionByName(fits.select(names)).unionByName(cut)
     pieces = pieces.groupBy("row").agg(F.collect_list(F.struct(*names[1:])).alias("pieces"))
-    ids = lambda p: F.substring(F.col("ids"), (4 * p["start"] + 1).cast("int"), (4 * p["length"]).cast("int"))
+    ids = lambda p: F.substring(F.col("ids"), (width * p["start"] + 1).cast("int"), (width * p["length"]).cast("int"))
     cut_up = F.transform("pieces", lambda p: F.struct(p["start"].alias("start"), p["length"].alias("length"), ids(p).alias("ids"), p["sequence"].alias("sequence"), p["offset"].alias("offset")))
     found = texts.select("row", "id", "ids", "tokens").join(pieces, "row").select("id", "tokens", F.inline(cut_up))
-    return found.select(
-        F.col("id").alias(id_col), "start", "length", "ids", F.crc32("ids").alias("ids_crc32"), F.col("tokens").alias(f"{id_col}_tokens"), "sequence", "offset"
-    )
+    found = found.select(F.col("id").alias(id_col), "start", "length", "ids", F.col("tokens").alias(f"{id_col}_tokens"), "sequence", "offset")
+    schema = T.StructType([*found.schema.fields, T.StructField("ids_crc32", T.LongType())])
+    order = [id_col, "start", "length", "ids", "ids_crc32", f"{id_col}_tokens", "sequence", "offset"]
+    return found.mapInArrow(_widened(code), schema).select(order)
+
+
+def _widened(code: str):
+    """Ids of the pieces as 32-bit numbers, and their checksum."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ids = batch.column("ids").to_pylist()
+            if code == "H":
+                ids = [np.frombuffer(x, "<u2").astype("<u4").tobytes() for x in ids]
+            columns = [pa.array(ids, pa.binary()) if n == "ids" else c for n, c in zip(batch.schema.names, batch.columns)]
+            yield pa.RecordBatch.from_arrays([*columns, pa.array([zlib.crc32(x) for x in ids], pa.int64())], names=[*batch.schema.names, "ids_crc32"])
+
+    return run

@@ -514,3 +514,116 @@ def test_short_benchmark_items(spark):
     found = lambda **more: {(r["path"], r["item_id"]): (r["start"], r["item_start"], r["words"], r["equal"]) for r in decontaminate.benchmark_overlaps(docs, bench, **more).collect()}
     assert found(min_item_words=1) == wanted
     assert found() == {k: v for k, v in wanted.items() if v[2] >= 5}
+
+
+def test_marks_of_their_own(spark):
+    """Marks in a frame of their own give the model that a column gives; marks of unknown ids and NULL ids count for nothing."""
+    rnd = random.Random(4)
+    rows = [(i, " ".join(rnd.choice(["vile", "foul"] if i % 2 and rnd.random() < 0.4 else ["calm", "blue", "tree", "sun"]) for _ in range(30)), i % 2) for i in range(200)]
+    docs = spark.createDataFrame(rows, "path long, text string, toxic int")
+    one = toxicity.learn(docs)
+    marks = docs.select("path", "toxic").unionByName(spark.createDataFrame([(None, 1), (7, 5)], "path long, toxic int"))
+    two = toxicity.learn(docs.drop("toxic"), marks=marks)
+    assert (one.tokens == two.tokens).all() and np.allclose(one.scores, two.scores) and np.isclose(one.slope, two.slope)
+    assert toxicity.learn(docs.drop("toxic"), marks=marks.withColumn("path", F.col("path") + 1000)).shift == -30.0
+
+
+@pytest.mark.parametrize("crowd,part", [(2, 3), (500, 500)])
+def test_crowded_keys(spark, crowd, part, monkeypatch):
+    """Many lines of one length with a common part; dealt in slices or not, all links are found."""
+    monkeypatch.setattr(line_dedup, "CROWD", crowd)
+    monkeypatch.setattr(line_dedup, "SLICE", part)
+    lines = [f"Page {i:06d} of the yearly report on weather." for i in range(0, 3000, 37)] + [f"Page {i} of the yearly report on weather" for i in (1, 2)]
+    docs = frame(spark, [(i, x) for i, x in enumerate(lines)])
+    got = {r["path"]: r["n_links"] for r in line_dedup.line_links(docs, min_chars=0).collect()}
+    assert got == {i: sum(j != i and distance(x, y) <= 2 for j, y in enumerate(lines)) for i, x in enumerate(lines)}
+
+
+def test_languages_that_nothing_is_sure_of(spark):
+    docs = spark.createDataFrame([(i, "uno dos tres" if i % 2 else "one two three", ["es", "en"][1 - i % 2]) for i in range(40)], "path long, text string, lang string")
+    model = language.learn(docs)
+    odd = spark.createDataFrame([(1, "uno dos", 1), (1, None, 2), (None, "three two", 3), (2, "123 !", 4)], "path long, text string, row int")
+    assert sorted(r["row"] for r in language.keep_identified(odd, model).collect()) == [1, 3]
+    assert language.keep_identified(odd, model, min_score=1.1).count() == 0 and language.keep_identified(odd, model).columns == odd.columns
+
+
+def test_added_tokens_keep_their_ids(spark):
+    """A text with an added token gives what the unchanged tokenizer gives."""
+    from tokenizers import Tokenizer
+
+    plain = Tokenizer.from_file(packing.default_tokenizer())
+    units, narrow = packing.UnitIds(packing.default_tokenizer()), packing.UnitIds(packing.default_tokenizer(), "H")
+    added = plain.get_added_tokens_decoder()[50256].content
+    rnd = random.Random(8)
+    for _ in range(600):
+        t = "".join(rnd.choice([added, added[:-1], "ab", " ", "\n", "1,", "é", " Word."]) for _ in range(rnd.randint(0, 9)))
+        want = plain.encode(t, add_special_tokens=False).ids
+        assert np.frombuffer(units.of(t), "<u4").tolist() == want == np.frombuffer(narrow.of(t), "<u2").tolist()
+    (piece,) = packing.pack(frame(spark, [(1, f"a {added} b")])).collect()
+    assert np.frombuffer(bytes(piece["ids"]), "<u4").tolist() == plain.encode(f"a {added} b", add_special_tokens=False).ids + [1] and 50256 in np.frombuffer(bytes(piece["ids"]), "<u4")
+
+
+@pytest.mark.parametrize("n", [5, 200, 1000, 100_000])
+def test_the_plan_places_most_texts(n):
+    """Thin histograms too: every text has one place or a part of the stream, windows are not overfull, few texts are cut."""
+    rng = np.random.default_rng(n)
+    drawn = np.clip(rng.lognormal(6, 1, n).astype(int), 1, 2047)
+    lengths = dict(zip(*[x.tolist() for x in np.unique(drawn, return_counts=True)]))
+    places, stream, windows = packing.plan(lengths)
+    load, placed = np.zeros(windows, int), np.zeros(257, int)
+    for c, a, b, first, _ in places:
+        assert placed[c] == a and first + b - a <= windows
+        placed[c] = b
+        load[first : first + b - a] += 8 * c
+    assert load.max(initial=0) <= 2048 and (placed <= np.bincount(-(-drawn // 8), minlength=257)).all()
+    over = sum(max(0, first + lengths[length] - max(left, first)) for length, first, left, *_ in stream)
+    assert placed.sum() + over == n
+    if n >= 200:
+        assert over < 0.15 * n and load.mean() > 0.95 * 2048
+
+
+def test_greedy_residuals():
+    left = np.zeros(257, np.int64)
+    left[[200, 56, 128, 100, 3]] = [5, 3, 2, 1, 7]
+    found = packing.residuals(left, 256)
+    used = np.zeros(257, np.int64)
+    for parts, times in found:
+        assert 0.97 * 256 <= sum(parts) <= 256
+        np.add.at(used, list(parts), times)
+    assert (used <= left).all() and used[200] == 3 and used[128] == 2
+
+
+def test_class_model_scores_by_hand(spark):
+    """``score`` from transitions and class counts made anew, text by text; one pass over the texts gives what two give."""
+    rnd = random.Random(5)
+    texts = [(i, " ".join(rnd.choice(["the", "a", "cat", "dog", f"w{rnd.randint(0, 30)}", "sat"]) for _ in range(rnd.randint(0, 12)))) for i in range(60)] + [(100, None), (101, "neverseen cat"), (None, "the cat")]
+    docs = frame(spark, texts)
+    train = F.col("path") < 40
+    model, counts = brown.learn(docs.filter(train), words=10, forms=4, classes=4)
+    known = {bytes(r["word"]): (r["n"], r["class"]) for r in counts.collect()}
+    words = lambda t: [w for w in (t or "").lower().encode().split()] + [brown.END]
+    kind = lambda w: known[w][1] if w in known else int(model.classes[model.unit(w)])
+    moves = np.zeros((4, 4))
+    for i, t in texts:
+        if i is not None and i < 40:
+            row = [brown.END, *words(t)]
+            for a, b in zip(row, row[1:]):
+                moves[kind(a), kind(b)] += 1
+    chance = (moves + 0.1) / (moves.sum(1, keepdims=True) + 0.4)
+    uses, kinds = np.zeros(4), np.zeros(4)
+    for n, c in known.values():
+        uses[c] += n
+        kinds[c] += 1
+    tokens = sum(n for n, _ in known.values())
+    want = {}
+    for i, t in texts:
+        row, total = [brown.END, *words(t)], 0.0
+        for a, b in zip(row, row[1:]):
+            n = known.get(b, (0, 0))[0]
+            plain = (n + 0.1) / (tokens + 0.1 * (len(known) + 1))
+            total += np.log10(0.8 * chance[kind(a), kind(b)] * (n + 0.1) / (uses[kind(b)] + 0.1 * (kinds[kind(b)] + 1)) + 0.2 * plain)
+        want[i] = total
+    once = {r["path"]: r for r in brown.learn_and_score(docs, train, words=10, forms=4, classes=4).collect()}
+    twice = {r["path"]: r for r in brown.score(docs, model, counts).collect()}
+    for i in want:
+        assert np.isclose(once[i]["score"], want[i]) and np.isclose(twice[i]["score"], want[i]) and once[i]["n_tokens"] == len(words(dict(texts)[i]))
