@@ -346,14 +346,16 @@ def keep_identified(items: DataFrame, model: dict, id_col: str = "path", text_co
     That is a text that gives ``und`` (see ``identify``) or one no language has at least ``min_score`` of. Every row is judged by
     its own text and goes through whole, so nothing is shuffled; ``id_col`` is not looked at.
     """
-    rows = items.select(F.struct("*").alias("row"), F.col(text_col).alias("text"))
+    rows = items.select(F.struct("*").alias("row"))
+    text.small_batches(items.sparkSession)
     schema = T.StructType([T.StructField("row", rows.schema["row"].dataType)])
     shared = items.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         judge = Judge(shared.value)
-        for batch in text.pieces(batches, "text"):
-            langs, chance = judge(batch.column("text").to_pylist())
+        for batch in batches:
+            # the text is read inside the row, so that it is held once
+            langs, chance = judge(batch.column("row").field(text_col).to_pylist())
             kept = pa.array((langs != UNKNOWN) & (chance >= min_score))
             yield pa.RecordBatch.from_arrays([batch.column("row").filter(kept)], names=["row"])
 

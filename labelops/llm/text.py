@@ -7,7 +7,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -15,6 +15,7 @@ from pyspark.sql import types as T
 SPACE = r"[\x20\x09-\x0D]"
 #: Text a Python step works on at once.
 BATCH_BYTES = 8_000_000
+BYTE_LIMIT = "spark.sql.execution.arrow.maxBytesPerBatch"
 #: Entries a worker's word cache holds before it starts afresh; what it returns does not depend on it.
 CACHE_WORDS = 400_000
 
@@ -61,6 +62,13 @@ def pieces(batches: Iterator[pa.RecordBatch], text_col: str) -> Iterator[pa.Reco
             yield batch.slice(a, b - a)
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Hand whole rows to workers in batches of about BATCH_BYTES; the session's limit is lowered where it is higher or unset."""
+    limit = int(spark.conf.get(BYTE_LIMIT).rstrip("bB"))
+    if not 0 < limit <= BATCH_BYTES:
+        spark.conf.set(BYTE_LIMIT, str(BATCH_BYTES))
+
+
 def plus(df: DataFrame, id_col: str, fields: list[tuple[str, T.DataType]]) -> T.StructType:
     """Schema of the id column followed by new fields."""
     return T.StructType([T.StructField(id_col, df.schema[id_col].dataType)] + [T.StructField(n, t) for n, t in fields])
