@@ -16,6 +16,7 @@ import re
 import zlib
 from array import array
 from collections.abc import Iterator
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -63,16 +64,22 @@ class UnitIds(dict):
         super().__init__()
         from tokenizers import Tokenizer
 
-        # units hold no added token: a text with one is given to the tokenizer as it is, whole
-        self.whole = Tokenizer.from_file(path)
-        added = [t.content for t in self.whole.get_added_tokens_decoder().values()]
-        self.added = re.compile("|".join(map(re.escape, added))) if added else None
+        self.path = path
         self.tokenizer = Tokenizer.from_file(path)
+        added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.added = re.compile("|".join(map(re.escape, added))) if added else None
         self.tokenizer.encode_special_tokens = True
         self.model = self.tokenizer.model
         self.code = code
         self.spaced = Spaced(self)
 
+    @cached_property
+    def whole(self):
+        """The tokenizer as it is, for texts with an added token; units hold none."""
+        from tokenizers import Tokenizer
+
+        return Tokenizer.from_file(self.path)
+
     def __missing__(self, unit: str) -> bytes:
         if len(self) >= CACHE_UNITS:
             self.clear()
@@ -402,7 +409,7 @@ def _widened(code: str):
     """Ids of the pieces as 32-bit numbers, and their checksum."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in text.pieces(batches, "ids"):
             ids = batch.column("ids").to_pylist()
             if code == "H":
                 ids = [np.frombuffer(x, "<u2").astype("<u4").tobytes() for x in ids]
